@@ -102,4 +102,7 @@ def registry() -> dict[str, Query]:
     q: dict[str, Query] = {k: _model_query(m) for k, m in MODEL_KEYS.items()}
     for name in ("q_multi_source", "q_status_history", "q_revenue_by_facility"):
         q[name] = _method_query(name)
+    from vaultline.plans.scenarios import SCENARIOS
+
+    q.update(SCENARIOS)
     return q
