@@ -596,6 +596,7 @@ def _model_oracles() -> dict[str, str]:
 def oracle_queries() -> dict[str, str]:
     q = _model_oracles()
     q.update(scenario_oracles())
+    q.update(audit_oracles())
     q["q_multi_source"] = sql("""
 SELECT patient_hk, count(DISTINCT record_source) AS source_count
 FROM sat_patient GROUP BY patient_hk HAVING count(DISTINCT record_source) > 1""")
@@ -724,3 +725,112 @@ def scenario_oracles() -> dict[str, str]:
 SELECT snapshot_date, status_as_of, count(*) AS appointments
 FROM pit_appointment GROUP BY snapshot_date, status_as_of""")
     return q
+
+
+# ------------------------------------------------------ tests and audits
+def _lit(v) -> str:
+    return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT '{c.model}' AS model, '{c.column}' AS column_name, '{c.test}' AS test, "
+    n = "CAST(count(*) AS BIGINT) AS failures"
+    if c.test == "unique":
+        return (head + n + f" FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL "
+                f"GROUP BY {c.column} HAVING count(*) > 1) x")
+    if c.test == "not_null":
+        return head + n + f" FROM {c.model} WHERE {c.column} IS NULL"
+    if c.test == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.values)
+        return head + n + f" FROM {c.model} WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({vals})"
+    return (head + n + f" FROM {c.model} m WHERE m.{c.column} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {c.to_model} p WHERE p.{c.to_field} = m.{c.column})")
+
+
+def dq_oracle(tests=None) -> str:
+    from vaultline.plans.quality import all_checks
+
+    parts = [_check_sql(c) for c in all_checks() if tests is None or c.test in tests]
+    return sql("\nUNION ALL\n".join(parts))
+
+
+def _audit_sql(audit: str, entity: str, src: str, bad: str) -> str:
+    return (f"SELECT '{audit}' AS audit, '{entity}' AS entity, "
+            f"CAST(count(*) AS BIGINT) AS rows_checked, "
+            f"CAST(coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations "
+            f"FROM {src}")
+
+
+def _latest_sql(table: str, key: str) -> str:
+    return (f"(SELECT {key}, status AS latest_status FROM (SELECT *, row_number() OVER ("
+            f"PARTITION BY {key} ORDER BY status_at DESC, {STATUS_RANK_SQL} DESC, status DESC) AS rn "
+            f"FROM {table}) y WHERE rn = 1)")
+
+
+def audit_oracles() -> dict[str, str]:
+    q = {}
+    q["audit_status_match"] = sql(
+        _audit_sql("status_match", "appointment",
+                   "stg_appointments a LEFT JOIN "
+                   + _latest_sql("stg_appointment_status_history", "appointment_hk")
+                   + " l ON l.appointment_hk = a.appointment_hk",
+                   "l.latest_status IS DISTINCT FROM a.current_status")
+        + "\nUNION ALL\n"
+        + _audit_sql("status_match", "exam",
+                     "stg_exams a LEFT JOIN " + _latest_sql("stg_exam_status_history", "exam_hk")
+                     + " l ON l.exam_hk = a.exam_hk",
+                     "l.latest_status IS DISTINCT FROM a.current_status"))
+    ins_bad = "(visit_type = 'INSURANCE') <> (insurance_provider_hk IS NOT NULL)"
+    q["audit_insurance"] = sql(
+        _audit_sql("insurance", "appointment", "stg_appointments", ins_bad) + "\nUNION ALL\n"
+        + _audit_sql("insurance", "exam", "stg_exams", ins_bad))
+    q["audit_selfpay"] = sql(_audit_sql(
+        "selfpay", "payment",
+        "stg_payments p LEFT JOIN (SELECT appointment_hk AS reference_hk, visit_type "
+        "FROM stg_appointments UNION ALL SELECT exam_hk, visit_type FROM stg_exams) t "
+        "ON t.reference_hk = p.reference_hk",
+        "t.visit_type IS NULL OR t.visit_type <> 'SELF_PAY'"))
+    q["audit_paid_at"] = sql(_audit_sql(
+        "paid_at", "payment", "stg_payments",
+        "(payment_status IN ('PAID', 'REFUNDED')) <> (paid_at IS NOT NULL)"))
+    q["audit_feedback"] = sql(_audit_sql(
+        "feedback", "feedback",
+        "stg_patient_feedback f LEFT JOIN stg_appointments a ON a.appointment_hk = f.appointment_hk",
+        "a.current_status IS DISTINCT FROM 'COMPLETED'"))
+    q["audit_bridge_grain"] = sql(
+        _audit_sql("bridge_grain", "exam_per_appointment",
+                   "(SELECT source_appointment_hk, count(*) AS n FROM lnk_exam GROUP BY 1) x", "n > 1")
+        + "\nUNION ALL\n"
+        + _audit_sql("bridge_grain", "bridge_rows_per_appointment",
+                     "(SELECT appointment_hk, count(*) AS n FROM bridge_encounter GROUP BY 1) x",
+                     "n > 1"))
+    q["audit_orphans"] = sql(
+        _audit_sql("orphans", "appointment",
+                   "f_appointments f LEFT JOIN (SELECT appointment_id, 1 AS kept FROM stg_appointments) s "
+                   "ON s.appointment_id = f.appointment_id", "s.kept IS NULL")
+        + "\nUNION ALL\n"
+        + _audit_sql("orphans", "exam",
+                     "f_exams f LEFT JOIN (SELECT exam_id, 1 AS kept FROM stg_exams) s "
+                     "ON s.exam_id = f.exam_id", "s.kept IS NULL"))
+    from vaultline.constants import PAYMENT_METHODS, PAYMENT_STATUSES, STATUSES, VISIT_TYPES
+
+    domains = {"status": STATUSES, "visit_type": VISIT_TYPES,
+               "payment_method": PAYMENT_METHODS, "payment_status": PAYMENT_STATUSES}
+    values = ", ".join(f"('{d}', '{v}')" for d, vs in domains.items() for v in vs)
+    q["ref_values"] = sql(f"""
+SELECT r.domain, r.value, CAST(coalesce(c.n, 0) AS BIGINT) AS rows_using
+FROM (VALUES {values}) r(domain, value)
+LEFT JOIN (SELECT domain, value, count(*) AS n FROM (
+    SELECT 'status' AS domain, status AS value FROM stg_appointment_status_history
+    UNION ALL SELECT 'status', status FROM stg_exam_status_history
+    UNION ALL SELECT 'visit_type', visit_type FROM stg_appointments
+    UNION ALL SELECT 'visit_type', visit_type FROM stg_exams
+    UNION ALL SELECT 'payment_method', payment_method FROM stg_payments
+    UNION ALL SELECT 'payment_status', payment_status FROM stg_payments) u
+  GROUP BY domain, value) c ON c.domain = r.domain AND c.value = r.value""")
+    q["dq_report"] = dq_oracle()
+    q["dq_unique"] = dq_oracle(["unique"])
+    q["dq_not_null"] = dq_oracle(["not_null"])
+    q["dq_accepted_values"] = dq_oracle(["accepted_values"])
+    q["dq_relationships"] = dq_oracle(["relationships"])
+    return q

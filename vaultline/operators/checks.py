@@ -7,10 +7,11 @@ A test reports the number of failing records:
 * ``accepted_values``  number of non-NULL rows whose value is not in the list
 * ``relationships``    number of non-NULL child values missing in the parent
 
-Tests are fused per table: all ``not_null`` and ``accepted_values`` tests of
-a table are one aggregate (sums of booleans, partial aggregation map-side),
-and all ``unique`` tests of a table are one exploded ``groupBy`` -- one scan
-and at most two shuffles per table, however many tests it has.
+Tests are fused per table: the tested columns are unpivoted to
+``(column, value)`` pairs and counted with one ``groupBy`` (partial
+aggregation map-side); every unique / not_null / accepted_values test of the
+table is a conditional sum over those counts -- one scan and one shuffle per
+table, however many tests it has.
 
 Output schema: ``(model string, column_name string, test string, failures bigint)``.
 """
@@ -43,52 +44,44 @@ def _row(model: str, column: str, test: str, failures: Column) -> Column:
     )
 
 
-def _row_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
-    exprs = []
-    for c in checks:
-        col = F.col(c.column)
-        if c.test == "not_null":
-            bad = col.isNull()
-        elif c.test == "accepted_values":
-            bad = col.isNotNull() & ~col.isin(*c.values)
-        else:
-            continue
-        exprs.append((c, F.sum(F.when(bad, 1).otherwise(0)).alias(f"_f{len(exprs)}")))
-    if not exprs:
-        return None
-    agg = df.agg(*[e for _, e in exprs])
-    rows = F.array(
-        *[_row(c.model, c.column, c.test, F.coalesce(F.col(f"_f{i}"), F.lit(0)))
-          for i, (c, _) in enumerate(exprs)]
-    )
-    return agg.select(F.explode(rows).alias("r")).select("r.*")
-
+def _column_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
+    """All unique / not_null / accepted_values tests of one table in one pass.
 
-def _unique_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
-    uniq = [c for c in checks if c.test == "unique"]
-    if not uniq:
+    The tested columns are unpivoted to ``(column, value-as-text)`` pairs and
+    counted per pair (one shuffle, partial aggregation map-side); every test
+    is then a conditional sum over those counts.
+    """
+    col_tests = [c for c in checks if c.test in ("unique", "not_null", "accepted_values")]
+    if not col_tests:
         return None
-    model = uniq[0].model
-    exploded = df.select(
+    cols = list(dict.fromkeys(c.column for c in col_tests))
+    pairs = df.select(
         F.explode(
             F.array(*[
-                F.struct(F.lit(c.column).alias("c"), F.col(c.column).cast("string").alias("v"))
-                for c in uniq
+                F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                for c in cols
             ])
         ).alias("p")
-    ).select("p.c", "p.v").filter(F.col("v").isNotNull())
-    dup_values = exploded.groupBy("c", "v").count().filter(F.col("count") > 1)
-    # One global aggregate -> exactly one row, so every declared column is
-    # reported (0 when nothing failed).
-    counts = dup_values.agg(*[
-        F.sum(F.when(F.col("c") == c.column, 1).otherwise(0)).alias(f"_u{i}")
-        for i, c in enumerate(uniq)
-    ])
+    ).select("p.c", "p.v")
+    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    sums = []
+    for i, c in enumerate(col_tests):
+        this = F.col("c") == c.column
+        v, n = F.col("v"), F.col("n")
+        if c.test == "unique":
+            term = F.when(this & v.isNotNull() & (n > 1), F.lit(1))
+        elif c.test == "not_null":
+            term = F.when(this & v.isNull(), n)
+        else:
+            allowed = [str(x) for x in c.values]
+            term = F.when(this & v.isNotNull() & ~v.isin(*allowed), n)
+        sums.append(F.sum(F.coalesce(term, F.lit(0))).alias(f"_t{i}"))
+    totals = counts.agg(*sums)
     rows = F.array(*[
-        _row(model, c.column, "unique", F.coalesce(F.col(f"_u{i}"), F.lit(0)))
-        for i, c in enumerate(uniq)
+        _row(c.model, c.column, c.test, F.coalesce(F.col(f"_t{i}"), F.lit(0)))
+        for i, c in enumerate(col_tests)
     ])
-    return counts.select(F.explode(rows).alias("r")).select("r.*")
+    return totals.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def _relationship_tests(
@@ -128,9 +121,9 @@ def run_checks(
     parts: list[DataFrame] = []
     for model, cs in by_model.items():
         df = resolve(model)
-        for part in (_row_tests(df, cs), _unique_tests(df, cs)):
-            if part is not None:
-                parts.append(part)
+        part = _column_tests(df, cs)
+        if part is not None:
+            parts.append(part)
         parts.extend(_relationship_tests(df, cs, resolve))
     out = parts[0]
     for p in parts[1:]:

@@ -105,4 +105,7 @@ def registry() -> dict[str, Query]:
     from vaultline.plans.scenarios import SCENARIOS
 
     q.update(SCENARIOS)
+    from vaultline.plans.quality import QUALITY
+
+    q.update(QUALITY)
     return q

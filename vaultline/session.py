@@ -19,6 +19,12 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Local mode runs everything in the driver JVM; on a cluster the launcher
+# sets memory per executor instead.
+LOCAL_CONF = {
+    "spark.driver.memory": "16g",
+}
+
 
 def get_spark(
     master: str | None = None,
@@ -30,6 +36,8 @@ def get_spark(
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
