@@ -597,6 +597,7 @@ def oracle_queries() -> dict[str, str]:
     q = _model_oracles()
     q.update(scenario_oracles())
     q.update(audit_oracles())
+    q.update(ingest_oracles())
     q["q_multi_source"] = sql("""
 SELECT patient_hk, count(DISTINCT record_source) AS source_count
 FROM sat_patient GROUP BY patient_hk HAVING count(DISTINCT record_source) > 1""")
@@ -834,3 +835,14 @@ LEFT JOIN (SELECT domain, value, count(*) AS n FROM (
     q["dq_accepted_values"] = dq_oracle(["accepted_values"])
     q["dq_relationships"] = dq_oracle(["relationships"])
     return q
+
+
+def ingest_oracles() -> dict[str, str]:
+    return {
+        "scan_feed": model("stg_patients"),
+        "scan_union_extracts": sql(f"""
+SELECT *, DATE '2024-02-01' AS extract_date FROM f_appointment_status_history
+WHERE status_at < {_SPLIT}
+UNION ALL
+SELECT *, DATE '2024-02-02' AS extract_date FROM f_appointment_status_history"""),
+    }

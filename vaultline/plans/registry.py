@@ -108,4 +108,7 @@ def registry() -> dict[str, Query]:
     from vaultline.plans.quality import QUALITY
 
     q.update(QUALITY)
+    from vaultline.plans.ingest import INGEST
+
+    q.update(INGEST)
     return q

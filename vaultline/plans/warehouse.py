@@ -58,6 +58,8 @@ class Warehouse:
         self._feed_source = feed_source
         # Stored hub/link/satellite tables (incremental targets), if any.
         self.targets = targets or {}
+        # Models read from written tables instead of being derived here.
+        self.overrides: dict[str, DataFrame] = {}
 
     # ------------------------------------------------------------ feeds
 
@@ -107,8 +109,8 @@ class Warehouse:
     @cached_property
     def stg_appointments(self):
         return S.stg_appointments(
-            self.feed("appointments"), self.stg_patients, self.stg_practitioners,
-            self.stg_facilities, self.stg_insurance_providers, self.load_date)
+            self.feed("appointments"), self.model("stg_patients"), self.model("stg_practitioners"),
+            self.model("stg_facilities"), self.model("stg_insurance_providers"), self.load_date)
 
     @cached_property
     def stg_appointment_status_history(self):
@@ -118,8 +120,8 @@ class Warehouse:
     @cached_property
     def stg_exams(self):
         return S.stg_exams(
-            self.feed("exams"), self.stg_patients, self.stg_exam_types,
-            self.stg_facilities, self.stg_insurance_providers, self.load_date)
+            self.feed("exams"), self.model("stg_patients"), self.model("stg_exam_types"),
+            self.model("stg_facilities"), self.model("stg_insurance_providers"), self.load_date)
 
     @cached_property
     def stg_exam_status_history(self):
@@ -137,27 +139,27 @@ class Warehouse:
 
     @cached_property
     def int_appointments_rescheduled(self):
-        return S.int_appointments_rescheduled(self.stg_appointments)
+        return S.int_appointments_rescheduled(self.model("stg_appointments"))
 
     @cached_property
     def int_appointments_with_insurance(self):
-        return S.int_appointments_with_insurance(self.stg_appointments)
+        return S.int_appointments_with_insurance(self.model("stg_appointments"))
 
     @cached_property
     def int_exams_with_insurance(self):
-        return S.int_exams_with_insurance(self.stg_exams)
+        return S.int_exams_with_insurance(self.model("stg_exams"))
 
     @cached_property
     def int_payments_for_appointments(self):
-        return S.int_payments_for_appointments(self.stg_payments)
+        return S.int_payments_for_appointments(self.model("stg_payments"))
 
     @cached_property
     def int_payments_for_exams(self):
-        return S.int_payments_for_exams(self.stg_payments)
+        return S.int_payments_for_exams(self.model("stg_payments"))
 
     @cached_property
     def int_patients_unioned(self):
-        return S.int_patients_unioned(self.stg_patients, self.stg_partner_patients)
+        return S.int_patients_unioned(self.model("stg_patients"), self.model("stg_partner_patients"))
 
     # -------------------------------------------------------- raw vault
 
@@ -195,7 +197,7 @@ class Warehouse:
         start = end - _dt.timedelta(days=days_back)
         return pit(
             self.model("hub_appointment"),
-            self.stg_appointment_status_history,
+            self.model("stg_appointment_status_history"),
             key="appointment_hk", ts="status_at", values=["status"],
             start=start, end=end, tie=[status_rank("status"), "status"],
             value_names=["status_as_of"], ts_name="sat_appointment_status_ldts",
@@ -206,7 +208,7 @@ class Warehouse:
         """The PIT row of the as-of day, computed directly (one aggregate)."""
         return asof_day(
             self.model("hub_appointment"),
-            self.stg_appointment_status_history,
+            self.model("stg_appointment_status_history"),
             key="appointment_hk", ts="status_at", values=["status"], day=self.as_of,
             tie=[status_rank("status"), "status"],
             value_names=["status_as_of"], ts_name="sat_appointment_status_ldts",
@@ -264,52 +266,52 @@ class Warehouse:
 
     @cached_property
     def dim_practitioner(self):
-        return self.stg_practitioners.select(
+        return self.model("stg_practitioners").select(
             "practitioner_hk", "practitioner_id", "name", "license_number",
             "specialty_id", "facility_id", "phone", "email")
 
     @cached_property
     def dim_facility(self):
-        return self.stg_facilities.select(
+        return self.model("stg_facilities").select(
             "facility_hk", "facility_id", "cnes_code", "name", "address", "city", "state", "phone")
 
     @cached_property
     def dim_specialty(self):
-        return self.stg_specialties.select("specialty_hk", "specialty_id", "name")
+        return self.model("stg_specialties").select("specialty_hk", "specialty_id", "name")
 
     @cached_property
     def dim_insurance_provider(self):
-        return self.stg_insurance_providers.select(
+        return self.model("stg_insurance_providers").select(
             "insurance_provider_hk", "insurance_provider_id", "name", "ans_registration_number")
 
     @cached_property
     def dim_exam_type(self):
-        return self.stg_exam_types.select(
+        return self.model("stg_exam_types").select(
             "exam_type_hk", "exam_type_id", "tuss_code", "name", "category", "self_pay_price")
 
     @cached_property
     def dim_date(self) -> DataFrame:
         """Calendar spanning every date the facts refer to."""
         dates = (
-            self.stg_appointments.select(F.to_date("scheduled_at").alias("d"))
-            .unionByName(self.stg_exams.select(F.to_date("scheduled_at").alias("d")))
-            .unionByName(self.stg_payments.select(F.to_date("paid_at").alias("d")))
-            .unionByName(self.stg_patient_feedback.select(F.to_date("submitted_at").alias("d")))
+            self.model("stg_appointments").select(F.to_date("scheduled_at").alias("d"))
+            .unionByName(self.model("stg_exams").select(F.to_date("scheduled_at").alias("d")))
+            .unionByName(self.model("stg_payments").select(F.to_date("paid_at").alias("d")))
+            .unionByName(self.model("stg_patient_feedback").select(F.to_date("submitted_at").alias("d")))
         )
         return calendar(dates.agg(F.min("d").alias("start"), F.max("d").alias("end")))
 
     @cached_property
     def fact_appointment(self) -> DataFrame:
-        a = self.stg_appointments
-        ts = self.appointment_status_today.select("appointment_hk", "status_as_of")
-        b = self.bridge_encounter.select(
+        a = self.model("stg_appointments")
+        ts = self.model("appointment_status_today").select("appointment_hk", "status_as_of")
+        b = self.model("bridge_encounter").select(
             "appointment_hk", F.col("exam_hk").alias("b_exam_hk"),
             F.col("exam_type_hk").alias("b_exam_type_hk"),
             "appointment_payment_hk", F.col("feedback_hk").alias("b_feedback_hk"))
-        p = self.stg_payments.select(
+        p = self.model("stg_payments").select(
             F.col("payment_hk").alias("appointment_payment_hk"), "amount",
             "payment_method", "payment_status")
-        f = self.stg_patient_feedback.select(
+        f = self.model("stg_patient_feedback").select(
             F.col("feedback_hk").alias("b_feedback_hk"), F.col("rating").alias("feedback_rating"))
         j = (
             a.join(ts, "appointment_hk", "left")
@@ -334,10 +336,10 @@ class Warehouse:
 
     @cached_property
     def fact_exam(self) -> DataFrame:
-        e = self.stg_exams
+        e = self.model("stg_exams")
         pl = self.model("lnk_payment_exam").select(
             "payment_hk", F.col("reference_hk").alias("exam_hk"))
-        p = self.stg_payments.select("payment_hk", "amount", "payment_method", "payment_status")
+        p = self.model("stg_payments").select("payment_hk", "amount", "payment_method", "payment_status")
         j = e.join(pl, "exam_hk", "left").join(p, "payment_hk", "left")
         return j.select(
             "exam_id", "exam_hk", F.col("source_appointment_hk").alias("appointment_hk"),
@@ -349,13 +351,13 @@ class Warehouse:
 
     @cached_property
     def fact_payment(self) -> DataFrame:
-        return self.stg_payments.select(
+        return self.model("stg_payments").select(
             "payment_id", "payment_hk", "reference_type", "reference_hk", "amount",
             "payment_method", "payment_status", date_key("paid_at").alias("paid_date_key"))
 
     @cached_property
     def fact_feedback(self) -> DataFrame:
-        return self.stg_patient_feedback.select(
+        return self.model("stg_patient_feedback").select(
             "feedback_id", "feedback_hk", "appointment_hk", "patient_hk", "rating", "comments",
             date_key("submitted_at").alias("submitted_date_key"))
 
@@ -377,8 +379,8 @@ class Warehouse:
         )
 
     def q_revenue_by_facility(self) -> DataFrame:
-        fa = self.fact_appointment.filter(F.col("visit_type") == "SELF_PAY")
-        f = self.dim_facility.select("facility_hk", F.col("name").alias("facility"))
+        fa = self.model("fact_appointment").filter(F.col("visit_type") == "SELF_PAY")
+        f = self.model("dim_facility").select("facility_hk", F.col("name").alias("facility"))
         return (
             fa.join(f, "facility_hk", "inner")
             .groupBy("facility")
@@ -389,6 +391,8 @@ class Warehouse:
     # --------------------------------------------------------- lookup
 
     def model(self, name: str) -> DataFrame:
+        if name in self.overrides:
+            return self.overrides[name]
         if name in HUBS or name in LINKS or name in SATS:
             return self._vault(name)
         if name == "pit_appointment":
