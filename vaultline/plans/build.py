@@ -53,7 +53,8 @@ def build_warehouse(
     run_tests: bool = True,
 ) -> dict[str, int]:
     """Run one batch end to end; returns rows appended per vault table."""
-    wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source)
+    wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source,
+                   materialize=False)
 
     def publish(name: str, layer: str, df: DataFrame, partition_by=None) -> None:
         path = table_path(out_root, layer, name)

@@ -99,7 +99,9 @@ def all_checks() -> list[Check]:
 
 def dq(spark, root, tests=None) -> DataFrame:
     wh = Warehouse(spark, root)
-    return run_checks(all_checks(), wh.model, tests)
+    checks = [c for c in all_checks() if tests is None or c.test in tests]
+    wh.prepare(*{c.model for c in checks}, *{c.to_model for c in checks if c.to_model})
+    return run_checks(checks, wh.model)
 
 
 def dq_report(spark, root):
@@ -145,9 +147,9 @@ def _latest_status(history: DataFrame, key: str) -> DataFrame:
 def audit_status_match(spark, root) -> DataFrame:
     """Latest history status equals the entity's current status."""
     wh = Warehouse(spark, root)
-    a = wh.stg_appointments.join(
-        _latest_status(wh.stg_appointment_status_history, "appointment_hk"), "appointment_hk", "left")
-    e = wh.stg_exams.join(_latest_status(wh.stg_exam_status_history, "exam_hk"), "exam_hk", "left")
+    a = wh.model("stg_appointments").join(
+        _latest_status(wh.model("stg_appointment_status_history"), "appointment_hk"), "appointment_hk", "left")
+    e = wh.model("stg_exams").join(_latest_status(wh.model("stg_exam_status_history"), "exam_hk"), "exam_hk", "left")
     bad = ~F.col("latest_status").eqNullSafe(F.col("current_status"))
     return _audit(a, "status_match", "appointment", bad).unionByName(
         _audit(e, "status_match", "exam", bad))
@@ -157,17 +159,17 @@ def audit_insurance(spark, root) -> DataFrame:
     """Insurance provider present iff visit type is INSURANCE."""
     wh = Warehouse(spark, root)
     bad = (F.col("visit_type") == "INSURANCE") != F.col("insurance_provider_hk").isNotNull()
-    return _audit(wh.stg_appointments, "insurance", "appointment", bad).unionByName(
-        _audit(wh.stg_exams, "insurance", "exam", bad))
+    return _audit(wh.model("stg_appointments"), "insurance", "appointment", bad).unionByName(
+        _audit(wh.model("stg_exams"), "insurance", "exam", bad))
 
 
 def audit_selfpay(spark, root) -> DataFrame:
     """Payments reference an existing self-pay appointment or exam."""
     wh = Warehouse(spark, root)
-    targets = wh.stg_appointments.select(
+    targets = wh.model("stg_appointments").select(
         F.col("appointment_hk").alias("reference_hk"), "visit_type").unionByName(
-        wh.stg_exams.select(F.col("exam_hk").alias("reference_hk"), "visit_type"))
-    p = wh.stg_payments.select("reference_hk").join(targets, "reference_hk", "left")
+        wh.model("stg_exams").select(F.col("exam_hk").alias("reference_hk"), "visit_type"))
+    p = wh.model("stg_payments").select("reference_hk").join(targets, "reference_hk", "left")
     bad = F.col("visit_type").isNull() | (F.col("visit_type") != "SELF_PAY")
     return _audit(p, "selfpay", "payment", bad)
 
@@ -176,14 +178,14 @@ def audit_paid_at(spark, root) -> DataFrame:
     """paid_at is set iff the payment is PAID or REFUNDED."""
     wh = Warehouse(spark, root)
     bad = F.col("payment_status").isin("PAID", "REFUNDED") != F.col("paid_at").isNotNull()
-    return _audit(wh.stg_payments, "paid_at", "payment", bad)
+    return _audit(wh.model("stg_payments"), "paid_at", "payment", bad)
 
 
 def audit_feedback(spark, root) -> DataFrame:
     """Feedback only on existing COMPLETED appointments."""
     wh = Warehouse(spark, root)
-    f = wh.stg_patient_feedback.select("appointment_hk").join(
-        wh.stg_appointments.select("appointment_hk", "current_status"), "appointment_hk", "left")
+    f = wh.model("stg_patient_feedback").select("appointment_hk").join(
+        wh.model("stg_appointments").select("appointment_hk", "current_status"), "appointment_hk", "left")
     bad = ~F.col("current_status").eqNullSafe(F.lit("COMPLETED"))
     return _audit(f, "feedback", "feedback", bad)
 
@@ -202,8 +204,8 @@ def audit_orphans(spark, root) -> DataFrame:
     wh = Warehouse(spark, root)
     out = None
     for entity, feed, stg, key in (
-        ("appointment", "appointments", wh.stg_appointments, "appointment_id"),
-        ("exam", "exams", wh.stg_exams, "exam_id"),
+        ("appointment", "appointments", wh.model("stg_appointments"), "appointment_id"),
+        ("exam", "exams", wh.model("stg_exams"), "exam_id"),
     ):
         f = wh.feed(feed).select(key).join(stg.select(key, F.lit(1).alias("_kept")), key, "left")
         part = _audit(f, "orphans", entity, F.col("_kept").isNull())
@@ -216,12 +218,12 @@ def ref_values(spark, root) -> DataFrame:
     (domain, value, rows_using)."""
     wh = Warehouse(spark, root)
     uses = [
-        ("status", wh.stg_appointment_status_history, "status"),
-        ("status", wh.stg_exam_status_history, "status"),
-        ("visit_type", wh.stg_appointments, "visit_type"),
-        ("visit_type", wh.stg_exams, "visit_type"),
-        ("payment_method", wh.stg_payments, "payment_method"),
-        ("payment_status", wh.stg_payments, "payment_status"),
+        ("status", wh.model("stg_appointment_status_history"), "status"),
+        ("status", wh.model("stg_exam_status_history"), "status"),
+        ("visit_type", wh.model("stg_appointments"), "visit_type"),
+        ("visit_type", wh.model("stg_exams"), "visit_type"),
+        ("payment_method", wh.model("stg_payments"), "payment_method"),
+        ("payment_status", wh.model("stg_payments"), "payment_status"),
     ]
     used = None
     for domain, df, col in uses:

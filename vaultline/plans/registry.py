@@ -82,9 +82,18 @@ MODEL_KEYS: dict[str, str] = {
 }
 
 
+METHOD_NEEDS = {
+    "q_multi_source": ("sat_patient",),
+    "q_status_history": ("hub_appointment", "sat_appointment_status"),
+    "q_revenue_by_facility": ("fact_appointment", "dim_facility"),
+}
+
+
 def _model_query(model: str) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
-        return Warehouse(spark, root).model(model)
+        wh = Warehouse(spark, root)
+        wh.prepare(model)
+        return wh.model(model)
 
     run.__name__ = f"query_{model}"
     return run
@@ -92,7 +101,9 @@ def _model_query(model: str) -> Query:
 
 def _method_query(method: str) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
-        return getattr(Warehouse(spark, root), method)()
+        wh = Warehouse(spark, root)
+        wh.prepare(*METHOD_NEEDS.get(method, ()))
+        return getattr(wh, method)()
 
     run.__name__ = f"query_{method}"
     return run

@@ -175,9 +175,9 @@ def sat_event_time(spark, root) -> DataFrame:
     spec = SATS["sat_appointment_status"]
     early = Warehouse(spark, root, load_date=LOAD_DATE_1)
     full = Warehouse(spark, root, load_date=LOAD_DATE_2)
-    b1 = early.stg_appointment_status_history.filter(
+    b1 = early.model("stg_appointment_status_history").filter(
         F.col("status_at") < midnight(BATCH_SPLIT_DAY))
-    b2 = full.stg_appointment_status_history
+    b2 = full.model("stg_appointment_status_history")
     return load_all(sat_rows, [b1, b2], pk=spec.pk, hashdiff=spec.hashdiff,
                     payload=list(spec.payload), ldts=spec.ldts,
                     tie=lambda: status_rank("status"))

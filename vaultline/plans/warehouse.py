@@ -15,6 +15,8 @@ pruned parquet instead of re-deriving their inputs.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,10 +31,70 @@ from vaultline.operators.loaders import hub_rows, link_rows, sat_rows
 from vaultline.operators.survive import source_rank, survive
 from vaultline.plans import staging as S
 from vaultline.plans.vault import HUBS, LINKS, SATS, status_rank
+from vaultline.session import checkpoint_root, scratch_path
 from vaultline.sources import driver_feeds as feeds
 from vaultline.sources.tables import Tables
 
 
+STAGING_MODELS = frozenset({
+    "stg_facilities", "stg_specialties", "stg_insurance_providers", "stg_exam_types",
+    "stg_practitioners", "stg_patients", "stg_partner_patients", "stg_appointments",
+    "stg_appointment_status_history", "stg_exams", "stg_exam_status_history",
+    "stg_payments", "stg_patient_feedback",
+})
+
+
+# Staging models that look up other staging models (hub keys by internal id).
+LOOKUP_STAGING = {
+    "stg_appointments": ("stg_patients", "stg_practitioners", "stg_facilities",
+                         "stg_insurance_providers"),
+    "stg_exams": ("stg_patients", "stg_exam_types", "stg_facilities", "stg_insurance_providers"),
+}
+# Direct model dependencies above staging (the model graph).
+MODEL_DEPS = {
+    "int_appointments_rescheduled": ("stg_appointments",),
+    "int_appointments_with_insurance": ("stg_appointments",),
+    "int_exams_with_insurance": ("stg_exams",),
+    "int_payments_for_appointments": ("stg_payments",),
+    "int_payments_for_exams": ("stg_payments",),
+    "int_patients_unioned": ("stg_patients", "stg_partner_patients"),
+    "pit_appointment": ("hub_appointment", "stg_appointment_status_history"),
+    "appointment_status_today": ("hub_appointment", "stg_appointment_status_history"),
+    "bridge_encounter": ("lnk_appointment", "lnk_appointment_insurance", "lnk_exam",
+                         "lnk_payment_appointment", "lnk_payment_exam", "lnk_feedback"),
+    "dim_patient": ("sat_patient", "hub_patient"),
+    "dim_practitioner": ("stg_practitioners",),
+    "dim_facility": ("stg_facilities",),
+    "dim_specialty": ("stg_specialties",),
+    "dim_insurance_provider": ("stg_insurance_providers",),
+    "dim_exam_type": ("stg_exam_types",),
+    "dim_date": ("stg_appointments", "stg_exams", "stg_payments", "stg_patient_feedback"),
+    "fact_appointment": ("stg_appointments", "appointment_status_today", "bridge_encounter",
+                         "stg_payments", "stg_patient_feedback"),
+    "fact_exam": ("stg_exams", "lnk_payment_exam", "stg_payments"),
+    "fact_payment": ("stg_payments",),
+    "fact_feedback": ("stg_patient_feedback",),
+}
+
+
+def staging_needs(name: str) -> set[str]:
+    """Staging models ``name`` reads, directly or through other models."""
+    if name in STAGING_MODELS:
+        return {name, *LOOKUP_STAGING.get(name, ())}
+    if name in HUBS:
+        deps = HUBS[name].sources
+    elif name in LINKS:
+        deps = (LINKS[name].source,)
+    elif name in SATS:
+        deps = (SATS[name].source,)
+    else:
+        deps = MODEL_DEPS.get(name, ())
+    out: set[str] = set()
+    for d in deps:
+        out |= staging_needs(d)
+    return out
+
+
 class Warehouse:
     """All models over one set of feeds.
 
@@ -48,8 +110,18 @@ class Warehouse:
         as_of: str = AS_OF,
         feed_source=None,
         targets: dict[str, DataFrame] | None = None,
+        materialize: bool = True,
     ):
         self.spark = spark
+        # Like the table materialisation of the staging layer in the source
+        # project: the shared order base and every staging model are written
+        # once as parquet under spark.checkpoint.dir and read back, so
+        # downstream models neither recompute them nor carry their lineage.
+        self.materialize = materialize
+        self.materialize_models: frozenset[str] = STAGING_MODELS
+        self.run_id = uuid.uuid4().hex
+        if materialize:
+            checkpoint_root(spark)
         self.root = root
         self.tables = Tables(spark, root)
         self.load_date_text = load_date
@@ -65,7 +137,16 @@ class Warehouse:
 
     @cached_property
     def order_facts(self) -> DataFrame:
-        return feeds.order_facts(self.tables)
+        return self._materialized(feeds.order_facts(self.tables))
+
+    def _materialized(self, df: DataFrame, name: str = "order_facts") -> DataFrame:
+        """Write ``df`` once as parquet under the shared checkpoint folder and
+        read it back (pruning and filter pushdown apply to the read)."""
+        if not self.materialize:
+            return df
+        path = scratch_path(self.spark, "tables", self.run_id, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def feed(self, name: str) -> DataFrame:
         if self._feed_source is not None:
@@ -390,6 +471,24 @@ class Warehouse:
 
     # --------------------------------------------------------- lookup
 
+    def prepare(self, *names: str) -> None:
+        """Write the staging tables that ``names`` need, independent ones
+        concurrently (Spark runs jobs submitted from several threads side by
+        side), in two waves: plain staging, then staging with lookups."""
+        if not self.materialize:
+            return
+        need: set[str] = set()
+        for n in names:
+            need |= staging_needs(n)
+        need = {n for n in need if n in self.materialize_models and n not in self._staged}
+        if not need:
+            return
+        self.order_facts  # noqa: B018 - the shared base is written first
+        top = need & set(LOOKUP_STAGING)
+        for wave in (sorted(need - top), sorted(top)):
+            with ThreadPoolExecutor(max_workers=max(1, min(8, len(wave)))) as pool:
+                list(pool.map(self.model, wave))
+
     def model(self, name: str) -> DataFrame:
         if name in self.overrides:
             return self.overrides[name]
@@ -397,12 +496,20 @@ class Warehouse:
             return self._vault(name)
         if name == "pit_appointment":
             return self.pit_appointment()
+        if name in STAGING_MODELS and name in self.materialize_models:
+            if name not in self._staged:
+                self._staged[name] = self._materialized(getattr(self, name), name)
+            return self._staged[name]
         return getattr(self, name)
 
     @cached_property
     def _vault_cache(self) -> dict[str, DataFrame]:
         return {}
 
+    @cached_property
+    def _staged(self) -> dict[str, DataFrame]:
+        return {}
+
     def _vault(self, name: str) -> DataFrame:
         if name not in self._vault_cache:
             self._vault_cache[name] = self.vault_table(name)
