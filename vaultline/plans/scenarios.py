@@ -162,8 +162,10 @@ def user_event_feed(t: Tables) -> DataFrame:
     )
 
 
-def sat_change_detect(spark, root, bucket=None) -> DataFrame:
-    """Event-time satellite of a user's event type: one row per change."""
+def sat_change_detect(spark, root, bucket=F.to_date) -> DataFrame:
+    """Event-time satellite of a user's event type: one row per change.
+    A user's history is split by day (``bucket``) so one very active user
+    does not become one task."""
     t = Tables(spark, root)
     return sat_rows(user_event_feed(t), "user_hk", "hd_event", ["event_id", "event_type"],
                     ldts="ts", tie=lambda: F.col("event_id"), bucket=bucket)
@@ -180,7 +182,7 @@ def sat_event_time(spark, root) -> DataFrame:
     b2 = full.model("stg_appointment_status_history")
     return load_all(sat_rows, [b1, b2], pk=spec.pk, hashdiff=spec.hashdiff,
                     payload=list(spec.payload), ldts=spec.ldts,
-                    tie=lambda: status_rank("status"))
+                    tie=lambda: status_rank("status"), bucket=F.to_date)
 
 
 def sat_multi_source(spark, root) -> DataFrame:
@@ -196,9 +198,11 @@ def sat_multi_source(spark, root) -> DataFrame:
 # ---------------------------------------------------------- point in time
 
 
-def pit_status(spark, root, bucket=None) -> DataFrame:
+def pit_status(spark, root, bucket="day") -> DataFrame:
     """Status (event type) in effect per customer and day over the event stream."""
     t = Tables(spark, root)
+    if bucket == "day":
+        bucket = F.to_date("ts")
     users = t("customer").select(F.col("c_custkey").alias("user_id"))
     ev = t("events").select("user_id", "ts", "event_type", "event_id")
     return pit(users, ev, key="user_id", ts="ts", values=["event_type"],

@@ -255,8 +255,11 @@ def appointments(t: Tables, facts: DataFrame | None = None) -> DataFrame:
     order (by date, key) among orders that have a line, if it was 'P'."""
     f = facts if facts is not None else order_facts(t)
     f = f.withColumn("_prev", F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s")))
+    # Day buckets: a customer holding a large share of all orders is split
+    # over many window partitions instead of one task.
     f = previous_value(
-        f, ["o_custkey", "has_line"], ["o_orderdate", "o_orderkey"], "_prev", "_prev_order"
+        f, ["o_custkey", "has_line"], ["o_orderdate", "o_orderkey"], "_prev", "_prev_order",
+        bucket=F.to_date("o_orderdate"),
     )
     resched = F.when(
         F.col("has_line") & (F.col("_prev_order")["s"] == "P"), F.col("_prev_order")["k"]
