@@ -36,11 +36,6 @@ from vaultline.sources import driver_feeds as feeds
 from vaultline.sources.tables import Tables
 
 
-def DAY_BUCKET(ts: Column) -> Column:  # noqa: N802 - used like a constant
-    """Window bucket for event histories: the calendar day of the timestamp."""
-    return F.to_date(ts)
-
-
 STAGING_MODELS = frozenset({
     "stg_facilities", "stg_specialties", "stg_insurance_providers", "stg_exam_types",
     "stg_practitioners", "stg_patients", "stg_partner_patients", "stg_appointments",
@@ -262,9 +257,9 @@ class Warehouse:
     def sat_new_rows(self, name: str, bucket=None) -> DataFrame:
         spec = SATS[name]
         tie = (lambda: status_rank("status")) if spec.event_time else None
-        if bucket is None and spec.event_time:
-            # Event-time history of one key can be long: split it by day.
-            bucket = DAY_BUCKET
+        # Status histories are bounded per key by the status lifecycle (a few
+        # transitions), so one window per key is safe here; unbounded
+        # per-key histories (event streams) pass ``bucket`` (see scenarios).
         return sat_rows(self.model(spec.source), spec.pk, spec.hashdiff, list(spec.payload),
                         ldts=spec.ldts, existing=self.targets.get(name), tie=tie, bucket=bucket)
 
@@ -281,7 +276,7 @@ class Warehouse:
 
     # -------------------------------------------------- business vault
 
-    def pit_appointment(self, days_back: int = PIT_DAYS_BACK) -> DataFrame:
+    def pit_appointment(self, days_back: int = PIT_DAYS_BACK, bucket: Column | None = None) -> DataFrame:
         end = _dt.date.fromisoformat(self.as_of)
         start = end - _dt.timedelta(days=days_back)
         return pit(
@@ -290,7 +285,7 @@ class Warehouse:
             key="appointment_hk", ts="status_at", values=["status"],
             start=start, end=end, tie=[status_rank("status"), "status"],
             value_names=["status_as_of"], ts_name="sat_appointment_status_ldts",
-            bucket=F.to_date("status_at"),
+            bucket=bucket,
         )
 
     @cached_property
