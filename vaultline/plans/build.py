@@ -16,6 +16,8 @@ layer, and downstream plans start from pruned, pushed-down parquet scans.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +40,6 @@ GOLD = [
 ]
 
 
-def _count(spark: SparkSession, path: str) -> int:
-    t = read_table(spark, path)
-    return 0 if t is None else t.count()
-
-
 def build_warehouse(
     spark: SparkSession,
     source_root: str,
@@ -51,6 +48,7 @@ def build_warehouse(
     as_of: str = AS_OF,
     feed_source=None,
     run_tests: bool = True,
+    max_workers: int = 8,
 ) -> dict[str, int]:
     """Run one batch end to end; returns rows appended per vault table."""
     wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source,
@@ -61,11 +59,16 @@ def build_warehouse(
         overwrite(df, path, partition_by)
         wh.overrides[name] = spark.read.parquet(path)
 
-    for name in STAGING:
-        publish(name, "staging", wh.model(name))
+    def in_parallel(fn, items) -> list:
+        # Tables of one layer are independent: submit their jobs side by side.
+        with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(items)))) as pool:
+            return list(pool.map(fn, items))
 
-    appended: dict[str, int] = {}
-    for name in [*HUBS, *LINKS, *SATS]:
+    lookups = [n for n in STAGING if n in ("stg_appointments", "stg_exams")]
+    for wave in ([n for n in STAGING if n not in lookups], lookups):
+        in_parallel(lambda n: publish(n, "staging", wh.model(n)), wave)
+
+    def load_vault(name: str) -> tuple[str, int]:
         path = table_path(out_root, "raw_vault", name)
         stored = read_table(spark, path)
         if stored is not None:
@@ -79,8 +82,12 @@ def build_warehouse(
             new = wh.sat_new_rows(name)
         append(new, path)
         final = spark.read.parquet(path)
+        return name, final.count() - before, final
+
+    appended: dict[str, int] = {}
+    for name, added, final in in_parallel(load_vault, [*HUBS, *LINKS, *SATS]):
         wh.overrides[name] = final
-        appended[name] = final.count() - before
+        appended[name] = added
 
     publish("pit_appointment", "business_vault", wh.pit_appointment(),
             partition_by=["snapshot_date"])
@@ -91,8 +98,7 @@ def build_warehouse(
     ).select("appointment_hk", "status_as_of", "sat_appointment_status_ldts")
     publish("bridge_encounter", "business_vault", wh.model("bridge_encounter"))
 
-    for name in GOLD:
-        publish(name, "gold", wh.model(name))
+    in_parallel(lambda n: publish(n, "gold", wh.model(n)), GOLD)
 
     if run_tests:
         from vaultline.plans.quality import all_checks
