@@ -37,4 +37,5 @@ def day_of(c: str | Column) -> Column:
 
 
 def is_midnight(c: str | Column) -> Column:
-    return _col(c) == F.date_trunc("day", _col(c)).cast("timestamp_ntz")
+    """True at 00:00:00 exactly (zone-free: date -> timestamp_ntz is wall clock)."""
+    return _col(c) == F.to_date(_col(c)).cast("timestamp_ntz")

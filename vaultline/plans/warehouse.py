@@ -475,6 +475,16 @@ class Warehouse:
 
     # --------------------------------------------------------- lookup
 
+    def cleanup(self) -> None:
+        """Delete this run's written staging tables (after its results are used)."""
+        if not self.materialize:
+            return
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(scratch_path(self.spark, "tables", self.run_id))
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        self._staged.clear()
+        self.__dict__.pop("order_facts", None)
+
     def prepare(self, *names: str) -> None:
         """Write the staging tables that ``names`` need, independent ones
         concurrently (Spark runs jobs submitted from several threads side by

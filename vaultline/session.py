@@ -48,12 +48,16 @@ def get_spark(
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session.  Only when it is unset (local runs, tests) a
-    scratch folder is created and registered; on a cluster the setting must
-    point at shared storage so that written tables survive executor loss.
+    Read from the session.  Only when it is unset (local runs, tests) one
+    scratch folder per Spark context is created and registered; on a cluster
+    the setting must point at shared storage so that written tables survive
+    executor loss.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -63,8 +67,14 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="vaultline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        key = id(sc._jsc)
+        if key not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="vaultline-ckpt-")
+        root = _LOCAL_ROOTS[key]
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - some sessions reject core settings
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
