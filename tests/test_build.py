@@ -13,11 +13,20 @@ from vaultline.plans.warehouse import Warehouse
 from vaultline.streaming.incremental import landing_stream, vault_stream
 
 
-def test_build_twice_appends_nothing(spark, tmpdir_path):
+import pytest
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_build_twice_appends_nothing(spark, tmpdir_path, buckets):
     out = os.path.join(tmpdir_path, "wh")
-    first = build_warehouse(spark, SF_SMALL, out)
+    db = f"vault_test_{os.path.basename(tmpdir_path).replace('-', '_')}"
+    first = build_warehouse(spark, SF_SMALL, out, vault_buckets=buckets, vault_database=db)
     assert first["hub_patient"] > 0 and first["sat_appointment_status"] > 0
-    second = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_2)
+    if buckets:
+        # A new session would re-declare the tables over the stored files.
+        spark.sql(f"DROP TABLE {db}.hub_patient")
+    second = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_2,
+                             vault_buckets=buckets, vault_database=db)
     assert set(second.values()) == {0}
     report = spark.read.parquet(os.path.join(out, "tests", "dq_report"))
     assert report.count() == 142

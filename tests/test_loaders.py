@@ -105,3 +105,21 @@ def test_sat_bucketed_equals_plain(spark):
     plain = sat_rows(df, "hk", "hd", ["v"], ldts="ts")
     bucketed = sat_rows(df, "hk", "hd", ["v"], ldts="ts", bucket=lambda c: F.to_date(c))
     assert sorted(chain(plain)) == sorted(chain(bucketed))
+
+
+def test_loaders_ignore_input_order(spark):
+    import random
+
+    rnd = random.Random(11)
+    rows = [("k%d" % rnd.randrange(5), "AB"[rnd.randrange(2)],
+             T(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(200))) for _ in range(300)]
+    base = sat_batch(spark, rows)
+    shuffled = sat_batch(spark, list(reversed(rows))).repartition(7)
+    a = sorted(chain(sat_rows(base, "hk", "hd", ["v"], ldts="ts")))
+    b = sorted(chain(sat_rows(shuffled, "hk", "hd", ["v"], ldts="ts")))
+    assert a == b
+    h1 = sorted(tuple(r) for r in hub_rows(base.select(
+        "hk", F.col("hd").alias("nk"), F.col("ts").alias("load_date"), "record_source"), "hk", "nk").collect())
+    h2 = sorted(tuple(r) for r in hub_rows(shuffled.select(
+        "hk", F.col("hd").alias("nk"), F.col("ts").alias("load_date"), "record_source"), "hk", "nk").collect())
+    assert h1 == h2

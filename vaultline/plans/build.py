@@ -25,7 +25,14 @@ from vaultline.constants import AS_OF, LOAD_DATE_1
 from vaultline.operators.checks import run_checks
 from vaultline.plans.vault import HUBS, LINKS, SATS
 from vaultline.plans.warehouse import Warehouse
-from vaultline.sources.sinks import append, overwrite, read_table, table_path
+from vaultline.sources.sinks import (
+    append,
+    append_table,
+    bucketed_target,
+    overwrite,
+    read_table,
+    table_path,
+)
 
 STAGING = [
     "stg_facilities", "stg_specialties", "stg_insurance_providers", "stg_exam_types",
@@ -49,8 +56,15 @@ def build_warehouse(
     feed_source=None,
     run_tests: bool = True,
     max_workers: int = 8,
+    vault_buckets: int | None = None,
+    vault_database: str = "raw_vault",
 ) -> dict[str, int]:
-    """Run one batch end to end; returns rows appended per vault table."""
+    """Run one batch end to end; returns rows appended per vault table.
+
+    ``vault_buckets`` declares every hub, link and satellite as a table in
+    ``vault_database`` bucketed by its hash key (stored at the same path), so
+    loads against a large stored vault shuffle only the incoming batch.
+    """
     wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source,
                    materialize=False)
 
@@ -68,20 +82,38 @@ def build_warehouse(
     for wave in ([n for n in STAGING if n not in lookups], lookups):
         in_parallel(lambda n: publish(n, "staging", wh.model(n)), wave)
 
-    def load_vault(name: str) -> tuple[str, int]:
-        path = table_path(out_root, "raw_vault", name)
-        stored = read_table(spark, path)
-        if stored is not None:
-            wh.targets[name] = stored
-        before = 0 if stored is None else stored.count()
+    def new_rows(name: str) -> DataFrame:
         if name in HUBS:
-            new = wh.hub_new_rows(name)
-        elif name in LINKS:
-            new = wh.link_new_rows(name)
+            return wh.hub_new_rows(name)
+        if name in LINKS:
+            return wh.link_new_rows(name)
+        return wh.sat_new_rows(name)
+
+    def vault_key(name: str) -> str:
+        spec = HUBS.get(name) or LINKS.get(name) or SATS[name]
+        return spec.pk
+
+    def load_vault(name: str) -> tuple[str, int, DataFrame]:
+        path = table_path(out_root, "raw_vault", name)
+        if vault_buckets:
+            # Declared once, bucketed by the hash key: the stored side of the
+            # anti/semi join is not shuffled on later loads.
+            schema = new_rows(name).schema
+            table = bucketed_target(spark, vault_database, name, path, schema,
+                                    vault_key(name), vault_buckets)
+            stored = spark.table(table)
+            before = stored.count()
+            if before:
+                wh.targets[name] = stored
+            append_table(new_rows(name), table)
+            final = spark.table(table)
         else:
-            new = wh.sat_new_rows(name)
-        append(new, path)
-        final = spark.read.parquet(path)
+            stored = read_table(spark, path)
+            if stored is not None:
+                wh.targets[name] = stored
+            before = 0 if stored is None else stored.count()
+            append(new_rows(name), path)
+            final = spark.read.parquet(path)
         return name, final.count() - before, final
 
     appended: dict[str, int] = {}

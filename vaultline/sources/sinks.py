@@ -41,3 +41,29 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     if not exists(spark, path):
         return None
     return spark.read.parquet(path)
+
+
+def bucketed_target(
+    spark: SparkSession, database: str, name: str, path: str, schema, key: str, buckets: int
+) -> str:
+    """Declare (or re-declare over existing files) an insert-only target
+    bucketed by its hash key, stored at ``path``; returns the table name.
+
+    Joins of a new batch against the stored table on ``key`` (the hub/link
+    anti-join, the satellite semi-join) then shuffle only the batch: the
+    stored side is already clustered into ``buckets`` by the same hash.
+    """
+    table = f"{database}.{name}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+        f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return table
+
+
+def append_table(df: DataFrame, table: str) -> None:
+    """Append to a declared table (columns matched by name)."""
+    spark = df.sparkSession
+    df.select(*spark.table(table).columns).write.insertInto(table)
