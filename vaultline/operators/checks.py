@@ -7,11 +7,12 @@ A test reports the number of failing records:
 * ``accepted_values``  number of non-NULL rows whose value is not in the list
 * ``relationships``    number of non-NULL child values missing in the parent
 
-Tests are fused per table: the tested columns are unpivoted to
+Tests are fused per table: columns with a ``unique`` test are unpivoted to
 ``(column, value)`` pairs and counted with one ``groupBy`` (partial
-aggregation map-side); every unique / not_null / accepted_values test of the
-table is a conditional sum over those counts -- one scan and one shuffle per
-table, however many tests it has.
+aggregation map-side), and all their tests are conditional sums over those
+counts; the remaining not_null / accepted_values tests of the table are
+conditional sums in one global aggregate -- at most two scans and one
+row-level shuffle per table, however many tests it has.
 
 Output schema: ``(model string, column_name string, test string, failures bigint)``.
 """
@@ -44,44 +45,61 @@ def _row(model: str, column: str, test: str, failures: Column) -> Column:
     )
 
 
+def _failure_term(c: Check, value: Column, weight: Column) -> Column:
+    if c.test == "not_null":
+        return F.when(value.isNull(), weight)
+    allowed = [str(x) for x in c.values]
+    return F.when(value.isNotNull() & ~value.cast("string").isin(*allowed), weight)
+
+
 def _column_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
-    """All unique / not_null / accepted_values tests of one table in one pass.
+    """All unique / not_null / accepted_values tests of one table.
 
-    The tested columns are unpivoted to ``(column, value-as-text)`` pairs and
-    counted per pair (one shuffle, partial aggregation map-side); every test
-    is then a conditional sum over those counts.
+    Columns with a ``unique`` test are unpivoted to ``(column, value-as-text)``
+    pairs and counted per pair (one shuffle, partial aggregation map-side);
+    their other tests are conditional sums over those counts.  Columns with
+    only ``not_null`` / ``accepted_values`` tests need no value grouping: they
+    are conditional sums in one global aggregate (no shuffle of rows).
     """
     col_tests = [c for c in checks if c.test in ("unique", "not_null", "accepted_values")]
     if not col_tests:
         return None
-    cols = list(dict.fromkeys(c.column for c in col_tests))
-    pairs = df.select(
-        F.explode(
-            F.array(*[
+    uniq_cols = list(dict.fromkeys(c.column for c in col_tests if c.test == "unique"))
+    grouped = [c for c in col_tests if c.column in uniq_cols]
+    plain = [c for c in col_tests if c.column not in uniq_cols]
+    parts = []
+    if grouped:
+        pairs = df.select(
+            F.explode(F.array(*[
                 F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                for c in cols
-            ])
-        ).alias("p")
-    ).select("p.c", "p.v")
-    counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    sums = []
-    for i, c in enumerate(col_tests):
-        this = F.col("c") == c.column
-        v, n = F.col("v"), F.col("n")
-        if c.test == "unique":
-            term = F.when(this & v.isNotNull() & (n > 1), F.lit(1))
-        elif c.test == "not_null":
-            term = F.when(this & v.isNull(), n)
-        else:
-            allowed = [str(x) for x in c.values]
-            term = F.when(this & v.isNotNull() & ~v.isin(*allowed), n)
-        sums.append(F.sum(F.coalesce(term, F.lit(0))).alias(f"_t{i}"))
-    totals = counts.agg(*sums)
-    rows = F.array(*[
-        _row(c.model, c.column, c.test, F.coalesce(F.col(f"_t{i}"), F.lit(0)))
-        for i, c in enumerate(col_tests)
-    ])
-    return totals.select(F.explode(rows).alias("r")).select("r.*")
+                for c in uniq_cols
+            ])).alias("p")
+        ).select("p.c", "p.v")
+        counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        sums = []
+        for i, c in enumerate(grouped):
+            this = F.col("c") == c.column
+            if c.test == "unique":
+                term = F.when(this & F.col("v").isNotNull() & (F.col("n") > 1), F.lit(1))
+            else:
+                term = F.when(this, _failure_term(c, F.col("v"), F.col("n")))
+            sums.append(F.sum(F.coalesce(term, F.lit(0))).alias(f"_t{i}"))
+        parts.append((grouped, counts.agg(*sums)))
+    if plain:
+        sums = [
+            F.sum(F.coalesce(_failure_term(c, F.col(c.column), F.lit(1)), F.lit(0))).alias(f"_t{i}")
+            for i, c in enumerate(plain)
+        ]
+        parts.append((plain, df.agg(*sums)))
+    out = None
+    for tests, totals in parts:
+        rows = F.array(*[
+            _row(c.model, c.column, c.test, F.coalesce(F.col(f"_t{i}"), F.lit(0)))
+            for i, c in enumerate(tests)
+        ])
+        part = totals.select(F.explode(rows).alias("r")).select("r.*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _relationship_tests(
