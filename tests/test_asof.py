@@ -72,3 +72,18 @@ def test_asof_day_equals_pit_row(spark):
     one = asof_day(p, h, "k", "ts", ["status"], dt.date(2024, 1, 6), tie=["rank"])
     got = sorted((r.k, r.status) for r in one.collect())
     assert got == [("a", "C"), ("b", "S")]
+
+
+def test_daily_counts_equal_grouped_pit(spark):
+    from vaultline.operators.asof import daily_counts
+
+    rnd = random.Random(5)
+    rows = [("k%d" % rnd.randrange(9), T(2024, 1, 1) + dt.timedelta(days=rnd.randrange(15),
+             hours=rnd.choice([0, 7])), rnd.choice("ABC"), i) for i in range(200)]
+    h, p = history(spark, rows), parents(spark, ["k%d" % i for i in range(8)])
+    start, end = dt.date(2024, 1, 4), dt.date(2024, 1, 20)
+    full = pit(p, h, "k", "ts", ["status"], start=start, end=end, tie=["rank"])
+    expect = sorted(tuple(r) for r in full.groupBy("snapshot_date", "status").count().collect())
+    got = sorted(tuple(r) for r in daily_counts(p, h, "k", "ts", "status", start, end,
+                                                tie=["rank"]).collect())
+    assert got == expect

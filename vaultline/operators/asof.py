@@ -27,7 +27,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.functions.dates import is_midnight, midnight
@@ -128,3 +128,51 @@ def asof_day(
         *[F.col("_p")[v].alias(n) for v, n in zip(values, names)],
         F.col("_p")[ts].alias(ts_name or ts),
     )
+
+
+def daily_counts(
+    parents: DataFrame,
+    history: DataFrame,
+    key: str,
+    ts: str,
+    value: str,
+    start: str | _dt.date,
+    end: str | _dt.date,
+    tie: Sequence[str | Column] = (),
+    value_name: str | None = None,
+    count_name: str = "n",
+) -> DataFrame:
+    """Per day in ``[start, end]`` and value: how many keys have that value in
+    effect -- the point-in-time table grouped by (day, value), computed
+    without building it.
+
+    Sweep line: every in-effect interval adds +1 on its first day and -1 on
+    the day after its last; a running sum per value over those change days
+    gives the count, constant until the next change day, and only those runs
+    are exploded to days.  Work is O(history rows + days), not O(keys x days).
+    """
+    keep = [key, ts, value, *[t for t in tie if isinstance(t, str)]]
+    h = history.select(*dict.fromkeys(keep)).join(parents.select(key), key, "left_semi")
+    iv = in_effect_intervals(h, key, ts, tie=tie, end=end)
+    lo = F.greatest(F.col("_first_day"), _lit_date(start))
+    hi = F.least(F.col("_last_day"), _lit_date(end))
+    spans = iv.select(F.col(value).alias("_v"), lo.alias("_lo"), hi.alias("_hi")).filter(
+        F.col("_lo") <= F.col("_hi"))
+    changes = spans.select(
+        "_v",
+        F.explode(F.array(
+            F.struct(F.col("_lo").alias("d"), F.lit(1).alias("delta")),
+            F.struct(F.date_add(F.col("_hi"), 1).alias("d"), F.lit(-1).alias("delta")),
+        )).alias("c"),
+    ).groupBy("_v", F.col("c.d").alias("_d")).agg(F.sum("c.delta").alias("_delta"))
+    w = Window.partitionBy("_v").orderBy("_d")
+    runs = changes.select(
+        "_v", "_d",
+        F.sum("_delta").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_n"),
+        F.lead("_d").over(w).alias("_next"),
+    ).filter((F.col("_n") > 0) & F.col("_next").isNotNull())
+    return runs.select(
+        F.explode(F.sequence(F.col("_d"), F.date_sub(F.col("_next"), 1))).alias("snapshot_date"),
+        F.col("_v").alias(value_name or value),
+        F.col("_n").cast("bigint").alias(count_name),
+    )

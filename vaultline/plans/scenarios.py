@@ -11,6 +11,8 @@ result to a table would leave behind.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +22,11 @@ from vaultline.constants import (
     EVENTS_PIT_START,
     LOAD_DATE_1,
     LOAD_DATE_2,
+    PIT_DAYS_BACK,
 )
 from vaultline.functions.dates import midnight, ntz
 from vaultline.functions.keys import hash_key, hashdiff, link_key
-from vaultline.operators.asof import pit
+from vaultline.operators.asof import daily_counts, pit
 from vaultline.operators.loaders import hub_rows, link_rows, load_all, sat_rows
 from vaultline.plans.vault import SATS, status_rank
 from vaultline.plans.warehouse import Warehouse
@@ -211,9 +214,19 @@ def pit_status(spark, root, bucket="day") -> DataFrame:
 
 
 def pit_daily_status_counts(spark, root) -> DataFrame:
-    """Appointments per snapshot day and status over the whole 181-day PIT."""
-    p = Warehouse(spark, root).pit_appointment()
-    return p.groupBy("snapshot_date", "status_as_of").agg(F.count(F.lit(1)).alias("appointments"))
+    """Appointments per snapshot day and status over the whole 181-day PIT
+    window, by sweep line over the in-effect intervals (the PIT table itself
+    is not built)."""
+    wh = Warehouse(spark, root)
+    wh.prepare("hub_appointment", "stg_appointment_status_history")
+    end = _dt.date.fromisoformat(wh.as_of)
+    return daily_counts(
+        wh.model("hub_appointment"), wh.model("stg_appointment_status_history"),
+        key="appointment_hk", ts="status_at", value="status",
+        start=end - _dt.timedelta(days=PIT_DAYS_BACK), end=end,
+        tie=[status_rank("status"), "status"],
+        value_name="status_as_of", count_name="appointments",
+    )
 
 
 SCENARIOS = {
