@@ -5,6 +5,11 @@ already stored in the target, they return exactly the rows to append.
 Writing is a separate step (``vaultline.sources.sinks.append``), so the same
 code runs in tests without disk and in production against parquet tables.
 
+``keys_checked=True`` tells a loader that its feed already excludes NULL keys
+(e.g. by filtering the raw id columns, which reaches the parquet scan); the
+loader then adds no ``key IS NOT NULL`` filter, which Catalyst would otherwise
+push below the projection and evaluate on the hash expression a second time.
+
 Plans (one shuffle per step, all keyed on the hash key):
 
 * hub / link: drop NULL keys -> first row per key (``row_number() = 1``, which
@@ -59,6 +64,7 @@ def hub_rows(
     ldts: str = "load_date",
     source: str = "record_source",
     existing: DataFrame | None = None,
+    keys_checked: bool = False,
 ) -> DataFrame:
     """Rows to append to a hub: one per business key not yet in ``existing``.
 
@@ -69,7 +75,8 @@ def hub_rows(
     frames = _as_list(new)
     nks = _as_list(nk)
     cols = [pk, *nks, ldts, source]
-    frames = [f.select(*cols).filter(F.col(pk).isNotNull()) for f in frames]
+    if not keys_checked:
+        frames = [f.select(*cols).filter(F.col(pk).isNotNull()) for f in frames]
     first = _first_per_key(frames, pk, cols, ldts, tie=nks)
     if existing is not None:
         first = first.join(existing.select(pk), pk, "left_anti")
@@ -83,6 +90,7 @@ def link_rows(
     ldts: str = "load_date",
     source: str = "record_source",
     existing: DataFrame | None = None,
+    keys_checked: bool = False,
 ) -> DataFrame:
     """Rows to append to a link: one per link key not yet in ``existing``.
 
@@ -94,7 +102,8 @@ def link_rows(
     not_null = F.col(pk).isNotNull()
     for fk in fks:
         not_null = not_null & F.col(fk).isNotNull()
-    frames = [f.select(*cols).filter(not_null) for f in frames]
+    if not keys_checked:
+        frames = [f.select(*cols).filter(not_null) for f in frames]
     first = _first_per_key(frames, pk, cols, ldts, tie=list(fks))
     if existing is not None:
         first = first.join(existing.select(pk), pk, "left_anti")
@@ -111,6 +120,7 @@ def sat_rows(
     existing: DataFrame | None = None,
     tie: Callable[[], Column] | None = None,
     bucket: Callable[[Column], Column] | None = None,
+    keys_checked: bool = False,
 ) -> DataFrame:
     """Rows to append to a satellite (one row per change of the hashdiff).
 
@@ -123,9 +133,11 @@ def sat_rows(
     """
     cols = [pk, hashdiff, *payload, ldts, source]
     tie_col = tie() if tie is not None else F.lit(0)
+    batch = new.select(*cols)
+    if not keys_checked:
+        batch = batch.filter(F.col(pk).isNotNull())
     batch = (
-        new.select(*cols)
-        .filter(F.col(pk).isNotNull())
+        batch
         .withColumn("_tie", tie_col)
         .withColumn("_origin", F.lit(1))
     )

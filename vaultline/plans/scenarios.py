@@ -41,7 +41,7 @@ def _meta(load: str, source: str) -> list:
 
 
 def order_customers(t: Tables, load: str = LOAD_DATE_1, before: str | None = None) -> DataFrame:
-    o = t("orders")
+    o = t("orders").filter(F.col("o_custkey").isNotNull())
     if before is not None:
         o = o.filter(F.col("o_orderdate") < midnight(before))
     return o.select(
@@ -52,7 +52,7 @@ def order_customers(t: Tables, load: str = LOAD_DATE_1, before: str | None = Non
 
 
 def event_users(t: Tables, load: str = LOAD_DATE_1) -> DataFrame:
-    return t("events").select(
+    return t("events").filter(F.col("user_id").isNotNull()).select(
         hash_key("user_id").alias("customer_hk"),
         F.col("user_id").alias("customer_id"),
         *_meta(load, "events"),
@@ -61,26 +61,29 @@ def event_users(t: Tables, load: str = LOAD_DATE_1) -> DataFrame:
 
 def hub_load(spark, root) -> DataFrame:
     t = Tables(spark, root)
-    return hub_rows(order_customers(t), "customer_hk", "customer_id")
+    return hub_rows(order_customers(t), "customer_hk", "customer_id", keys_checked=True)
 
 
 def hub_multi_source(spark, root) -> DataFrame:
     t = Tables(spark, root)
-    return hub_rows([order_customers(t), event_users(t)], "customer_hk", "customer_id")
+    return hub_rows([order_customers(t), event_users(t)], "customer_hk", "customer_id",
+                    keys_checked=True)
 
 
 def hub_incremental(spark, root) -> DataFrame:
     t = Tables(spark, root)
     batches = [order_customers(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY),
                order_customers(t, LOAD_DATE_2)]
-    return load_all(hub_rows, batches, pk="customer_hk", nk="customer_id")
+    return load_all(hub_rows, batches, pk="customer_hk", nk="customer_id", keys_checked=True)
 
 
 # ----------------------------------------------------------------- links
 
 
 def order_lines_link_feed(t: Tables, load: str = LOAD_DATE_1, before: str | None = None) -> DataFrame:
-    li = t("lineitem")
+    li = t("lineitem").filter(
+        F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull()
+        & F.col("l_suppkey").isNotNull())
     if before is not None:
         li = li.filter(F.col("l_shipdate") < midnight(before))
     keyed = li.select(
@@ -97,14 +100,14 @@ LINE_FKS = ["order_hk", "part_hk", "supplier_hk"]
 
 def link_load(spark, root) -> DataFrame:
     t = Tables(spark, root)
-    return link_rows(order_lines_link_feed(t), "lnk_order_line_hk", LINE_FKS)
+    return link_rows(order_lines_link_feed(t), "lnk_order_line_hk", LINE_FKS, keys_checked=True)
 
 
 def link_incremental(spark, root) -> DataFrame:
     t = Tables(spark, root)
     batches = [order_lines_link_feed(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY),
                order_lines_link_feed(t, LOAD_DATE_2)]
-    return load_all(link_rows, batches, pk="lnk_order_line_hk", fks=LINE_FKS)
+    return load_all(link_rows, batches, pk="lnk_order_line_hk", fks=LINE_FKS, keys_checked=True)
 
 
 # ------------------------------------------------------------ satellites
@@ -115,7 +118,7 @@ CUSTOMER_PAYLOAD = ["name", "segment", "nation", "balance"]
 def customer_sat_feed(t: Tables, load: str, drift: bool = False) -> DataFrame:
     """Customer master as a satellite feed; ``drift`` adds 100 to negative
     balances (the second extract of the incremental scenario)."""
-    c = t("customer")
+    c = t("customer").filter(F.col("c_custkey").isNotNull())
     bal = F.col("c_acctbal").cast("decimal(12,2)")
     if drift:
         bal = F.when(F.col("c_acctbal") < 0, bal + F.lit(100)).otherwise(bal).cast("decimal(12,2)")
@@ -132,7 +135,7 @@ def customer_sat_feed(t: Tables, load: str, drift: bool = False) -> DataFrame:
 
 def _customer_sat(batches) -> DataFrame:
     return load_all(sat_rows, batches, pk="customer_hk", hashdiff="hd_customer",
-                    payload=CUSTOMER_PAYLOAD)
+                    payload=CUSTOMER_PAYLOAD, keys_checked=True)
 
 
 def sat_initial(spark, root) -> DataFrame:
@@ -154,7 +157,7 @@ def sat_idempotent_rerun(spark, root) -> DataFrame:
 
 
 def user_event_feed(t: Tables) -> DataFrame:
-    e = t("events")
+    e = t("events").filter(F.col("user_id").isNotNull())
     return e.select(
         hash_key("user_id").alias("user_hk"),
         F.col("event_id"),
@@ -171,7 +174,8 @@ def sat_change_detect(spark, root, bucket=F.to_date) -> DataFrame:
     does not become one task."""
     t = Tables(spark, root)
     return sat_rows(user_event_feed(t), "user_hk", "hd_event", ["event_id", "event_type"],
-                    ldts="ts", tie=lambda: F.col("event_id"), bucket=bucket)
+                    ldts="ts", tie=lambda: F.col("event_id"), bucket=bucket,
+                    keys_checked=True)
 
 
 def sat_event_time(spark, root) -> DataFrame:
