@@ -121,7 +121,11 @@ def build_warehouse(
         wh.overrides[name] = final
         appended[name] = added
 
-    publish("pit_appointment", "business_vault", wh.pit_appointment(),
+    # Range-partitioned by (day, key) before the day-partitioned write: each
+    # task holds a contiguous slice of one or two days, so the table gets
+    # about (tasks + days) files instead of tasks x days.
+    publish("pit_appointment", "business_vault",
+            wh.pit_appointment().repartitionByRange("snapshot_date", "appointment_hk"),
             partition_by=["snapshot_date"])
     pit = wh.overrides["pit_appointment"]
     # Today's status comes from the written snapshot (partition pruning).
