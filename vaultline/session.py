@@ -66,6 +66,11 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             root = None
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster, written tables must go "
+            "to shared storage; set it to a folder every executor can reach"
+        )
     if not root:
         key = id(sc._jsc)
         if key not in _LOCAL_ROOTS:

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from vaultline.session import scratch_path
 from vaultline.sources.sinks import append, read_table
 
 
@@ -24,11 +25,18 @@ def vault_stream(
     stream: DataFrame,
     rows_fn: Callable[..., DataFrame],
     target_path: str,
-    checkpoint_location: str,
+    checkpoint_location: str | None = None,
     available_now: bool = True,
     **loader_kwargs,
 ) -> StreamingQuery:
-    """Start a stream that appends ``rows_fn(batch, existing=target)`` per batch."""
+    """Start a stream that appends ``rows_fn(batch, existing=target)`` per batch.
+
+    The stream's checkpoint defaults to a folder under the shared
+    ``spark.checkpoint.dir`` named after the target.
+    """
+    if checkpoint_location is None:
+        name = target_path.rstrip("/").split("/")[-1]
+        checkpoint_location = scratch_path(stream.sparkSession, "streams", name)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         spark: SparkSession = batch.sparkSession
