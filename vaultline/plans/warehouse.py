@@ -1,15 +1,16 @@
 """The model graph: staging -> raw vault -> business vault -> star schema.
 
-``Warehouse`` exposes every model as a lazily built DataFrame attribute
-(``wh.stg_appointments``, ``wh.hub_patient``, ``wh.fact_appointment`` ...).
-Nothing is executed until an action; Catalyst sees each model as one plan
-and prunes/pushes down through the whole chain.
-
-Models that several others read (staging tables, links) are plain
-DataFrames here; ``vaultline.plans.build.build_warehouse`` materialises them
-layer by layer as written tables, which both cuts lineage (executor loss
-recomputes from the last written layer) and lets downstream models read
-pruned parquet instead of re-deriving their inputs.
+``Warehouse.model(name)`` returns any model as a DataFrame
+(``"stg_appointments"``, ``"hub_patient"``, ``"fact_appointment"`` ...).
+
+Staging is materialised, as in the source project: the shared order base and
+every staging model a query reads are written once per ``Warehouse`` as
+parquet under ``spark.checkpoint.dir`` and read back (``prepare`` writes
+independent ones concurrently). Downstream models are lazy plans over those
+tables, so Catalyst prunes and pushes down into pruned parquet scans, nothing
+upstream is recomputed per model, and lineage stops at staging.
+``vaultline.plans.build.build_warehouse`` goes further and writes every
+layer. ``materialize=False`` gives fully lazy plans, e.g. for ``explain``.
 """
 
 from __future__ import annotations
