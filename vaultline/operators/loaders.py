@@ -15,11 +15,13 @@ Plans (one shuffle per step, all keyed on the hash key):
 * hub / link: drop NULL keys -> first row per key (``row_number() = 1``, which
   Spark plans as a partial ``WindowGroupLimit`` before the shuffle, i.e. a
   map-side top-1 per key) -> ``left_anti`` against the target's key column.
-* satellite: semi-join the stored history to the keys present in the batch,
-  union with the batch, and keep a row when its hashdiff differs from the
-  previous row of the same ``(key, record_source)`` ordered by
-  ``(ldts, tie, hashdiff, origin)``; stored rows sort before new rows with
-  the same position, so re-running a batch appends nothing.
+* satellite: take from the stored history only the rows a batch row can
+  follow (per key: the latest stored row before the batch's first timestamp,
+  and every stored row from that timestamp on), union with the batch, and
+  keep a row when its hashdiff differs from the previous row of the same
+  ``(key, record_source)`` ordered by ``(ldts, tie, hashdiff, origin)``;
+  stored rows sort before new rows with the same position, so re-running a
+  batch appends nothing.
 """
 
 from __future__ import annotations
@@ -143,14 +145,30 @@ def sat_rows(
     )
     rows = batch
     if existing is not None:
-        touched = batch.select(pk)
+        # Only two kinds of stored rows can precede a batch row: the stored
+        # rows at or after the batch's earliest timestamp for that key, and
+        # the single latest stored row before it (the anchor).  A daily load
+        # against years of history therefore reads about one stored row per
+        # key; late and out-of-order rows keep the full sequence they need.
+        first_new = batch.groupBy(pk, source).agg(F.min(ldts).alias("_first_new"))
         stored = (
             existing.select(*cols)
-            .join(touched, pk, "left_semi")
+            .join(first_new, [pk, source], "inner")
             .withColumn("_tie", tie_col)
             .withColumn("_origin", F.lit(0))
         )
-        rows = stored.unionByName(batch)
+        position = F.struct(F.col(ldts), F.col("_tie"), F.col(hashdiff))
+        anchor = (
+            stored.filter(F.col(ldts) < F.col("_first_new"))
+            .groupBy(pk, source)
+            .agg(F.max(position).alias("_anchor"))
+        )
+        kept = (
+            stored.join(anchor, [pk, source], "left")
+            .filter((F.col(ldts) >= F.col("_first_new")) | (position == F.col("_anchor")))
+            .drop("_first_new", "_anchor")
+        )
+        rows = kept.unionByName(batch)
     order = [F.col(ldts), F.col("_tie"), F.col(hashdiff), F.col("_origin")]
     with_prev = previous_value(
         rows,
