@@ -34,6 +34,7 @@ from vaultline.plans import staging as S
 from vaultline.plans.vault import HUBS, LINKS, SATS, status_rank
 from vaultline.session import checkpoint_root, scratch_path
 from vaultline.sources import driver_feeds as feeds
+from vaultline.sources.sinks import delete
 from vaultline.sources.tables import Tables
 
 
@@ -96,6 +97,20 @@ def staging_needs(name: str) -> set[str]:
     return out
 
 
+# Warehouses that wrote staging tables and have not been cleaned up yet.
+_OPEN_RUNS: list["Warehouse"] = []
+
+
+def release_scratch() -> None:
+    """Delete the staging tables of every open run.
+
+    Call only when no DataFrame of those runs is needed any more (a harness
+    after it has consumed each query's result).
+    """
+    while _OPEN_RUNS:
+        _OPEN_RUNS.pop().cleanup()
+
+
 class Warehouse:
     """All models over one set of feeds.
 
@@ -123,6 +138,7 @@ class Warehouse:
         self.run_id = uuid.uuid4().hex
         if materialize:
             checkpoint_root(spark)
+            _OPEN_RUNS.append(self)
         self.root = root
         self.tables = Tables(spark, root)
         self.load_date_text = load_date
@@ -480,9 +496,7 @@ class Warehouse:
         """Delete this run's written staging tables (after its results are used)."""
         if not self.materialize:
             return
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(scratch_path(self.spark, "tables", self.run_id))
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, scratch_path(self.spark, "tables", self.run_id))
         self._staged.clear()
         self.__dict__.pop("order_facts", None)
 

@@ -67,3 +67,10 @@ def append_table(df: DataFrame, table: str) -> None:
     """Append to a declared table (columns matched by name)."""
     spark = df.sparkSession
     df.select(*spark.table(table).columns).write.insertInto(table)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on its file system (no-op if absent)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
