@@ -57,6 +57,12 @@ def test_bucketed_vault_target_is_not_shuffled(spark, tmpdir_path):
     scans = [i for i, l in enumerate(lines) if "Bucketed: true" in l and "hub_appointment" in l]
     # The stored side of the anti-join is read bucketed and not shuffled.
     assert any(not any("Exchange" in a for a in ancestors(lines, i)[:3]) for i in scans)
+    # The uniqueness test on the bucket key groups the buckets in place.
+    from vaultline.operators.checks import Check, run_checks
+
+    report = run_checks([Check("h", "appointment_hk", "unique")], {"h": stored}.__getitem__)
+    assert "Exchange hashpartitioning" not in plan_of(report)
+    assert report.first().failures == 0
 
 
 def test_hot_user_is_split_by_day(spark):

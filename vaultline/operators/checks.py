@@ -69,13 +69,20 @@ def _column_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame | None:
     plain = [c for c in col_tests if c.column not in uniq_cols]
     parts = []
     if grouped:
-        pairs = df.select(
-            F.explode(F.array(*[
-                F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
-                for c in uniq_cols
-            ])).alias("p")
-        ).select("p.c", "p.v")
-        counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+        if len(uniq_cols) == 1:
+            # One key column (every hub and link): group by it directly, so a
+            # table bucketed by that key is checked without a shuffle.
+            col = uniq_cols[0]
+            counts = df.groupBy(F.col(col)).agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(col).alias("c"), F.col(col).cast("string").alias("v"), "n")
+        else:
+            pairs = df.select(
+                F.explode(F.array(*[
+                    F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                    for c in uniq_cols
+                ])).alias("p")
+            ).select("p.c", "p.v")
+            counts = pairs.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
         sums = []
         for i, c in enumerate(grouped):
             this = F.col("c") == c.column
