@@ -13,7 +13,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from vaultline.session import get_spark
 
-    s = get_spark("local[4]", 4)
+    # Catalog tables created by tests (bucketed vault targets) live in a
+    # scratch warehouse folder, not in the working directory.
+    s = get_spark("local[4]", 4, extra_conf={
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="vaultline-test-wh-")})
     # Tests run without a cluster: give them a scratch checkpoint folder.
     if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="vaultline-test-ckpt-")
