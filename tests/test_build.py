@@ -52,3 +52,29 @@ def test_streamed_event_satellite_equals_batch_load(spark, tmpdir_path):
     expect = wh.model("sat_appointment_status")
     assert got.count() == expect.count()
     assert got.exceptAll(expect.select(*got.columns)).count() == 0
+
+
+def test_sql_over_registered_views(spark):
+    """The source project's own sanity queries run as SQL over the views."""
+    wh = Warehouse(spark, SF_SMALL)
+    names = wh.register_views()
+    assert "fact_appointment" in names and "sat_patient" in names
+    revenue = spark.sql("""
+        SELECT f.name AS facility, SUM(fa.amount_paid) AS revenue
+        FROM fact_appointment fa
+        JOIN dim_facility f ON f.facility_hk = fa.facility_hk
+        WHERE fa.visit_type = 'SELF_PAY'
+        GROUP BY f.name
+        ORDER BY revenue DESC""")
+    assert sorted(map(tuple, revenue.collect())) == sorted(
+        map(tuple, wh.q_revenue_by_facility().collect()))
+    multi = spark.sql("""
+        SELECT patient_hk, count(distinct record_source) AS source_count
+        FROM sat_patient GROUP BY patient_hk
+        HAVING count(distinct record_source) > 1""")
+    assert multi.count() == wh.q_multi_source().count() > 0
+    history = spark.sql("""
+        SELECT * FROM sat_appointment_status
+        WHERE appointment_hk = (SELECT min(appointment_hk) FROM hub_appointment)
+        ORDER BY status_at""")
+    assert history.count() >= 1

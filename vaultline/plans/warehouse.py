@@ -492,6 +492,21 @@ class Warehouse:
 
     # --------------------------------------------------------- lookup
 
+    def register_views(self, names=None) -> list[str]:
+        """Expose models as temporary views for SQL users (``spark.sql``).
+
+        Views are lazy: a SQL query over them is planned by Catalyst together
+        with the models it reads.  Defaults to every staging, vault, business
+        and gold model.
+        """
+        if names is None:
+            names = [*STAGING_MODELS, *MODEL_DEPS, *HUBS, *LINKS, *SATS]
+        names = [n for n in dict.fromkeys(names) if n != "appointment_status_today"]
+        self.prepare(*names)
+        for n in names:
+            self.model(n).createOrReplaceTempView(n)
+        return names
+
     def cleanup(self) -> None:
         """Delete this run's written staging tables (after its results are used)."""
         if not self.materialize:
