@@ -105,3 +105,14 @@ def test_bucketed_neighbours_equal_plain(spark):
         a = sorted(tuple(r) for r in plain.select("id", "n").collect())
         b = sorted(tuple(r) for r in buck.select("id", "n").collect())
         assert a == b
+
+
+def test_calendar_window_matches_source_definition(spark):
+    from vaultline.operators.calendar import calendar_window
+
+    anchor = spark.createDataFrame([(dt.date(1998, 12, 31),)], "d date")
+    cal = calendar_window(anchor, "d")
+    assert cal.count() == 1096
+    r = cal.filter(F.col("date_day") == dt.date(1998, 12, 27)).first()
+    assert (r.date_key, r.day_of_week, r.day_name, r.is_weekend, r.quarter, r.month_name) == (
+        19981227, 1, "Sunday", True, 4, "December")
