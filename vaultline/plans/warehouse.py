@@ -46,6 +46,11 @@ STAGING_MODELS = frozenset({
 })
 
 
+# Staging models whose feeds derive from the shared order base.
+ORDER_STAGING = frozenset({
+    "stg_appointments", "stg_appointment_status_history", "stg_exams",
+    "stg_exam_status_history", "stg_payments", "stg_patient_feedback",
+})
 # Staging models that look up other staging models (hub keys by internal id).
 LOOKUP_STAGING = {
     "stg_appointments": ("stg_patients", "stg_practitioners", "stg_facilities",
@@ -492,6 +497,59 @@ class Warehouse:
 
     # --------------------------------------------------------- lookup
 
+    def register_views(self, names=None) -> list[str]:
+        """Expose models as temporary views for SQL users (``spark.sql``).
+
+        Views are lazy: a SQL query over them is planned by Catalyst together
+        with the models it reads.  Defaults to every staging, vault, business
+        and gold model.
+        """
+        if names is None:
+            names = [*STAGING_MODELS, *MODEL_DEPS, *HUBS, *LINKS, *SATS]
+        names = [n for n in dict.fromkeys(names) if n != "appointment_status_today"]
+        self.prepare(*names)
+        for n in names:
+            self.model(n).createOrReplaceTempView(n)
+        return names
+
+    def cleanup(self) -> None:
+        """Delete this run's written staging tables (after its results are used)."""
+        if not self.materialize:
+            return
+        delete(self.spark, scratch_path(self.spark, "tables", self.run_id))
+        self._staged.clear()
+        self.__dict__.pop("order_facts", None)
+
+    def prepare(self, *names: str) -> None:
+        """Write the staging tables that ``names`` need, independent ones
+        concurrently (Spark runs jobs submitted from several threads side by
+        side): first the order base together with the master-data staging,
+        then the staging models derived from orders (which look up master
+        data)."""
+        if not self.materialize:
+            return
+        need: set[str] = set()
+        for n in names:
+            need |= staging_needs(n)
+        need = {n for n in need if n in self.materialize_models and n not in self._staged}
+        if not need:
+            return
+        from_orders = need & ORDER_STAGING
+        first: list = sorted(need - from_orders)
+        if from_orders and "order_facts" not in self.__dict__:
+            first.append("order_facts")
+
+        def write(name: str) -> None:
+            if name == "order_facts":
+                self.order_facts  # noqa: B018 - cached property writes it
+            else:
+                self.model(name)
+
+        for wave in (first, sorted(from_orders)):
+            if wave:
+                with ThreadPoolExecutor(max_workers=max(1, min(8, len(wave)))) as pool:
+                    list(pool.map(write, wave))
+
     def register_views(self, names=None) -> list[str]:
         """Expose models as temporary views for SQL users (``spark.sql``).
 
