@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -13,9 +14,6 @@ from vaultline.plans.warehouse import Warehouse
 from vaultline.streaming.incremental import landing_stream, vault_stream
 
 
-import pytest
-
-
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_build_twice_appends_nothing(spark, tmpdir_path, buckets):
     out = os.path.join(tmpdir_path, "wh")
