@@ -116,3 +116,27 @@ def test_calendar_window_matches_source_definition(spark):
     r = cal.filter(F.col("date_day") == dt.date(1998, 12, 27)).first()
     assert (r.date_key, r.day_of_week, r.day_name, r.is_weekend, r.quarter, r.month_name) == (
         19981227, 1, "Sunday", True, 4, "December")
+
+
+def test_audits_count_injected_violations(spark):
+    from conftest import SF_SMALL
+    from vaultline.plans import quality as Q
+    from vaultline.plans.warehouse import Warehouse
+
+    wh = Warehouse(spark, SF_SMALL)
+    appts = wh.model("stg_appointments")
+    pay = wh.model("stg_payments")
+    insured = appts.filter("visit_type = 'INSURANCE'").select("appointment_hk").limit(1)
+    bad_ref = pay.limit(1).drop("reference_hk").crossJoin(
+        insured.withColumnRenamed("appointment_hk", "reference_hk")).select(*pay.columns)
+    unpaid = pay.filter("payment_status = 'PAID'").limit(1).withColumn("paid_at", F.lit(None).cast("timestamp_ntz"))
+    wh.overrides["stg_payments"] = pay.unionByName(bad_ref).unionByName(unpaid)
+    fb = wh.model("stg_patient_feedback")
+    open_appt = appts.filter("current_status <> 'COMPLETED'").select("appointment_hk").limit(1)
+    wh.overrides["stg_patient_feedback"] = fb.unionByName(
+        fb.limit(1).drop("appointment_hk").crossJoin(open_appt).select(*fb.columns))
+    before = {r.audit: r.violations for r in Q.audit_selfpay(spark, SF_SMALL).collect()}
+    after = {r.audit: r.violations for r in Q.audit_selfpay(spark, SF_SMALL, wh=wh).collect()}
+    assert after["selfpay"] == before["selfpay"] + 1
+    assert Q.audit_paid_at(spark, SF_SMALL, wh=wh).first().violations == 1
+    assert Q.audit_feedback(spark, SF_SMALL, wh=wh).first().violations == 1

@@ -144,9 +144,9 @@ def _latest_status(history: DataFrame, key: str) -> DataFrame:
     return history.groupBy(key).agg(F.max_by(F.col("status"), order).alias("latest_status"))
 
 
-def audit_status_match(spark, root) -> DataFrame:
+def audit_status_match(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """Latest history status equals the entity's current status."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     a = wh.model("stg_appointments").join(
         _latest_status(wh.model("stg_appointment_status_history"), "appointment_hk"), "appointment_hk", "left")
     e = wh.model("stg_exams").join(_latest_status(wh.model("stg_exam_status_history"), "exam_hk"), "exam_hk", "left")
@@ -155,17 +155,17 @@ def audit_status_match(spark, root) -> DataFrame:
         _audit(e, "status_match", "exam", bad))
 
 
-def audit_insurance(spark, root) -> DataFrame:
+def audit_insurance(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """Insurance provider present iff visit type is INSURANCE."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     bad = (F.col("visit_type") == "INSURANCE") != F.col("insurance_provider_hk").isNotNull()
     return _audit(wh.model("stg_appointments"), "insurance", "appointment", bad).unionByName(
         _audit(wh.model("stg_exams"), "insurance", "exam", bad))
 
 
-def audit_selfpay(spark, root) -> DataFrame:
+def audit_selfpay(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """Payments reference an existing self-pay appointment or exam."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     targets = wh.model("stg_appointments").select(
         F.col("appointment_hk").alias("reference_hk"), "visit_type").unionByName(
         wh.model("stg_exams").select(F.col("exam_hk").alias("reference_hk"), "visit_type"))
@@ -174,34 +174,34 @@ def audit_selfpay(spark, root) -> DataFrame:
     return _audit(p, "selfpay", "payment", bad)
 
 
-def audit_paid_at(spark, root) -> DataFrame:
+def audit_paid_at(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """paid_at is set iff the payment is PAID or REFUNDED."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     bad = F.col("payment_status").isin("PAID", "REFUNDED") != F.col("paid_at").isNotNull()
     return _audit(wh.model("stg_payments"), "paid_at", "payment", bad)
 
 
-def audit_feedback(spark, root) -> DataFrame:
+def audit_feedback(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """Feedback only on existing COMPLETED appointments."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     f = wh.model("stg_patient_feedback").select("appointment_hk").join(
         wh.model("stg_appointments").select("appointment_hk", "current_status"), "appointment_hk", "left")
     bad = ~F.col("current_status").eqNullSafe(F.lit("COMPLETED"))
     return _audit(f, "feedback", "feedback", bad)
 
 
-def audit_bridge_grain(spark, root) -> DataFrame:
+def audit_bridge_grain(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """At most one exam per appointment; the bridge has one row per appointment."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     exams = wh.model("lnk_exam").groupBy("source_appointment_hk").agg(F.count(F.lit(1)).alias("n"))
     bridge = wh.bridge_encounter.groupBy("appointment_hk").agg(F.count(F.lit(1)).alias("n"))
     return _audit(exams, "bridge_grain", "exam_per_appointment", F.col("n") > 1).unionByName(
         _audit(bridge, "bridge_grain", "bridge_rows_per_appointment", F.col("n") > 1))
 
 
-def audit_orphans(spark, root) -> DataFrame:
+def audit_orphans(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """Feed rows dropped by the mandatory key lookups of staging."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     out = None
     for entity, feed, stg, key in (
         ("appointment", "appointments", wh.model("stg_appointments"), "appointment_id"),
@@ -213,10 +213,10 @@ def audit_orphans(spark, root) -> DataFrame:
     return out
 
 
-def ref_values(spark, root) -> DataFrame:
+def ref_values(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """Domain lists as reference tables with their use in staging:
     (domain, value, rows_using)."""
-    wh = Warehouse(spark, root)
+    wh = wh or Warehouse(spark, root)
     uses = [
         ("status", wh.model("stg_appointment_status_history"), "status"),
         ("status", wh.model("stg_exam_status_history"), "status"),
