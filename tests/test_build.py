@@ -94,3 +94,19 @@ def test_bronze_csv_feeds_give_the_same_warehouse(spark, tmpdir_path):
         a, b = from_csv.model(model), direct.model(model)
         assert a.count() == b.count() > 0, model
         assert a.exceptAll(b.select(*a.columns)).count() == 0, model
+
+
+def test_build_can_fail_on_data_test_failures(spark, tmpdir_path):
+    from vaultline.plans.build import DataTestFailure
+
+    def feeds(name):
+        base = Warehouse(spark, SF_SMALL, materialize=False).feed(name)
+        if name == "patients":  # a duplicated patient breaks two unique tests
+            return base.unionByName(base.limit(1))
+        return base
+
+    out = os.path.join(tmpdir_path, "wh")
+    with pytest.raises(DataTestFailure, match="stg_patients.patient_id unique"):
+        build_warehouse(spark, SF_SMALL, out, feed_source=feeds, fail_on_test_failures=True)
+    report = spark.read.parquet(os.path.join(out, "tests", "dq_report"))
+    assert report.filter("failures > 0").count() >= 1

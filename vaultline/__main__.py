@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--vault-buckets", type=int, default=None,
                    help="declare vault targets bucketed by hash key into N buckets")
     p.add_argument("--vault-database", default="raw_vault")
+    p.add_argument("--fail-on-test-failures", action="store_true",
+                   help="exit with an error when any data test fails")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     args = p.parse_args(argv)
 
@@ -40,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     appended = build_warehouse(
         spark, args.source, args.out, load_date=args.load_date, as_of=args.as_of,
         feed_source=feed_source, vault_buckets=args.vault_buckets,
-        vault_database=args.vault_database)
+        vault_database=args.vault_database, fail_on_test_failures=args.fail_on_test_failures)
     print(json.dumps(appended, sort_keys=True))
 
 

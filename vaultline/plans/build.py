@@ -58,12 +58,15 @@ def build_warehouse(
     max_workers: int = 8,
     vault_buckets: int | None = None,
     vault_database: str = "raw_vault",
+    fail_on_test_failures: bool = False,
 ) -> dict[str, int]:
     """Run one batch end to end; returns rows appended per vault table.
 
     ``vault_buckets`` declares every hub, link and satellite as a table in
     ``vault_database`` bucketed by its hash key (stored at the same path), so
     loads against a large stored vault shuffle only the incoming batch.
+    ``fail_on_test_failures`` raises ``DataTestFailure`` (listing the failing
+    tests) when any data test fails; the report is written either way.
     """
     wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source,
                    materialize=False)
@@ -139,6 +142,16 @@ def build_warehouse(
     if run_tests:
         from vaultline.plans.quality import all_checks
 
-        report = run_checks(all_checks(), wh.model)
-        overwrite(report, table_path(out_root, "tests", "dq_report"))
+        report_path = table_path(out_root, "tests", "dq_report")
+        overwrite(run_checks(all_checks(), wh.model), report_path)
+        if fail_on_test_failures:
+            failed = spark.read.parquet(report_path).filter(F.col("failures") > 0)
+            bad = [f"{r.model}.{r.column_name} {r.test}: {r.failures}"
+                   for r in failed.limit(50).collect()]
+            if bad:
+                raise DataTestFailure("data tests failed:\n" + "\n".join(bad))
     return appended
+
+
+class DataTestFailure(RuntimeError):
+    """Raised by ``build_warehouse(fail_on_test_failures=True)``."""
