@@ -140,3 +140,12 @@ def test_audits_count_injected_violations(spark):
     assert after["selfpay"] == before["selfpay"] + 1
     assert Q.audit_paid_at(spark, SF_SMALL, wh=wh).first().violations == 1
     assert Q.audit_feedback(spark, SF_SMALL, wh=wh).first().violations == 1
+
+
+def test_malformed_extract_stops_the_load(spark, tmpdir_path):
+    import pytest
+
+    _write(os.path.join(tmpdir_path, "specialties", "specialties_2024-01-01.csv"),
+           "specialty_id,name\n1,Fine\nnot-a-number,Broken\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|cannot|parse"):
+        scan_feed(spark, tmpdir_path, "specialties").collect()
