@@ -151,9 +151,14 @@ def sat_rows(
         # against years of history therefore reads about one stored row per
         # key; late and out-of-order rows keep the full sequence they need.
         first_new = batch.groupBy(pk, source).agg(F.min(ldts).alias("_first_new"))
+        # A left join plus a filter is the inner join, but its output keeps
+        # only the stored side's partitioning (an inner join's pair of
+        # partitionings trips the planner once AQE coalesces the two sides to
+        # different partition counts).
         stored = (
             existing.select(*cols)
-            .join(first_new, [pk, source], "inner")
+            .join(first_new, [pk, source], "left")
+            .filter(F.col("_first_new").isNotNull())
             .withColumn("_tie", tie_col)
             .withColumn("_origin", F.lit(0))
         )

@@ -17,6 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A union of two inputs hash-partitioned on the same keys would otherwise
+    # report both partitionings; once AQE coalesces them to different
+    # partition counts the planner fails ("PartitioningCollection requires
+    # all of its partitionings have the same numPartitions").  Chained
+    # incremental loads (stored rows + appended rows, loaded again) hit it.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 # Local mode runs everything in the driver JVM; on a cluster the launcher
