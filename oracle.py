@@ -7,7 +7,7 @@ forms (``row_number``/``lag``), the point-in-time table uses the literal
 spine x history join, so the oracle shares no plan shape with the Spark
 code it checks.
 
-Each model is a named CTE; ``sql(final, needs)`` assembles the WITH chain
+Each model is a named CTE; ``sql(final)`` assembles the WITH chain
 with only the CTEs a query refers to.
 """
 
