@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import SPACED, check_mod, table, text_bytes, tokenize, written
@@ -101,11 +101,16 @@ def statistics(texts: pa.Array) -> np.ndarray:
     ])
 
 
-@F.arrow_udf("array<double>")
-def stats_udf(texts: pa.Array) -> pa.Array:
-    x = statistics(texts)
-    k = x.shape[1]
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, k, dtype=np.int32)), pa.array(x.ravel()))
+def stats_column(text: Column) -> Column:
+    """The statistics of each text as an array column."""
+
+    @F.arrow_udf("array<double>")
+    def stats(texts: pa.Array) -> pa.Array:
+        x = statistics(texts)
+        starts = np.arange(0, x.size + 1, len(STATISTICS), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(starts), pa.array(x.ravel()))
+
+    return stats(text)
 
 
 @dataclass(frozen=True)
@@ -197,7 +202,7 @@ def training(stats: DataFrame, labels: DataFrame) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents")
-    stats = written(docs.select("doc_id", stats_udf(F.col("text")).alias("x")), "quality-stats")
+    stats = written(docs.select("doc_id", stats_column(F.col("text")).alias("x")), "quality-stats")
     model = fit(training(stats, table(spark, sf_dir, "labels")))
     return scored(stats, model).select(
         "doc_id", (check_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",

@@ -4,7 +4,7 @@
 by all thresholds ``c_0 < c_1 < ...``; the score is the expected severity
 ``sum_j P(grade > j)`` between 0 and the highest grade.
 
-Features are sparse: ``log(1 + count)`` of each selected word.  Words are
+Features are sparse: ``1 + log(count)`` of each selected word held.  Words are
 selected on the labelled sample by how much more often toxic documents hold
 them (two-proportion z), so a long clean text adds nothing and a long toxic
 text is not diluted.  The labels are binary, so the training grades of toxic
@@ -38,8 +38,9 @@ MIN_Z = 8.0  # association needed to become a feature
 MIN_DOCS = 5
 MAX_FEATURES = 4096  # a model size, the strongest associations first
 GRADE_CUTS = (3, 8)  # occurrences from which grade 2, grade 3
-REJECT = 0.5  # expected severity from which a document is toxic
+REJECT = 0.3  # expected severity from which a document is toxic
 PENALTY = 1e-2
+STEPS = 3000  # gradient steps; the sample has few non-zero features
 
 
 @dataclass(frozen=True)
@@ -116,13 +117,13 @@ def fit(rows: list) -> Model:
     grade = np.where(toxic, 1 + sum((held >= cut).astype(int) for cut in GRADE_CUTS), 0)
     top = int(grade.max())
     above = (grade[:, None] > np.arange(top)).astype(float)
-    x = np.log1p(c)
+    x = 1 + np.log(c)
     n = len(rows)
     # Thresholds stay ordered: c_0 free, then positive gaps exp(g).
     w, base, gaps = np.zeros(len(words)), 1.0, np.zeros(top - 1)
     params = np.concatenate([w, [base], gaps])
     m, v = np.zeros_like(params), np.zeros_like(params)
-    for step in range(1, 601):
+    for step in range(1, STEPS + 1):
         w, cuts = params[: len(words)], params[len(words)] + np.concatenate([[0.0], np.cumsum(np.exp(params[len(words) + 1 :]))])
         eta = np.bincount(d, w[f] * x, n)
         err = 1 / (1 + np.exp(-np.clip(eta[:, None] - cuts, -40, 40))) - above
@@ -151,7 +152,7 @@ def severity(model: Model, text: str = "text") -> Column:
         t = tokenize(texts, ALNUM)
         d, f, _ = _counts(model.words, t.hash, np.ones(len(t), np.int64), t.doc, n)
         pair, times = np.unique(d * len(model.words) + f, return_counts=True)
-        eta = np.bincount(pair // len(model.words), model.weights[pair % len(model.words)] * np.log1p(times), n)
+        eta = np.bincount(pair // len(model.words), model.weights[pair % len(model.words)] * (1 + np.log(times)), n)
         p = 1 / (1 + np.exp(-np.clip(eta[:, None] - model.cuts, -40, 40)))
         return pa.array(p.sum(1))
 
