@@ -30,11 +30,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts the lineage)."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

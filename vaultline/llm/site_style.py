@@ -34,13 +34,14 @@ result; pages of any length are read whole.
 from __future__ import annotations
 
 import html
-import math
 import re
-from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vaultline.llm.common import table, written
 
@@ -76,21 +77,28 @@ _SPACES = re.compile(f"[{SPACE}]+")
 class Node:
     __slots__ = ("tag", "sign", "parent", "children", "prior")
 
-    def __init__(self, tag: str, attrs: dict, parent: Node | None):
+    def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.children: list[Node | str] = []
-        named = [attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")]
-        # Digits in names count things ("comment-17"); they are not the style.
-        self.sign = "|".join([tag, *[re.sub(r"\d+", "#", _SPACES.sub(" ", x).strip()) for x in named]])
-        hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
-        low = tag in DROP_TAGS or named[2].lower() in DROP_ROLES or hidden or (
-            tag not in ("html", "body", "article", "main") and any(DROP_NAME.search(x) for x in named[:2] if x))
-        self.prior = 0 if low else 1 if tag in ("article", "main") else None
+        self.sign, self.prior = _style_of(tag, attrs)
+
+
+@lru_cache(maxsize=1 << 14)
+def _style_of(tag: str, source: str) -> tuple[str, int | None]:
+    """(style of an element, prior importance 0, 1 or None)."""
+    attrs = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(source)}
+    named = [attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")]
+    # Digits in names count things ("comment-17"); they are not the style.
+    sign = "|".join([tag, *[re.sub(r"\d+", "#", _SPACES.sub(" ", x).strip()) for x in named]])
+    hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
+    low = tag in DROP_TAGS or named[2].lower() in DROP_ROLES or hidden or (
+        tag not in ("html", "body", "article", "main") and any(DROP_NAME.search(x) for x in named[:2] if x))
+    return sign, 0 if low else 1 if tag in ("article", "main") else None
 
 
 def parse(source: str) -> Node:
     """A DOM of the page; wrong nesting is repaired as browsers roughly do."""
-    root = Node("#root", {}, None)
+    root = Node("#root", "", None)
     at, here = 0, root
     n = len(source)
     while at < n:
@@ -118,9 +126,6 @@ def parse(source: str) -> Node:
             if node is not None and node.parent is not None:
                 here = node.parent
             continue
-        attrs = {}
-        if m.group(3):
-            attrs = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(m.group(3))}
         if tag in CLOSES_P:  # a block ends an open paragraph (with its inline elements)
             node = here
             while node.tag in INLINE:
@@ -129,7 +134,7 @@ def parse(source: str) -> Node:
                 here = node.parent
             elif tag in BLOCKS and here.tag in INLINE and here is not node:
                 here = node  # an unclosed inline element ends with its block
-        node = Node(tag, attrs, here)
+        node = Node(tag, m.group(3), here)
         here.children.append(node)
         if tag in VOID or m.group(0).endswith("/>") and tag not in BLOCKS:
             continue
@@ -146,54 +151,19 @@ def _clean(text: str) -> str:
     return _SPACES.sub(" ", html.unescape(text)).strip(SPACE)
 
 
-def walk(node: Node, path: int) -> Iterator[tuple[Node, int]]:
-    """All elements with the hash of their path, parents first."""
-    stack = [(node, path)]
-    while stack:
-        node, path = stack.pop()
-        yield node, path
-        for child in reversed(node.children):
-            if isinstance(child, Node):
-                stack.append((child, _hash(f"{path}/{child.sign}")))
+@lru_cache(maxsize=1 << 16)
+def _path(parent: int, sign: str) -> int:
+    return _hash(f"{parent}/{sign}")
 
 
 def _hash(text: str) -> int:
-    """A 63-bit FNV-style hash that is the same in every process."""
-    import hashlib
-
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
-
-
-def page_features(source: str) -> Iterator[tuple[int, int, int, int]]:
-    """(node, parent, kind, feature) of a page; kind 0: presentation style,
-    1: content feature; each once per page."""
-    seen = set()
-    parents: dict[int, int] = {}
-    for node, path in walk(parse(source), 0):
-        inside = [c for c in node.children if isinstance(c, Node)]
-        for c in inside:
-            parents[_hash(f"{path}/{c.sign}")] = path
-        if node.tag in RAW or node.tag in INLINE:
-            continue
-        style = []
-        for c in inside:  # runs of the same style count as one
-            if c.tag not in INLINE and (not style or style[-1] != c.sign):
-                style.append(c.sign)
-        feature = (path, 0, _hash("\n".join(style)))
-        if feature not in seen:
-            seen.add(feature)
-            yield path, parents.get(path, -1), 0, feature[2]
-        own = _clean(_inline_text(node))
-        if own:
-            feature = (path, 1, _hash(own.lower()))
-            if feature not in seen:
-                seen.add(feature)
-                yield path, parents.get(path, -1), 1, feature[2]
+    """63 bits that are the same in every process."""
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
 
 
 def _inline_text(node: Node) -> str:
     """The text of a node and of its inline elements, not of its blocks."""
-    out, stack = [], list(reversed(node.children))
+    out, stack = [], node.children[::-1]
     while stack:
         c = stack.pop()
         if isinstance(c, str):
@@ -201,102 +171,127 @@ def _inline_text(node: Node) -> str:
         elif c.tag == "br":
             out.append(" ")
         elif c.tag in INLINE:
-            stack.extend(reversed(c.children))
+            stack.extend(c.children[::-1])
     return "".join(out)
 
 
-def main_text(source: str, low: frozenset | set = frozenset()) -> str:
-    """The page's text blocks in order; ``low`` has the nodes to remove."""
+def _tops(root: Node) -> list[Node]:
+    """The outermost articles that no prior removes, else the whole page."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.prior == 1:
+            found.append(node)
+        elif node.prior != 0:
+            stack.extend(c for c in node.children if not isinstance(c, str))
+    return found or [root]
+
+
+def read_page(source: str) -> tuple[list[str], list[list[int]], list[tuple[int, int, int, int]]]:
+    """(texts, chains, features) of a page in one walk over its tree.
+
+    ``texts`` are the text blocks in page order; ``chains[i]`` the element
+    nodes that block i hangs on and that a site's tree may remove.
+    ``features`` are (node, parent, kind, feature), each once per page; kind 0
+    is a presentation style, 1 a content feature.
+    """
     root = parse(source)
-    blocks: list[str] = []
+    tops = {id(n) for n in _tops(root)}
+    texts: list[str] = []
+    chains: list[list[int]] = []
+    features: dict[tuple, None] = {}
     run: list[str] = []
 
-    def flush():
-        text = _clean("".join(run))
-        run.clear()
-        if text:
-            blocks.append(text)
-
-    nodes = [(n, p) for n, p in walk(root, 0)]
-    articles = [(n, p) for n, p in nodes if n.tag in ("article", "main") and not _dropped(n)]
-    # The outermost articles, in page order; without any, the whole page.
-    tops = [(n, p) for n, p in articles if not any(_inside(n, o) for o, _ in articles if o is not n)]
-    for top, path in tops or [(root, 0)]:
-        # Explicit stack: (node or text, path of the node, closing?).
-        stack: list[tuple] = [(top, path, False)]
-        while stack:
-            item, at, closing = stack.pop()
-            if isinstance(item, str):
-                run.append(item)
-                continue
-            if closing:
-                flush()
-                continue
-            if item.tag == "br":
+    def flush(chain):
+        if run:
+            text = _clean("".join(run))
+            run.clear()
+            if text:
+                texts.append(text)
+                chains.append(list(chain))
+
+    # (node or text, its path, its parent's path, chain or None outside, closing?)
+    stack: list[tuple] = [(root, 0, -1, None, False)]
+    while stack:
+        node, path, up, chain, closing = stack.pop()
+        if closing:
+            flush(chain)
+            continue
+        if isinstance(node, str):
+            run.append(node)
+            continue
+        tag = node.tag
+        inline = tag in INLINE
+        if not inline and tag not in RAW:
+            style: list[str] = []
+            for c in node.children:  # runs of the same style count as one
+                if not isinstance(c, str) and c.tag not in INLINE and (not style or style[-1] != c.sign):
+                    style.append(c.sign)
+            features[path, up, 0, _hash("\n".join(style))] = None
+            own = _inline_text(node).strip(SPACE)
+            if own:
+                features[path, up, 1, _hash(own)] = None
+        if id(node) in tops:
+            chain = ()
+        elif chain is not None:
+            if tag == "br":
                 run.append(" ")
                 continue
-            if item.prior == 0 or item.tag in VOID:
-                continue
-            if at in low and item is not top and not _plain(item):
-                continue
-            if item.tag not in INLINE:
-                flush()
-                stack.append((item, at, True))
-            for c in reversed(item.children):
-                stack.append((c, _hash(f"{at}/{c.sign}") if isinstance(c, Node) else 0, False))
-        flush()
-    return "\n".join(blocks)
+            if node.prior == 0:
+                chain = None  # nothing below is text, but it is in the tree
+            elif not _plain(node):
+                chain = (*chain, path)
+        if chain is not None and not inline:
+            flush(chain)
+            stack.append((node, path, up, chain, True))
+        for c in reversed(node.children):
+            if not isinstance(c, str):
+                stack.append((c, _path(path, c.sign), path, chain, False))
+            elif chain is not None:
+                stack.append((c, 0, 0, chain, False))
+    return texts, chains, list(features)
 
 
 def _plain(node: Node) -> bool:
-    """A text block without a name of its own, or inline text, in an article."""
-    if node.sign.strip("|") != node.tag:
-        return False
-    if node.tag not in BLOCKS and node.tag not in INLINE:
-        return False
-    return _within_article(node)
+    """A text block or inline element without a name of its own: as important
+    as what it stands in."""
+    return (node.tag in BLOCKS or node.tag in INLINE) and node.sign == node.tag + "|||"
 
 
-def _within_article(node: Node) -> bool:
-    up = node.parent
-    while up is not None:
-        if up.tag in ("article", "main"):
-            return True
-        up = up.parent
-    return False
+def main_text(source: str, low: frozenset | set = frozenset()) -> str:
+    """The main text of one page; ``low`` has the element nodes to remove."""
+    texts, chains, _ = read_page(source)
+    return "\n".join(t for t, chain in zip(texts, chains, strict=True) if not low.intersection(chain))
 
 
-def _dropped(node: Node) -> bool:
-    while node is not None:
-        if node.prior == 0:
-            return True
-        node = node.parent
-    return False
+# --- Spark -------------------------------------------------------------------
 
 
-def _inside(node: Node, other: Node) -> bool:
-    up = node.parent
-    while up is not None:
-        if up is other:
-            return True
-        up = up.parent
-    return False
+_PAGE = ("same long, texts array<string>, chains array<array<long>>, "
+         "node array<long>, parent array<long>, kind array<long>, feature array<long>")
 
 
-# --- Spark -------------------------------------------------------------------
+def _reader(columns: list[str]):
+    """mapInArrow function: the columns, and what ``read_page`` finds."""
 
+    def run(batches):
+        for b in batches:
+            pages = b.column(b.schema.get_field_index("_html")).to_pylist()
+            out = [[] for _ in range(7)]
+            for source in pages:
+                texts, chains, features = read_page(source or "")
+                out[0].append(_hash(source or ""))
+                out[1].append(texts)
+                out[2].append(chains)
+                for column, values in zip(out[3:], zip(*features, strict=True), strict=True):
+                    column.append(list(values))
+            kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), *[pa.list_(pa.int64())] * 4]
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(b.schema.get_field_index(c)) for c in columns],
+                 *[pa.array(x, k) for x, k in zip(out, kinds, strict=True)]],
+                names=[*columns, "same", "texts", "chains", "node", "parent", "kind", "feature"])
 
-def _features(batches):
-    for b in batches:
-        host = b.column(b.schema.get_field_index("host")).to_pylist()
-        pages = b.column(b.schema.get_field_index("html")).to_pylist()
-        out = [[], [], [], [], []]
-        for h, source in zip(host, pages, strict=True):
-            for row in page_features(source):
-                for column, value in zip(out, (h, *row), strict=True):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *[pa.array(c, pa.int64()) for c in out[1:]]],
-                                         names=["host", "node", "parent", "kind", "feature"])
+    return run
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -304,17 +299,17 @@ def with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("host", host)
 
 
-def importance(pages: DataFrame) -> DataFrame:
-    """(host, node, parent, pages, importance) of every element node.
+def importance(read: DataFrame) -> DataFrame:
+    """(host, node, parent, pages, importance) of every element node of the
+    pages read (host, same, node, parent, kind, feature).
 
     Entropies use log base (number of distinct pages with the node):
     presentation = -sum p log p over styles; content = 1 - mean over features
     of the share of the node's pages that hold it, as log-count ratio.
     """
-    # Copies of a page are one page: dealt by content, one row each.
-    distinct = with_host(pages).select("host", F.coalesce("html", F.lit("")).alias("html")).groupBy(
-        "host", F.xxhash64("html").alias("same")).agg(F.first("html").alias("html")).select("host", "html")
-    counts = distinct.mapInArrow(_features, "host string, node long, parent long, kind long, feature long").groupBy(
+    # Copies of a page are one page: grouped by content within the host.
+    one = read.groupBy("host", "same").agg(F.first(F.arrays_zip("node", "parent", "kind", "feature")).alias("f"))
+    counts = one.select("host", F.inline("f")).groupBy(
         "host", "node", "parent", "kind", "feature").agg(F.count(F.lit(1)).alias("c"))
     # Every page shows a node in at least one style; the pages of a node are
     # at most the sum of its styles' pages.
@@ -340,46 +335,37 @@ def importance(pages: DataFrame) -> DataFrame:
                    F.col("content"))))
 
 
-def low_nodes(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def low_nodes(read: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(host, low): the nodes to remove on each host.  A node goes only if no
     child of it is important, so a wrapper of the article stays."""
-    nodes = written(importance(pages), "site-style")
+    nodes = written(importance(read), "site-style")
     best = nodes.groupBy("host", F.col("parent").alias("node")).agg(F.max("importance").alias("best"))
     low = nodes.join(best, ["host", "node"], "left").filter(
         (F.col("importance") < threshold) & (F.coalesce("best", F.lit(0.0)) < threshold))
     return low.groupBy("host").agg(F.collect_set("node").alias("low"))
 
 
-def _extract(columns):
-    def run(batches):
-        for b in batches:
-            pages = b.column(b.schema.get_field_index("_html")).to_pylist()
-            low = b.column(b.schema.get_field_index("_low")).to_pylist()
-            texts = [main_text(p or "", frozenset(x or ())) for p, x in zip(pages, low, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in range(len(columns))], pa.array(texts, pa.string())],
-                names=[*columns, "text"])
-
-    return run
-
-
 def extract(pages: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``pages`` plus the main ``text`` of each page."""
-    from pyspark.sql.types import StringType, StructField, StructType
+    """``columns`` of ``pages`` plus the main ``text`` of each page.
 
+    Every page is parsed once; its blocks wait in a written table for the
+    tree of their site.
+    """
     columns = columns or [c for c in pages.columns if c not in ("html", "text")]
-    low = written(low_nodes(pages.select("url", "html")), "site-style-low")
-    rows = with_host(pages.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
-                                  F.col("html").alias("_html"), "url"))
-    # Per host one row of its low nodes: planned by its size, and a host with
-    # many pages is split by the join like any other skewed key.
-    joined = rows.join(low.select(F.col("host").alias("_host"), F.col("low").alias("_low")),
-                       F.col("host") == F.col("_host"), "left")
     inner = [f"c{i}" for i in range(len(columns))]
-    schema = StructType([StructField(n, pages.schema[c].dataType) for n, c in zip(inner, columns, strict=True)]
-                        + [StructField("text", StringType())])
-    out = joined.select(*inner, "_html", "_low").mapInArrow(_extract(inner), schema)
-    return out.select(*[F.col(n).alias(c) for n, c in zip(inner, columns, strict=True)], "text")
+    rows = with_host(pages.select(*[F.col(c).alias(n) for n, c in zip(inner, columns, strict=True)],
+                                  F.col("html").alias("_html"), "url"))
+    kept = [*inner, "host"]
+    schema = StructType([rows.schema[c] for c in kept] + StructType.fromDDL(_PAGE).fields)
+    read = written(rows.select(*kept, "_html").mapInArrow(_reader(kept), schema), "site-pages", compression="zstd")
+    low = written(low_nodes(read), "site-style-low")
+    # One row per host, joined by its size: a broadcast where it is small,
+    # else a join that splits a host with many pages like any skewed key.
+    joined = read.select(*kept, "texts", "chains").join(
+        low.select(F.col("host").alias("_host"), "low"), F.col("host") == F.col("_host"), "left")
+    stays = F.filter(F.arrays_zip("texts", "chains"), lambda b: ~F.coalesce(F.arrays_overlap(b["chains"], F.col("low")), F.lit(False)))
+    text = F.array_join(F.when(F.col("low").isNull(), F.col("texts")).otherwise(F.transform(stays, lambda b: b["texts"])), "\n")
+    return joined.select(*[F.col(n).alias(c) for n, c in zip(inner, columns, strict=True)], text.alias("text"))
 
 
 def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,5 +373,3 @@ def op2_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), ["page_id", "url"])
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
-
-__all__ = ["extract", "importance", "main_text", "math", "op2_site_style", "parse"]
