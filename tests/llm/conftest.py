@@ -1,0 +1,21 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+TEXT = "doc_id long, text string"
+
+
+@pytest.fixture()
+def docs(spark):
+    """Builds a documents-like table of (doc_id, text) rows."""
+    def make(rows, schema=TEXT):
+        return spark.createDataFrame(rows, schema)
+    return make
+
+
+@pytest.fixture()
+def small():
+    return "/root/testdata/sf0.001"

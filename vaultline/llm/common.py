@@ -176,6 +176,20 @@ def hash_word(word: str) -> int:
     return int(t.hash[0])
 
 
+PIECE_BYTES = 4 << 20  # text handled at once inside a column function
+
+
+def pieces(texts: pa.Array, limit: int = PIECE_BYTES):
+    """(start, stop) of consecutive rows with about ``limit`` bytes of text;
+    a longer text is a piece of its own.  Bounds the arrays of a batch."""
+    offs = text_bytes(texts)[1]
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, side="right")) - 1)
+        yield at, to
+        at = to
+
+
 def gathered(batches, limit: int):
     """Join small Arrow batches of (id..., text) up to ``limit`` text bytes."""
     held, size = [], 0

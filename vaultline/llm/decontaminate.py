@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import ALNUM, gathered, mix64, table, tokenize
+from vaultline.llm.common import ALNUM, gathered, table, tokenize
 
 WINDOW = 10
 SHARD_BYTES = 8 << 20
@@ -62,6 +62,7 @@ class Phrases:
     def shortest(self) -> int:
         return min((g[0].shape[1] for g in self.groups), default=0)
 
+
 def phrases(item_ids: list, texts: list[str | None], window: int = WINDOW) -> Phrases:
     t = tokenize(pa.array(texts, pa.string()), ALNUM)
     words = np.unique(t.hash)
@@ -373,5 +374,3 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
     )
 
-
-__all__ = ["FMIndex", "WaveletMatrix", "mix64", "op4_decontaminate", "phrases", "remove_spans", "search"]

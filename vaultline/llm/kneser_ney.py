@@ -264,9 +264,11 @@ def _store_pairs(folder: str, offsets: tuple):
         )):
             some = value > 0
             k, v = summed(number[some], value[some])
+            if not len(k):
+                continue
             # The start context has no vocabulary entry: a shard of its own.
             part = np.where(k > offsets[-1], len(offsets) - 1, np.searchsorted(offsets, k - 1, side="right") - 1)
-            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(k) else np.zeros(0, int)
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             for a, b in zip(cuts, np.r_[cuts[1:], len(k)], strict=True):
                 rows["shard"].append(int(part[a]))
                 rows["kind"].append(kind)

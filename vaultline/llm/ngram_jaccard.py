@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import SPACED, mix64, table, text_or_empty, tokenize, written
+from vaultline.llm.common import SPACED, mix64, pieces, table, text_or_empty, tokenize, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -92,9 +92,8 @@ def minhashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _sign(batches):
     """Per text: a digest of its shingle set and its MinHash signature."""
-    for b in batches:
-        texts = b.column(b.schema.get_field_index("text"))
-        h, offs = shingle_sets(texts)
+    for b in (b.slice(at, to - at) for b in batches for at, to in pieces(b.column(b.schema.get_field_index("text")))):
+        h, offs = shingle_sets(b.column(b.schema.get_field_index("text")))
         sig = minhashes(h, offs)
         size = np.diff(offs)
         # Set digest: two sums of mixed members (order does not matter).

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import SPACED, check_mod, table, text_bytes, tokenize, written
+from vaultline.llm.common import SPACED, check_mod, pieces, table, text_bytes, tokenize, written
 
 POOL = 0.1  # shrinkage of a class covariance towards the pooled one
 RIDGE = 0.02  # shrinkage towards the pooled diagonal
@@ -106,7 +106,7 @@ def stats_column(text: Column) -> Column:
 
     @F.arrow_udf("array<double>")
     def stats(texts: pa.Array) -> pa.Array:
-        x = statistics(texts)
+        x = np.concatenate([statistics(texts[a:b]) for a, b in pieces(texts)] or [np.zeros((0, len(STATISTICS)))])
         starts = np.arange(0, x.size + 1, len(STATISTICS), dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(starts), pa.array(x.ravel()))
 

@@ -202,8 +202,10 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def _listed(kinds: tuple[str, ...]) -> Column:
     """kind:start:end by start, then kind as listed, comma-joined."""
-    parts = [F.transform(F.col(k), lambda x, i=i: F.struct(x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e")))
-             for i, k in enumerate(kinds)]
+    def numbered(kind: str, number: int) -> Column:
+        return F.transform(F.col(kind), lambda x: F.struct(x["s"].alias("s"), F.lit(number).alias("k"), x["e"].alias("e")))
+
+    parts = [numbered(k, i) for i, k in enumerate(kinds)]
     names = F.array(*[F.lit(k) for k in kinds])
     return F.array_join(F.transform(F.array_sort(F.concat(*parts)), lambda x: F.concat_ws(
         ":", F.get(names, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")

@@ -6,7 +6,7 @@ by all thresholds ``c_0 < c_1 < ...``; the score is the expected severity
 
 Features are sparse: ``1 + log(count)`` of each selected word held.  Words are
 selected on the labelled sample by how much more often toxic documents hold
-them (two-proportion z), so a long clean text adds nothing and a long toxic
+them than chance allows, so a long clean text adds nothing and a long toxic
 text is not diluted.  The labels are binary, so the training grades of toxic
 documents are the number of selected-word occurrences in them, cut at
 ``GRADE_CUTS``: 1 = a few, 2 = several, 3 = many; clean documents are grade 0.
@@ -31,14 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import ALNUM, table, text_bytes, tokenize
+from vaultline.llm.common import ALNUM, pieces, table, tokenize
 
 SAMPLE = 6000  # labelled documents to fit on (documented bound)
-MIN_Z = 8.0  # association needed to become a feature
-MIN_DOCS = 5
+FALSE_WORDS = 5  # words expected to reach the bound by chance
+MIN_DOCS = 3  # toxic documents that must hold a feature word, at least
+MIN_SHARE = 0.02  # and as a share of the toxic documents
+MIN_PRECISION = 0.5  # share of the documents holding it that are toxic
 MAX_FEATURES = 4096  # a model size, the strongest associations first
 GRADE_CUTS = (3, 8)  # occurrences from which grade 2, grade 3
-REJECT = 0.3  # expected severity from which a document is toxic
+REJECT = 0.15  # expected severity from which a document is toxic
 PENALTY = 1e-2
 STEPS = 3000  # gradient steps; the sample has few non-zero features
 
@@ -85,15 +87,18 @@ def _select(rows: list) -> np.ndarray:
     words, index = np.unique(hashes, return_inverse=True)
     in_toxic = np.bincount(index, owner, len(words))
     in_all = np.bincount(index, minlength=len(words))
-    n1, n0 = toxic.sum(), (~toxic).sum()
-    share = in_all / len(rows)
-    z = (in_toxic / n1 - (in_all - in_toxic) / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
-    good = np.flatnonzero((z >= MIN_Z) & (in_all >= MIN_DOCS))
-    good = good[np.argsort(-z[good], kind="stable")][:MAX_FEATURES]
+    # Chernoff bound on seeing the word in that many toxic documents by
+    # chance, with at most FALSE_WORDS words expected to pass by chance.
+    p = np.clip(in_toxic / in_all, 1e-9, 1 - 1e-9)
+    toxic_share = toxic.mean()
+    bound = in_all * (p * np.log(p / toxic_share) + (1 - p) * np.log((1 - p) / (1 - toxic_share)))
+    often = in_toxic >= max(MIN_DOCS, MIN_SHARE * toxic.sum())
+    good = np.flatnonzero(often & (p > max(toxic_share, MIN_PRECISION)) & (bound >= np.log(len(words) / FALSE_WORDS)))
+    good = good[np.argsort(-bound[good], kind="stable")][:MAX_FEATURES]
     return np.sort(words[good])
 
 
-def _counts(words: np.ndarray, hashes: np.ndarray, counts: np.ndarray, doc: np.ndarray, n: int) -> tuple:
+def _counts(words: np.ndarray, hashes: np.ndarray, counts: np.ndarray, doc: np.ndarray) -> tuple:
     """(doc, feature, count) of the selected words among the given ones."""
     at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
     hit = words[at] == hashes
@@ -112,7 +117,7 @@ def fit(rows: list) -> Model:
     hashes = np.concatenate([np.asarray(r["words"], np.int64) for r in rows]).view(np.uint64)
     counts = np.concatenate([np.asarray(r["counts"], np.int64) for r in rows])
     doc = np.repeat(np.arange(len(rows)), [len(r["words"]) for r in rows])
-    d, f, c = _counts(words, hashes, counts, doc, len(rows))
+    d, f, c = _counts(words, hashes, counts, doc)
     held = np.bincount(d, c, len(rows))
     grade = np.where(toxic, 1 + sum((held >= cut).astype(int) for cut in GRADE_CUTS), 0)
     top = int(grade.max())
@@ -144,17 +149,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def severity(model: Model, text: str = "text") -> Column:
     """Expected severity of each text."""
 
+    def part(texts: pa.Array) -> np.ndarray:
+        t = tokenize(texts, ALNUM)
+        d, f, _ = _counts(model.words, t.hash, np.ones(len(t), np.int64), t.doc)
+        pair, times = np.unique(d * len(model.words) + f, return_counts=True)
+        weight = model.weights[pair % len(model.words)] * (1 + np.log(times))
+        eta = np.bincount(pair // len(model.words), weight, len(texts))
+        return (1 / (1 + np.exp(-np.clip(eta[:, None] - model.cuts, -40, 40)))).sum(1)
+
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        n = len(texts)
         if not len(model.words):
-            return pa.array(np.zeros(n))
-        t = tokenize(texts, ALNUM)
-        d, f, _ = _counts(model.words, t.hash, np.ones(len(t), np.int64), t.doc, n)
-        pair, times = np.unique(d * len(model.words) + f, return_counts=True)
-        eta = np.bincount(pair // len(model.words), model.weights[pair % len(model.words)] * (1 + np.log(times)), n)
-        p = 1 / (1 + np.exp(-np.clip(eta[:, None] - model.cuts, -40, 40)))
-        return pa.array(p.sum(1))
+            return pa.array(np.zeros(len(texts)))
+        return pa.array(np.concatenate([part(texts[a:b]) for a, b in pieces(texts)] or [np.zeros(0)]))
 
     return score(F.col(text))
 
@@ -183,6 +190,3 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.round("severity", 6).alias("severity"), F.round("severity").cast("int").alias("grade"),
         (F.col("severity") >= REJECT).cast("int").alias("toxic"),
     )
-
-
-__all__ = ["Model", "fit", "keep_clean", "op6_toxicity", "rated", "severity", "text_bytes", "train"]
