@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from vaultline.constants import LOAD_DATE_2
+from vaultline.constants import AS_OF, LOAD_DATE_1, LOAD_DATE_2
 from vaultline.operators.loaders import sat_rows
 from vaultline.plans.build import build_warehouse
 from vaultline.plans.vault import SATS, status_rank
@@ -18,12 +18,12 @@ from vaultline.streaming.incremental import landing_stream, vault_stream
 def test_build_twice_appends_nothing(spark, tmpdir_path, buckets):
     out = os.path.join(tmpdir_path, "wh")
     db = f"vault_test_{os.path.basename(tmpdir_path).replace('-', '_')}"
-    first = build_warehouse(spark, SF_SMALL, out, vault_buckets=buckets, vault_database=db)
+    first = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, vault_buckets=buckets, vault_database=db)
     assert first["hub_patient"] > 0 and first["sat_appointment_status"] > 0
     if buckets:
         # A new session would re-declare the tables over the stored files.
         spark.sql(f"DROP TABLE {db}.hub_patient")
-    second = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_2,
+    second = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_2, as_of=AS_OF,
                              vault_buckets=buckets, vault_database=db)
     assert set(second.values()) == {0}
     report = spark.read.parquet(os.path.join(out, "tests", "dq_report"))
@@ -107,6 +107,6 @@ def test_build_can_fail_on_data_test_failures(spark, tmpdir_path):
 
     out = os.path.join(tmpdir_path, "wh")
     with pytest.raises(DataTestFailure, match="stg_patients.patient_id unique"):
-        build_warehouse(spark, SF_SMALL, out, feed_source=feeds, fail_on_test_failures=True)
+        build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, feed_source=feeds, fail_on_test_failures=True)
     report = spark.read.parquet(os.path.join(out, "tests", "dq_report"))
     assert report.filter("failures > 0").count() >= 1

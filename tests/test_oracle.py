@@ -9,7 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+import oracle
 from conftest import SF_SMALL
+from vaultline.plans.registry import registry
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
@@ -41,8 +43,9 @@ def con():
     return c
 
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+# The library's own queries; tests/llm covers the training-data ones.
+QUERIES = registry()
+ORACLES = oracle.oracle_queries()
 
 
 def test_every_query_has_an_oracle():
@@ -68,21 +71,3 @@ def test_query_matches_oracle(spark, con, key):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert got == rows_of(cols, res.fetchall())
-
-
-def test_full_appointment_pit_rows_match_literal_sql(spark, con):
-    """The whole 181-day appointment PIT, row by row, against the literal
-    spine x history SQL (too large to register as a query at sf0.01)."""
-    import oracle
-    from vaultline.plans.warehouse import Warehouse
-
-    wh = Warehouse(spark, SF_SMALL)
-    wh.prepare("pit_appointment")
-    df = wh.model("pit_appointment")
-    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(oracle.model("pit_appointment"))
-    cols = [d[0] for d in res.description]
-    assert sorted(df.columns) == sorted(cols)
-    expect = rows_of(cols, res.fetchall())
-    assert len(got) > 100_000
-    assert got == expect

@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from vaultline.constants import AS_OF, LOAD_DATE_1
 from vaultline.functions.keys import hash_key
 from vaultline.operators.loaders import hub_rows, sat_rows
 from vaultline.plans.build import build_warehouse
@@ -42,7 +43,7 @@ def test_hub_dedup_is_top1_before_the_shuffle(spark):
 def test_bucketed_vault_target_is_not_shuffled(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "wh")
     db = "vault_plan_" + os.path.basename(tmpdir_path).replace("-", "_")
-    build_warehouse(spark, SF_SMALL, out, vault_buckets=4, vault_database=db, run_tests=False)
+    build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, vault_buckets=4, vault_database=db, run_tests=False)
     stored = spark.table(f"{db}.hub_appointment")
     batch = stored.select("appointment_hk", "appointment_id", "load_date", "record_source")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -10,7 +10,6 @@ from __future__ import annotations
 import argparse
 import json
 
-from vaultline.constants import AS_OF, LOAD_DATE_1
 from vaultline.plans.build import build_warehouse
 from vaultline.session import get_spark
 
@@ -19,8 +18,9 @@ def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="vaultline", description=__doc__.splitlines()[0])
     p.add_argument("source", help="root of the source tables (<name>.parquet each)")
     p.add_argument("out", help="warehouse root; layers are written under it")
-    p.add_argument("--load-date", default=LOAD_DATE_1, help="batch timestamp")
-    p.add_argument("--as-of", default=AS_OF, help="as-of day of the point-in-time snapshot")
+    p.add_argument("--load-date", default=None, help="batch timestamp (default: now, UTC)")
+    p.add_argument("--as-of", default=None,
+                   help="as-of day of the point-in-time snapshot (default: today, UTC)")
     p.add_argument("--csv-feeds", default=None,
                    help="read the 13 feeds from this bronze CSV root instead of the tables")
     p.add_argument("--vault-buckets", type=int, default=None,

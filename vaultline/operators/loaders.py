@@ -147,31 +147,28 @@ def sat_rows(
     if existing is not None:
         # Only two kinds of stored rows can precede a batch row: the stored
         # rows at or after the batch's earliest timestamp for that key, and
-        # the single latest stored row before it (the anchor).  A daily load
-        # against years of history therefore reads about one stored row per
-        # key; late and out-of-order rows keep the full sequence they need.
-        first_new = batch.groupBy(pk, source).agg(F.min(ldts).alias("_first_new"))
-        # A left join plus a filter is the inner join, but its output keeps
-        # only the stored side's partitioning (an inner join's pair of
-        # partitionings trips the planner once AQE coalesces the two sides to
-        # different partition counts).
+        # per source the latest stored row before it (the anchor).  A daily
+        # load against years of history therefore keeps about one stored row
+        # per key and source; late and out-of-order rows keep the full
+        # sequence they need.  The stored side is read once and joined on the
+        # key alone, which is how a bucketed target is stored; the window
+        # below it is clustered by the same key.  A batch row without a
+        # timestamp sorts first, so it keeps the whole stored sequence.
+        first_new = batch.groupBy(pk).agg(
+            F.min(ldts).alias("_first_new"), F.max(F.col(ldts).isNull()).alias("_all"))
         stored = (
             existing.select(*cols)
-            .join(first_new, [pk, source], "left")
-            .filter(F.col("_first_new").isNotNull())
+            .join(first_new, pk, "inner")
             .withColumn("_tie", tie_col)
             .withColumn("_origin", F.lit(0))
         )
         position = F.struct(F.col(ldts), F.col("_tie"), F.col(hashdiff))
-        anchor = (
-            stored.filter(F.col(ldts) < F.col("_first_new"))
-            .groupBy(pk, source)
-            .agg(F.max(position).alias("_anchor"))
-        )
+        before = F.col(ldts).isNull() | (F.col(ldts) < F.col("_first_new"))
+        anchor = F.max(F.when(before, position)).over(Window.partitionBy(pk, source))
         kept = (
-            stored.join(anchor, [pk, source], "left")
-            .filter((F.col(ldts) >= F.col("_first_new")) | (position == F.col("_anchor")))
-            .drop("_first_new", "_anchor")
+            stored.withColumn("_anchor", anchor)
+            .filter(F.col("_all") | ~before | position.eqNullSafe(F.col("_anchor")))
+            .drop("_first_new", "_all", "_anchor")
         )
         rows = kept.unionByName(batch)
     order = [F.col(ldts), F.col("_tie"), F.col(hashdiff), F.col("_origin")]

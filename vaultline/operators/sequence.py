@@ -60,7 +60,7 @@ def _neighbour(
         fn(F.col("_nb_edge")).over(wb).alias("_nb_carry"),
     )
     cond = [F.col(k).eqNullSafe(F.col("_nb_k_" + k)) for k in keys]
-    cond.append(F.col(b) == F.col("_nb_kb"))
+    cond.append(F.col(b).eqNullSafe(F.col("_nb_kb")))
     w = Window.partitionBy(*keys, b).orderBy(F.col(o))
     # A NULL struct means "no neighbour inside the bucket"; a struct holding a
     # NULL field is a real neighbour whose value is NULL.

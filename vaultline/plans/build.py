@@ -17,11 +17,11 @@ layer, and downstream plans start from pruned, pushed-down parquet scans.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.constants import AS_OF, LOAD_DATE_1
 from vaultline.operators.checks import run_checks
 from vaultline.plans.vault import HUBS, LINKS, SATS
 from vaultline.plans.warehouse import Warehouse
@@ -51,8 +51,8 @@ def build_warehouse(
     spark: SparkSession,
     source_root: str,
     out_root: str,
-    load_date: str = LOAD_DATE_1,
-    as_of: str = AS_OF,
+    load_date: str | None = None,
+    as_of: str | None = None,
     feed_source=None,
     run_tests: bool = True,
     max_workers: int = 8,
@@ -65,9 +65,14 @@ def build_warehouse(
     ``vault_buckets`` declares every hub, link and satellite as a table in
     ``vault_database`` bucketed by its hash key (stored at the same path), so
     loads against a large stored vault shuffle only the incoming batch.
+    ``load_date`` and ``as_of`` default to the time and day of the batch start.
     ``fail_on_test_failures`` raises ``DataTestFailure`` (listing the failing
     tests) when any data test fails; the report is written either way.
     """
+    # One timestamp for the whole batch, taken at its start.
+    now = datetime.now(timezone.utc)
+    load_date = load_date or now.strftime("%Y-%m-%d %H:%M:%S")
+    as_of = as_of or now.strftime("%Y-%m-%d")
     wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source,
                    materialize=False)
 
@@ -81,6 +86,12 @@ def build_warehouse(
         with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(items)))) as pool:
             return list(pool.map(fn, items))
 
+    if feed_source is None:
+        # The order base is the input of six staging models: written once.
+        base = table_path(out_root, "staging", "order_base")
+        overwrite(wh.order_facts, base)
+        wh.order_facts = spark.read.parquet(base)
+
     lookups = [n for n in STAGING if n in ("stg_appointments", "stg_exams")]
     for wave in ([n for n in STAGING if n not in lookups], lookups):
         in_parallel(lambda n: publish(n, "staging", wh.model(n)), wave)
@@ -147,7 +158,7 @@ def build_warehouse(
         if fail_on_test_failures:
             failed = spark.read.parquet(report_path).filter(F.col("failures") > 0)
             bad = [f"{r.model}.{r.column_name} {r.test}: {r.failures}"
-                   for r in failed.limit(50).collect()]
+                   for r in failed.collect()]  # at most one row per declared test
             if bad:
                 raise DataTestFailure("data tests failed:\n" + "\n".join(bad))
     return appended

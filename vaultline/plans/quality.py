@@ -194,7 +194,7 @@ def audit_bridge_grain(spark, root, wh: Warehouse | None = None) -> DataFrame:
     """At most one exam per appointment; the bridge has one row per appointment."""
     wh = wh or Warehouse(spark, root)
     exams = wh.model("lnk_exam").groupBy("source_appointment_hk").agg(F.count(F.lit(1)).alias("n"))
-    bridge = wh.bridge_encounter.groupBy("appointment_hk").agg(F.count(F.lit(1)).alias("n"))
+    bridge = wh.model("bridge_encounter").groupBy("appointment_hk").agg(F.count(F.lit(1)).alias("n"))
     return _audit(exams, "bridge_grain", "exam_per_appointment", F.col("n") > 1).unionByName(
         _audit(bridge, "bridge_grain", "bridge_rows_per_appointment", F.col("n") > 1))
 

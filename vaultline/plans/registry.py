@@ -66,9 +66,11 @@ MODEL_KEYS: dict[str, str] = {
     "sat_exam_status": "sat_exam_status",
     "sat_payment": "sat_payment",
     "sat_feedback": "sat_feedback",
+    "pit_appointment": "pit_appointment",
     "pit_single_day": "appointment_status_today",
     "bridge_encounter": "bridge_encounter",
     "dim_date": "dim_date",
+    "dim_date_window": "dim_date_window",
     "dim_patient": "dim_patient",
     "dim_practitioner": "dim_practitioner",
     "dim_facility": "dim_facility",

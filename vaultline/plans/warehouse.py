@@ -27,7 +27,7 @@ from vaultline.constants import AS_OF, LOAD_DATE_1, PIT_DAYS_BACK, SOURCE_CLINIC
 from vaultline.functions.dates import date_key, ntz
 from vaultline.operators.asof import asof_day, pit
 from vaultline.operators.bridge import left_chain
-from vaultline.operators.calendar import calendar
+from vaultline.operators.calendar import calendar, calendar_window
 from vaultline.operators.loaders import hub_rows, link_rows, sat_rows
 from vaultline.operators.survive import source_rank, survive
 from vaultline.plans import staging as S
@@ -76,6 +76,7 @@ MODEL_DEPS = {
     "dim_insurance_provider": ("stg_insurance_providers",),
     "dim_exam_type": ("stg_exam_types",),
     "dim_date": ("stg_appointments", "stg_exams", "stg_payments", "stg_patient_feedback"),
+    "dim_date_window": ("stg_appointments",),
     "fact_appointment": ("stg_appointments", "appointment_status_today", "bridge_encounter",
                          "stg_payments", "stg_patient_feedback"),
     "fact_exam": ("stg_exams", "lnk_payment_exam", "stg_payments"),
@@ -321,36 +322,37 @@ class Warehouse:
             value_names=["status_as_of"], ts_name="sat_appointment_status_ldts",
         )
 
-    @cached_property
-    def bridge_encounter(self) -> DataFrame:
+    def _encounters(self, details: bool) -> DataFrame:
+        """One row per appointment and what is linked to it.  Every side is
+        completed on its own key first, so the chain is joined on
+        ``appointment_hk`` alone.  ``details`` adds the payment's and the
+        feedback's own columns."""
         m = self.model
-        a = m("lnk_appointment").select(
+        base = m("lnk_appointment").select(
             "appointment_hk", "patient_hk", "practitioner_hk", "facility_hk", "specialty_hk")
-        ai = m("lnk_appointment_insurance").select(
+        insurer = m("lnk_appointment_insurance").select(
             "appointment_hk", F.col("insurance_provider_hk").alias("appointment_insurance_provider_hk"))
-        ex = m("lnk_exam").select("exam_hk", "source_appointment_hk", "exam_type_hk")
-        ap = m("lnk_payment_appointment").select(
-            F.col("reference_hk").alias("appointment_hk"),
-            F.col("payment_hk").alias("appointment_payment_hk"))
-        exp = (
-            m("lnk_payment_exam").alias("p")
-            .join(ex.alias("e"), F.col("e.exam_hk") == F.col("p.reference_hk"), "inner")
-            .select(F.col("e.source_appointment_hk").alias("_xp_appt"),
-                    F.col("e.exam_hk").alias("_xp_exam"),
-                    F.col("p.payment_hk").alias("exam_payment_hk"))
-        )
-        # The exam payment must match both the appointment and the exam of the
-        # row; attaching it to its exam first keeps every join of the chain on
-        # appointment_hk (no re-shuffle of the growing left side).
-        exam_side = (
-            ex.join(exp, (F.col("_xp_exam") == F.col("exam_hk"))
-                    & (F.col("_xp_appt") == F.col("source_appointment_hk")), "left")
-            .select(F.col("source_appointment_hk").alias("appointment_hk"),
-                    "exam_hk", "exam_type_hk", "exam_payment_hk")
-        )
-        fb = m("lnk_feedback").select("appointment_hk", "feedback_hk")
-        out = left_chain(a, "appointment_hk", [ai, exam_side, ap, fb])
-        return out.select(
+        exam_payment = m("lnk_payment_exam").select(
+            F.col("reference_hk").alias("exam_hk"), F.col("payment_hk").alias("exam_payment_hk"))
+        exam = m("lnk_exam").select(
+            F.col("source_appointment_hk").alias("appointment_hk"), "exam_hk", "exam_type_hk",
+        ).join(exam_payment, "exam_hk", "left")
+        payment = m("lnk_payment_appointment").select(
+            F.col("reference_hk").alias("appointment_hk"), F.col("payment_hk").alias("appointment_payment_hk"))
+        feedback = m("lnk_feedback").select("appointment_hk", "feedback_hk")
+        if details:
+            payment = payment.join(
+                m("stg_payments").select(F.col("payment_hk").alias("appointment_payment_hk"), "amount",
+                                         "payment_method", "payment_status"),
+                "appointment_payment_hk", "left")
+            feedback = feedback.join(
+                m("stg_patient_feedback").select("feedback_hk", F.col("rating").alias("feedback_rating")),
+                "feedback_hk", "left")
+        return left_chain(base, "appointment_hk", [insurer, exam, payment, feedback])
+
+    @cached_property
+    def bridge_encounter(self) -> DataFrame:
+        return self._encounters(details=False).select(
             "appointment_hk", "patient_hk", "practitioner_hk", "facility_hk", "specialty_hk",
             "appointment_insurance_provider_hk", "exam_hk", "exam_type_hk",
             "appointment_payment_hk", "exam_payment_hk", "feedback_hk",
@@ -396,6 +398,13 @@ class Warehouse:
         return self.model("stg_exam_types").select(
             "exam_type_hk", "exam_type_id", "tuss_code", "name", "category", "self_pay_price")
 
+    @cached_property
+    def dim_date_window(self) -> DataFrame:
+        """Calendar from 730 days before to 365 days after the current day,
+        which for these tables is the day of the latest appointment."""
+        today = self.model("stg_appointments").agg(F.max(F.to_date("scheduled_at")).alias("today"))
+        return calendar_window(today, "today")
+
     @cached_property
     def dim_date(self) -> DataFrame:
         """Calendar spanning every date the facts refer to."""
@@ -411,21 +420,11 @@ class Warehouse:
     def fact_appointment(self) -> DataFrame:
         a = self.model("stg_appointments")
         ts = self.model("appointment_status_today").select("appointment_hk", "status_as_of")
-        b = self.model("bridge_encounter").select(
-            "appointment_hk", F.col("exam_hk").alias("b_exam_hk"),
-            F.col("exam_type_hk").alias("b_exam_type_hk"),
-            "appointment_payment_hk", F.col("feedback_hk").alias("b_feedback_hk"))
-        p = self.model("stg_payments").select(
-            F.col("payment_hk").alias("appointment_payment_hk"), "amount",
-            "payment_method", "payment_status")
-        f = self.model("stg_patient_feedback").select(
-            F.col("feedback_hk").alias("b_feedback_hk"), F.col("rating").alias("feedback_rating"))
-        j = (
-            a.join(ts, "appointment_hk", "left")
-            .join(b, "appointment_hk", "left")
-            .join(p, "appointment_payment_hk", "left")
-            .join(f, "b_feedback_hk", "left")
-        )
+        links = self._encounters(details=True).select(
+            "appointment_hk", F.col("exam_hk").alias("b_exam_hk"), F.col("exam_type_hk").alias("b_exam_type_hk"),
+            F.col("feedback_hk").alias("b_feedback_hk"), "amount", "payment_method", "payment_status",
+            "feedback_rating")
+        j = left_chain(a, "appointment_hk", [ts, links])
         return j.select(
             "appointment_id", "appointment_hk", "patient_hk", "practitioner_hk", "facility_hk",
             "specialty_hk", "insurance_provider_hk",
@@ -447,7 +446,8 @@ class Warehouse:
         pl = self.model("lnk_payment_exam").select(
             "payment_hk", F.col("reference_hk").alias("exam_hk"))
         p = self.model("stg_payments").select("payment_hk", "amount", "payment_method", "payment_status")
-        j = e.join(pl, "exam_hk", "left").join(p, "payment_hk", "left")
+        # Payments meet their link on the small side; the fact is joined once.
+        j = e.join(pl.join(p, "payment_hk", "left"), "exam_hk", "left")
         return j.select(
             "exam_id", "exam_hk", F.col("source_appointment_hk").alias("appointment_hk"),
             "patient_hk", "facility_hk", "exam_type_hk", "insurance_provider_hk",
@@ -536,7 +536,7 @@ class Warehouse:
             return
         from_orders = need & ORDER_STAGING
         first: list = sorted(need - from_orders)
-        if from_orders and "order_facts" not in self.__dict__:
+        if from_orders and self._feed_source is None and "order_facts" not in self.__dict__:
             first.append("order_facts")
 
         def write(name: str) -> None:
@@ -550,47 +550,6 @@ class Warehouse:
                 with ThreadPoolExecutor(max_workers=max(1, min(8, len(wave)))) as pool:
                     list(pool.map(write, wave))
 
-    def register_views(self, names=None) -> list[str]:
-        """Expose models as temporary views for SQL users (``spark.sql``).
-
-        Views are lazy: a SQL query over them is planned by Catalyst together
-        with the models it reads.  Defaults to every staging, vault, business
-        and gold model.
-        """
-        if names is None:
-            names = [*STAGING_MODELS, *MODEL_DEPS, *HUBS, *LINKS, *SATS]
-        names = [n for n in dict.fromkeys(names) if n != "appointment_status_today"]
-        self.prepare(*names)
-        for n in names:
-            self.model(n).createOrReplaceTempView(n)
-        return names
-
-    def cleanup(self) -> None:
-        """Delete this run's written staging tables (after its results are used)."""
-        if not self.materialize:
-            return
-        delete(self.spark, scratch_path(self.spark, "tables", self.run_id))
-        self._staged.clear()
-        self.__dict__.pop("order_facts", None)
-
-    def prepare(self, *names: str) -> None:
-        """Write the staging tables that ``names`` need, independent ones
-        concurrently (Spark runs jobs submitted from several threads side by
-        side), in two waves: plain staging, then staging with lookups."""
-        if not self.materialize:
-            return
-        need: set[str] = set()
-        for n in names:
-            need |= staging_needs(n)
-        need = {n for n in need if n in self.materialize_models and n not in self._staged}
-        if not need:
-            return
-        self.order_facts  # noqa: B018 - the shared base is written first
-        top = need & set(LOOKUP_STAGING)
-        for wave in (sorted(need - top), sorted(top)):
-            with ThreadPoolExecutor(max_workers=max(1, min(8, len(wave)))) as pool:
-                list(pool.map(self.model, wave))
-
     def model(self, name: str) -> DataFrame:
         if name in self.overrides:
             return self.overrides[name]

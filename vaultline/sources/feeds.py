@@ -8,15 +8,21 @@ producing NULLs.  Both layouts are read:
 * flat dated files ``<root>/<entity>/<entity>_<yyyy-MM-dd>.csv``;
 * Spark-written partitions ``<root>/<entity>/extract_date=<yyyy-MM-dd>/part-*.csv``.
 
-Nullable integer ids written by pandas arrive as ``12.0``; they are read as
-DOUBLE and cast to BIGINT in staging, so the key is the one of id 12.
+The header of every file must name the feed's columns in their order: a
+reordered, missing or extra column stops the load instead of filling the
+wrong fields.  Quotes inside a quoted field are doubled (RFC 4180).
+
+Integer ids are read as text, because nullable ids written by pandas arrive
+as ``12.0``: digits with an optional zero fraction become BIGINT exactly (no
+detour over DOUBLE, which changes ids above 2**53); anything else stops the
+load.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEED_SCHEMAS: dict[str, str] = {
@@ -34,16 +40,16 @@ FEED_SCHEMAS: dict[str, str] = {
                 "created_at TIMESTAMP_NTZ",
     "partner_patients": "partner_patient_id BIGINT, cpf STRING, name STRING, phone STRING, "
                         "email STRING, city STRING, state STRING, registered_at TIMESTAMP_NTZ",
-    "appointments": "appointment_id BIGINT, rescheduled_from_id DOUBLE, patient_id BIGINT, "
+    "appointments": "appointment_id BIGINT, rescheduled_from_id BIGINT, patient_id BIGINT, "
                     "practitioner_id BIGINT, specialty_id BIGINT, facility_id BIGINT, "
                     "scheduled_at TIMESTAMP_NTZ, visit_type STRING, "
-                    "insurance_provider_id DOUBLE, current_status STRING, "
+                    "insurance_provider_id BIGINT, current_status STRING, "
                     "created_at TIMESTAMP_NTZ",
     "appointment_status_history": "appointment_id BIGINT, status STRING, "
                                   "status_at TIMESTAMP_NTZ",
     "exams": "exam_id BIGINT, source_appointment_id BIGINT, patient_id BIGINT, "
              "exam_type_id BIGINT, facility_id BIGINT, scheduled_at TIMESTAMP_NTZ, "
-             "visit_type STRING, insurance_provider_id DOUBLE, current_status STRING, "
+             "visit_type STRING, insurance_provider_id BIGINT, current_status STRING, "
              "created_at TIMESTAMP_NTZ",
     "exam_status_history": "exam_id BIGINT, status STRING, status_at TIMESTAMP_NTZ",
     "payments": "payment_id BIGINT, reference_type STRING, reference_id BIGINT, "
@@ -56,9 +62,30 @@ FEED_SCHEMAS: dict[str, str] = {
 _DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
+_ID = r"^\s*[+-]?\d+(\.0*)?\s*$"
+
+
+def _columns(entity: str) -> list[tuple[str, str]]:
+    """(name, type) of the feed's columns."""
+    return [tuple(f.split(maxsplit=1)) for f in FEED_SCHEMAS[entity].split(", ")]
+
+
+def _exact_id(name: str) -> Column:
+    c = F.col(name)
+    return (
+        F.when(c.isNull(), F.lit(None).cast("bigint"))
+        .when(c.rlike(_ID), c.cast("decimal(38,9)").cast("bigint"))
+        .otherwise(F.raise_error(F.concat(F.lit(f"{name} is not an integer id: "), c)).cast("bigint"))
+        .alias(name)
+    )
+
+
 def _reader(spark: SparkSession, entity: str):
+    raw = ", ".join(f"{n} {'STRING' if t == 'BIGINT' else t}" for n, t in _columns(entity))
     return (
-        spark.read.schema(FEED_SCHEMAS[entity])
+        spark.read.schema(raw)
+        .option("enforceSchema", False)
+        .option("escape", '"')
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("timestampNTZFormat", "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS][.SSS]")
@@ -70,8 +97,7 @@ def scan_feed(spark: SparkSession, root: str, entity: str) -> DataFrame:
     path = os.path.join(root, entity)
     df = _reader(spark, entity).option("recursiveFileLookup", True).option(
         "pathGlobFilter", "*.csv").csv(path)
-    cols = [f.split()[0] for f in FEED_SCHEMAS[entity].split(", ")]
-    return df.select(*cols)
+    return df.select(*[_exact_id(n) if t == "BIGINT" else n for n, t in _columns(entity)])
 
 
 def scan_union_extracts(
@@ -97,6 +123,6 @@ def scan_union_extracts(
 def write_extract(df: DataFrame, root: str, entity: str, extract_date: str) -> str:
     """Write one dated extract of a feed as CSV (Spark partition layout)."""
     path = os.path.join(root, entity, f"extract_date={extract_date}")
-    df.write.mode("overwrite").option("header", True).option(
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
     return path

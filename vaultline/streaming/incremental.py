@@ -13,6 +13,7 @@ location must be on shared storage (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -32,10 +33,13 @@ def vault_stream(
     """Start a stream that appends ``rows_fn(batch, existing=target)`` per batch.
 
     The stream's checkpoint defaults to a folder under the shared
-    ``spark.checkpoint.dir`` named after the target.
+    ``spark.checkpoint.dir`` named after the target's path and the loader.
     """
     if checkpoint_location is None:
-        name = target_path.rstrip("/").split("/")[-1]
+        # Named after the whole path and the loader: two targets that end in
+        # the same name must not share a checkpoint.
+        whole = f"{target_path.rstrip('/')}|{getattr(rows_fn, '__name__', repr(rows_fn))}"
+        name = f"{target_path.rstrip('/').split('/')[-1]}-{sha256(whole.encode()).hexdigest()[:16]}"
         checkpoint_location = scratch_path(stream.sparkSession, "streams", name)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
