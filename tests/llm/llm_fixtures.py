@@ -1,10 +1,7 @@
-import sys
-from pathlib import Path
+"""Fixtures of these tests (no second conftest, which would hide the first)."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
 TEXT = "doc_id long, text string"
 
 

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from llm_fixtures import docs, small  # noqa: F401
 from vaultline.llm import cuckoo
 from vaultline.llm.line_dedup import LineIndex, build
 

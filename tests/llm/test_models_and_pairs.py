@@ -7,6 +7,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from llm_fixtures import docs, small  # noqa: F401
 from vaultline.llm import mixing as M
 from vaultline.llm import ngram_jaccard as J
 from vaultline.llm import quality as Q

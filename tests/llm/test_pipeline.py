@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as C
+from llm_fixtures import docs, small  # noqa: F401
 from test_line_dedup import brute as brute_lines
 from test_models_and_pairs import brute_groups
 from test_text_operators import brute_hits

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from llm_fixtures import docs, small  # noqa: F401
 from vaultline.llm import decontaminate as D
 from vaultline.llm import kneser_ney as K
 from vaultline.llm import secrets as S
