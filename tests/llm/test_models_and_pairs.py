@@ -223,6 +223,17 @@ def test_tiles_lose_no_pair(docs, monkeypatch):
     assert got == brute_groups(rows)
 
 
+def test_sieve_keeps_every_wanted_row(spark, monkeypatch):
+    rows = spark.range(20000).selectExpr("IF(id = 7, NULL, id - 300) AS want", "'x' AS text")
+    wanted = spark.range(0, 20000, 50).selectExpr("id - 300 AS want")
+    exact = {x - 300 for x in range(0, 20000, 50)}
+    got = [r.want for r in J.sifted(rows, "want", wanted).collect()]
+    assert exact <= set(got) and len(got) == len(set(got)) < 20000 * 0.05
+    monkeypatch.setattr(J, "SIEVE_WORDS", 1)  # a full table sifts nothing out and loses nothing
+    assert exact <= {r.want for r in J.sifted(rows, "want", wanted).collect()}
+    assert J.sifted(rows, "want", wanted.limit(0)).collect() == []
+
+
 def test_join_of_nothing(docs):
     assert J.near_duplicates(docs([])).collect() == []
 

@@ -7,13 +7,16 @@ similarity of at least ``THRESHOLD``.
    id; everything below works on representatives only.
 2. Each representative has ``HASHES`` MinHash values, cut into bands of
    ``ROWS``.  Pairs that agree on a band are candidates; at the threshold a
-   pair is missed with probability (1 - 0.8**4)**32 < 5e-8.
+   pair is missed with probability (1 - 0.8**4)**32 < 5e-8.  The minimum is
+   taken over 32 bits and its low 16 are kept: equal minima stay equal, and a
+   chance match (2**-16) can only keep a pair for the exact check.
 3. Buckets of one band are cut into tiles of bounded size, so a bucket of any
    size is spread over tasks.  Inside a tile all pairs are compared on their
    MinHash values, 16 at a time; a pair is dropped as soon as the posterior
    probability of reaching the threshold falls below ``TOLERANCE``.  A pair
    that meets in several bands counts only in the first one.
-4. The tiles with survivors get the texts of the members that survive, and
+4. The tiles with survivors get the texts of the members that survive (a bit
+   table of fixed size sifts the others out before texts are shuffled), and
    every surviving pair is verified on the exact sets.  A tile returns one row per
    member: its number of links there and the smallest member it is
    connected to, not the pairs.
@@ -49,6 +52,7 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-4
 STEP = 16
 TILE = 512  # members per side of a tile
+SIEVE_WORDS = 1 << 18  # longs of the bit table over surviving ids (bounds its broadcast)
 
 _SEEDS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -76,9 +80,9 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def minhashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, HASHES) uint32 MinHash values; texts without shingles get 0."""
+    """(texts, HASHES) uint16 MinHash values; texts without shingles get 0."""
     n = len(offsets) - 1
-    out = np.zeros((n, HASHES), np.uint32)
+    out = np.zeros((n, HASHES), np.uint16)
     full = np.flatnonzero(np.diff(offsets))
     if not len(full):
         return out
@@ -86,7 +90,7 @@ def minhashes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for k in range(HASHES):
         # The high half of a product with an odd number, xor-ed with another.
         v = ((hashes ^ _SEEDS[HASHES - 1 - k]) * _SEEDS[k]) >> np.uint64(32)
-        out[full, k] = np.minimum.reduceat(v, starts).astype(np.uint32)
+        out[full, k] = np.minimum.reduceat(v, starts).astype(np.uint16)
     return out
 
 
@@ -152,7 +156,7 @@ def surviving_pairs(sig: np.ndarray, band: int, rows: np.ndarray, cols: np.ndarr
 def _tile_pairs(members: pa.Table):
     """Sides of the tile's square: indexes of its rows and columns."""
     band = members.column("band")[0].as_py()
-    sig = np.frombuffer(b"".join(members.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
+    sig = np.frombuffer(b"".join(members.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
     side = members.column("side").to_numpy()
     same = members.column("same")[0].as_py()
     rows = np.flatnonzero(side == 0)
@@ -271,7 +275,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def _tiles(reps: DataFrame) -> DataFrame:
     """(tile, band, same, side, rep, sig): the buckets of at least two
     representatives, cut into tiles of about TILE members a side."""
-    width = ROWS * 4
+    width = ROWS * 2
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring(F.col("sig"), b * width + 1, F.lit(width))).alias("key")),
@@ -334,6 +338,20 @@ def _differ(a: DataFrame, b: DataFrame) -> bool:
     return tuple(summed(a)) != tuple(summed(b))
 
 
+def sifted(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted`` (one
+    long column of the same name): a superset of the exact semi join.
+
+    Ids set bits in a table of ``SIEVE_WORDS`` longs, whatever their number, so
+    it is broadcast; the fuller it gets, the fewer rows it sifts out.
+    """
+    slot = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(SIEVE_WORDS * 64))
+    placed = {"_word": F.floor(slot / F.lit(64)), "_bit": F.pmod(slot, F.lit(64)).cast("int")}
+    bits = wanted.withColumns(placed).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    met = rows.withColumns(placed).join(F.broadcast(bits), "_word")
+    return met.filter("shiftrightunsigned(_bits, _bit) & 1L = 1").select(*rows.columns)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_links, copy_of) of every document with an id.
 
@@ -354,7 +372,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # The texts of surviving members only; one text per representative.
     wanted = alive.select(F.col("rep").alias("want")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("want"), text_or_empty().alias("text"))
-    texts = texts.join(wanted, "want", "left_semi").groupBy("want").agg(F.first("text").alias("text"))
+    texts = sifted(texts, "want", wanted).join(wanted, "want", "left_semi").groupBy("want").agg(F.first("text").alias("text"))
     full = alive.join(texts, F.col("rep") == F.col("want")).select(
         "tile", "band", "same", "side", "rep", "sig", "text")
     links = written(full.groupBy("tile").applyInArrow(_verify, "rep long, n_links long, root long"), "jaccard-links")
