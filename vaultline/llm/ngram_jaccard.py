@@ -346,7 +346,7 @@ def sifted(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     it is broadcast; the fuller it gets, the fewer rows it sifts out.
     """
     slot = F.pmod(F.xxhash64(key, F.lit(5)), F.lit(SIEVE_WORDS * 64))
-    placed = {"_word": F.floor(slot / F.lit(64)), "_bit": F.pmod(slot, F.lit(64)).cast("int")}
+    placed = {"_word": F.shiftright(slot, 6), "_bit": F.pmod(slot, F.lit(64)).cast("int")}
     bits = wanted.withColumns(placed).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
     met = rows.withColumns(placed).join(F.broadcast(bits), "_word")
     return met.filter("shiftrightunsigned(_bits, _bit) & 1L = 1").select(*rows.columns)
@@ -372,7 +372,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # The texts of surviving members only; one text per representative.
     wanted = alive.select(F.col("rep").alias("want")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("want"), text_or_empty().alias("text"))
-    texts = sifted(texts, "want", wanted).join(wanted, "want", "left_semi").groupBy("want").agg(F.first("text").alias("text"))
+    # An inner join (wanted ids are distinct): a semi join would be pushed below the sieve.
+    texts = sifted(texts, "want", wanted).join(wanted, "want").groupBy("want").agg(F.first("text").alias("text"))
     full = alive.join(texts, F.col("rep") == F.col("want")).select(
         "tile", "band", "same", "side", "rep", "sig", "text")
     links = written(full.groupBy("tile").applyInArrow(_verify, "rep long, n_links long, root long"), "jaccard-links")
