@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import ALNUM, gathered, table, tokenize
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 SAMPLE = 8
 BLOCK_WORDS = 1_000_000
 
