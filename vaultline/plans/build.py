@@ -16,10 +16,11 @@ layer, and downstream plans start from pruned, pushed-down parquet scans.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators.checks import run_checks
@@ -109,26 +110,24 @@ def build_warehouse(
 
     def load_vault(name: str) -> tuple[str, int, DataFrame]:
         path = table_path(out_root, "raw_vault", name)
+        # The append itself counts its rows: no scan of the target.
+        seen, counted = Observation(f"{name}-{uuid.uuid4().hex}"), F.count(F.lit(1)).alias("n")
         if vault_buckets:
             # Declared once, bucketed by the hash key: the stored side of the
             # anti/semi join is not shuffled on later loads.
             schema = new_rows(name).schema
             table = bucketed_target(spark, vault_database, name, path, schema,
                                     vault_key(name), vault_buckets)
-            stored = spark.table(table)
-            before = stored.count()
-            if before:
-                wh.targets[name] = stored
-            append_table(new_rows(name), table)
+            wh.targets[name] = spark.table(table)
+            append_table(new_rows(name).observe(seen, counted), table)
             final = spark.table(table)
         else:
             stored = read_table(spark, path)
             if stored is not None:
                 wh.targets[name] = stored
-            before = 0 if stored is None else stored.count()
-            append(new_rows(name), path)
+            append(new_rows(name).observe(seen, counted), path)
             final = spark.read.parquet(path)
-        return name, final.count() - before, final
+        return name, seen.get["n"], final
 
     appended: dict[str, int] = {}
     for name, added, final in in_parallel(load_vault, [*HUBS, *LINKS, *SATS]):

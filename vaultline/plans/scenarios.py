@@ -44,7 +44,9 @@ def order_customers(t: Tables, load: str = LOAD_DATE_1, before: str | None = Non
     o = t("orders").filter(F.col("o_custkey").isNotNull())
     if before is not None:
         o = o.filter(F.col("o_orderdate") < midnight(before))
-    return o.select(
+    # One row per raw id first: a hash aggregate over longs, so only the
+    # distinct ids are hashed and sorted by the loader.
+    return o.select("o_custkey").distinct().select(
         hash_key("o_custkey").alias("customer_hk"),
         F.col("o_custkey").alias("customer_id"),
         *_meta(load, "orders"),
@@ -52,7 +54,7 @@ def order_customers(t: Tables, load: str = LOAD_DATE_1, before: str | None = Non
 
 
 def event_users(t: Tables, load: str = LOAD_DATE_1) -> DataFrame:
-    return t("events").filter(F.col("user_id").isNotNull()).select(
+    return t("events").filter(F.col("user_id").isNotNull()).select("user_id").distinct().select(
         hash_key("user_id").alias("customer_hk"),
         F.col("user_id").alias("customer_id"),
         *_meta(load, "events"),
@@ -86,7 +88,7 @@ def order_lines_link_feed(t: Tables, load: str = LOAD_DATE_1, before: str | None
         & F.col("l_suppkey").isNotNull())
     if before is not None:
         li = li.filter(F.col("l_shipdate") < midnight(before))
-    keyed = li.select(
+    keyed = li.select("l_orderkey", "l_partkey", "l_suppkey").distinct().select(
         hash_key("l_orderkey").alias("order_hk"),
         hash_key("l_partkey").alias("part_hk"),
         hash_key("l_suppkey").alias("supplier_hk"),

@@ -217,16 +217,18 @@ def order_facts(t: Tables) -> DataFrame:
               F.col("s_nationkey") == F.col("n_nationkey"), "inner")
         .select("s_suppkey", "s_nationkey", "n_regionkey")
     )
-    cust = t("customer").select("c_custkey", "c_name", "c_mktsegment")
     ins = insurance_providers(t).select(
         F.col("name").alias("_seg"), F.col("insurance_provider_id").alias("_ins_id")
     )
+    # The insurer is attached to the customer, so the order base itself is
+    # never joined on the few segment values.
+    cust = t("customer").select("c_custkey", "c_name", "c_mktsegment").join(
+        ins, F.col("c_mktsegment") == F.col("_seg"), "left")
     self_pay = F.col("o_orderpriority").isin(*SELF_PAY_PRIORITIES)
     j = (
         o.join(ol, o["o_orderkey"] == ol["l_orderkey"], "left")
         .join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(ins, F.col("c_mktsegment") == F.col("_seg"), "left")
     )
     return j.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
