@@ -61,6 +61,32 @@ def test_identical_pages_keep_their_article(spark):
     assert {r.text.split("\n")[0] for r in H.extract(pages, ["page_id"]).collect()} == {"Head & t"}
 
 
+def site(spark, page, n=50, **kw):
+    rows = [(i, f"http://h.example/{i}", page.format(i=i)) for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in H.extract(pages, ["page_id"], **kw).collect()}
+
+
+@pytest.mark.parametrize("depth", [2, 3, 9])
+def test_article_text_in_nested_wrappers_stays(spark, depth):
+    page = "<article>" + "<div>" * depth + "<p>Text {i}</p>" + "</div>" * depth + "<div class=tpl>Follow us</div></article>"
+    assert site(spark, page) == {i: f"Text {i}" for i in range(50)}
+
+
+def test_host_without_articles_keeps_its_text(spark):
+    page = ("<html><head><title>T</title></head><body><div id=a><div id=b><div id=c><h1>Head {i}</h1><p>Text {i}</p></div></div></div>"
+            "<a href=/><div class=card><div><p>Card {i}</p></div></div></a>"
+            "<section><div><h2>Follow us</h2></div></section><footer>me {i}</footer></body></html>")
+    assert site(spark, page) == {i: f"Head {i}\nText {i}\nCard {i}" for i in range(50)}
+
+
+def test_tree_without_names(spark):
+    page = ("<nav><ul><li>Home</li><li>About</li></ul></nav><div class=ad>Buy {i}</div><article><h1>Head {i}</h1><p>Text {i}</p>"
+            "</article><footer>me</footer>")
+    assert site(spark, page, names=False) == {i: f"Buy {i}\nHead {i}\nText {i}" for i in range(50)}
+    assert site(spark, page) == {i: f"Head {i}\nText {i}" for i in range(50)}
+
+
 # --- language model ---
 
 def test_pack_round_trip():

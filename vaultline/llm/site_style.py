@@ -11,16 +11,21 @@ of (tag, class, id, role) are one element node.  Spark sums, per element node,
   that hold each, whose mean entropy gives the content importance: text that
   repeats on every page of a host has entropy 1 and importance 0.
 
-A node's composite importance joins both (children weighted by how often they
-are shown).  Pages with the same content count once, so copies of a page do
+A node's own importance joins both; its composite importance is the largest
+own importance in its whole subtree, so a wrapper is never less important than
+what any page shows in it, however deep (children are not discounted by how
+rarely they are shown: an article on one page in a hundred would go with its
+wrapper).  Pages with the same content count once, so copies of a page do
 not make its article look like a template; hosts with fewer than ``MIN_PAGES``
 distinct pages have no evidence and every importance is 1.
 
-Extraction drops a branch if its importance is below ``THRESHOLD``.  Element
-names and class names that say what they are (navigation, footer, advert,
-form, comments...) act as a prior of importance 0, and ``article``/``main``
-and the plain text blocks right inside them as a prior of 1: a template can
-not be told from an article by its variety alone when menus vary, too.
+Extraction drops a branch if its composite importance is below ``THRESHOLD``.
+Names come first, though: elements whose tag, role or class says what they are
+(navigation, footer, advert, form, comments...) are dropped, and the plain text
+blocks of ``article``/``main`` are kept, whatever the tree says; the tree
+decides for what is left, and for all blocks of a page without an article.  A
+menu or an advert that differs on every page is as varied as an article, so the
+tree alone (``names=False``) keeps it; the README has figures.
 
 Nothing is gathered per host: all sums are grouped by (host, node, feature)
 with partial aggregation, so a host with a third of all pages is spread out.
@@ -187,16 +192,18 @@ def _tops(root: Node) -> list[Node]:
     return found or [root]
 
 
-def read_page(source: str) -> tuple[list[str], list[list[int]], list[tuple[int, int, int, int]]]:
+def read_page(source: str, names: bool = True) -> tuple[list[str], list[list[int]], list[tuple[int, int, int, int]]]:
     """(texts, chains, features) of a page in one walk over its tree.
 
     ``texts`` are the text blocks in page order; ``chains[i]`` the element
-    nodes that block i hangs on and that a site's tree may remove.
+    nodes that block i hangs on and that a site's tree may remove.  Without
+    ``names`` the tree decides for every block of the page.
     ``features`` are (node, parent, kind, feature), each once per page; kind 0
     is a presentation style, 1 a content feature.
     """
     root = parse(source)
-    tops = {id(n) for n in _tops(root)}
+    tops = {id(n) for n in _tops(root)} if names else {id(root)}
+    whole = id(root) in tops
     texts: list[str] = []
     chains: list[list[int]] = []
     features: dict[tuple, None] = {}
@@ -210,7 +217,8 @@ def read_page(source: str) -> tuple[list[str], list[list[int]], list[tuple[int,
                 texts.append(text)
                 chains.append(list(chain))
 
-    # (node or text, its path, its parent's path, chain or None outside, closing?)
+    # (node or text, its path, the path of the nearest element around it that
+    # has features, chain or None outside, closing?)
     stack: list[tuple] = [(root, 0, -1, None, False)]
     while stack:
         node, path, up, chain, closing = stack.pop()
@@ -237,16 +245,16 @@ def read_page(source: str) -> tuple[list[str], list[list[int]], list[tuple[int,
             if tag == "br":
                 run.append(" ")
                 continue
-            if node.prior == 0:
+            if node.prior == 0 and (names or tag in RAW):
                 chain = None  # nothing below is text, but it is in the tree
-            elif not _plain(node):
+            elif not _plain(node) or whole and not inline:
                 chain = (*chain, path)
         if chain is not None and not inline:
             flush(chain)
             stack.append((node, path, up, chain, True))
         for c in reversed(node.children):
             if not isinstance(c, str):
-                stack.append((c, _path(path, c.sign), path, chain, False))
+                stack.append((c, _path(path, c.sign), up if inline else path, chain, False))
             elif chain is not None:
                 stack.append((c, 0, 0, chain, False))
     return texts, chains, list(features)
@@ -271,7 +279,7 @@ _PAGE = ("same long, texts array<string>, chains array<array<long>>, "
          "node array<long>, parent array<long>, kind array<long>, feature array<long>")
 
 
-def _reader(columns: list[str]):
+def _reader(columns: list[str], names: bool):
     """mapInArrow function: the columns, and what ``read_page`` finds."""
 
     def run(batches):
@@ -279,7 +287,7 @@ def _reader(columns: list[str]):
             pages = b.column(b.schema.get_field_index("_html")).to_pylist()
             out = [[] for _ in range(7)]
             for source in pages:
-                texts, chains, features = read_page(source or "")
+                texts, chains, features = read_page(source or "", names)
                 out[0].append(_hash(source or ""))
                 out[1].append(texts)
                 out[2].append(chains)
@@ -301,7 +309,8 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 def importance(read: DataFrame) -> DataFrame:
     """(host, node, parent, pages, importance) of every element node of the
-    pages read (host, same, node, parent, kind, feature).
+    pages read (host, same, node, parent, kind, feature); the importance is
+    the node's own, without its children.
 
     Entropies use log base (number of distinct pages with the node):
     presentation = -sum p log p over styles; content = 1 - mean over features
@@ -328,7 +337,7 @@ def importance(read: DataFrame) -> DataFrame:
         F.when(F.col("pages") < MIN_PAGES, 1.0).otherwise(presentation).alias("presentation"),
         F.when(F.col("pages") < MIN_PAGES, 1.0).otherwise(content).alias("content"),
     )
-    # Composite: a node is as important as its own content or presentation.
+    # A node is as important as its own content or presentation.
     return own.withColumn("importance", F.when(
         F.col("content").isNull(), F.col("presentation")).otherwise(
         F.greatest(F.lit(CONTENT_SHARE) * F.col("content") + F.lit(1 - CONTENT_SHARE) * F.col("presentation"),
@@ -336,16 +345,29 @@ def importance(read: DataFrame) -> DataFrame:
 
 
 def low_nodes(read: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, low): the nodes to remove on each host.  A node goes only if no
-    child of it is important, so a wrapper of the article stays."""
-    nodes = written(importance(read), "site-style")
-    best = nodes.groupBy("host", F.col("parent").alias("node")).agg(F.max("importance").alias("best"))
-    low = nodes.join(best, ["host", "node"], "left").filter(
-        (F.col("importance") < threshold) & (F.coalesce("best", F.lit(0.0)) < threshold))
-    return low.groupBy("host").agg(F.collect_set("node").alias("low"))
-
+    """(host, low): the nodes to remove on each host.  A node goes only if
+    nothing in its subtree is important, so a wrapper of the article stays.
 
-def extract(pages: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    What stays is passed up the low nodes by pointer doubling: ``up`` is the
+    ancestor 2**k levels above if all nodes between are low, and ``stays``
+    covers the subtree to that depth, so a tree of depth d takes log2(d) passes.
+    """
+    nodes = written(importance(read), "site-style")
+    low = nodes.filter(F.col("importance") < threshold).select("host", "node", "parent")
+    fed = nodes.filter(F.col("importance") >= threshold).select("host", F.col("parent").alias("node")).distinct()
+    state = low.join(fed.withColumn("fed", F.lit(True)), ["host", "node"], "left").join(
+        low.select("host", F.col("node").alias("parent"), F.lit(True).alias("low")), ["host", "parent"], "left")
+    state = written(state.select("host", "node", F.when(F.col("low"), F.col("parent")).alias("up"),
+                                 F.coalesce("fed", F.lit(False)).alias("stays")), "site-style-tree")
+    while not (passing := state.filter("stays AND up IS NOT NULL")).isEmpty():
+        fed = passing.select("host", F.col("up").alias("node")).distinct().withColumn("fed", F.lit(True))
+        above = state.select("host", F.col("node").alias("up"), F.col("up").alias("next"))
+        state = written(state.join(fed, ["host", "node"], "left").join(above, ["host", "up"], "left").select(
+            "host", "node", F.col("next").alias("up"), F.coalesce("fed", "stays").alias("stays")), "site-style-tree")
+    return state.filter("NOT stays").groupBy("host").agg(F.collect_set("node").alias("low"))
+
+
+def extract(pages: DataFrame, columns: list[str] | None = None, names: bool = True) -> DataFrame:
     """``columns`` of ``pages`` plus the main ``text`` of each page.
 
     Every page is parsed once; its blocks wait in a written table for the
@@ -357,7 +379,7 @@ def extract(pages: DataFrame, columns: list[str] | None = None) -> DataFrame:
                                   F.col("html").alias("_html"), "url"))
     kept = [*inner, "host"]
     schema = StructType([rows.schema[c] for c in kept] + StructType.fromDDL(_PAGE).fields)
-    read = written(rows.select(*kept, "_html").mapInArrow(_reader(kept), schema), "site-pages", compression="zstd")
+    read = written(rows.select(*kept, "_html").mapInArrow(_reader(kept, names), schema), "site-pages", compression="zstd")
     low = written(low_nodes(read), "site-style-low")
     # One row per host, joined by its size: a broadcast where it is small,
     # else a join that splits a host with many pages like any skewed key.
