@@ -132,6 +132,34 @@ def test_radius_search_is_complete(spark, radius):
     assert got == want
 
 
+@pytest.mark.parametrize("radius, chunk", [(0, 512), (3, 4), (3, 512), (5, 7)])
+def test_near_counts_match_brute_force(spark, monkeypatch, radius, chunk):
+    monkeypatch.setattr(Z, "CHUNK", chunk)
+    rows = []
+    for k in range(240):
+        x = 1 << 127 | k % 7 << 40 if k < 200 else int.from_bytes(RNG.bytes(16), "big")
+        for bit in RNG.choice(128, int(RNG.integers(0, 4)), replace=False):
+            x ^= 1 << int(bit)
+        rows.append((k - 20, f"{x:032x}"))
+    rows += [(500, rows[0][1]), (500, rows[0][1]), (501, rows[7][1])]
+    got = {r.fingerprint: r for r in Z.near_counts(spark.createDataFrame(rows, "id long, fingerprint string"), radius, 5).collect()}
+    assert set(got) == {p for i, p in rows if i % 5 == 0}
+    for p, r in got.items():
+        apart = {(i, o): (int(p, 16) ^ int(o, 16)).bit_count() for i, o in rows}
+        same = [i for (i, _), d in apart.items() if d == 0]
+        other = [(d, i) for (i, _), d in apart.items() if 0 < d <= radius]
+        assert (r.n_equal, r.low_id, r.high_id, r.n_other) == (len(same), min(same), max(same), len(other))
+        assert (r.other and tuple(r.other)) == (min(other) if other else None)
+
+
+def test_corpus_is_searched(spark, tmp_path):
+    text = prose(300)
+    rows = [(0, text), (1, text), (20, "other words only"), (40, text), (60, prose(50)), (7, text), (None, text)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_near, r.nearest_id) for r in Z.op8_simhash(spark, str(tmp_path)).collect()}
+    assert got == {0: (3, 40), 40: (3, 0), 20: (0, None), 60: (0, None), 1: (None, None), 7: (None, None), None: (None, None)}
+
+
 # --- mixing ---
 
 def test_mixing_reaches_target_shares(spark):

@@ -17,6 +17,13 @@ bits apart: the bits are cut into blocks, and for every choice of
 itself (by the pigeonhole principle a pair agrees on at least one choice).
 Equal fingerprints are one entry, so groups of copies do not multiply.
 
+``near_counts`` searches some fingerprints against all of them through the same
+kind of tables (``radius + 1`` blocks, a table for each).  The entries of a
+block value are dealt into chunks of about ``CHUNK``, and a fingerprint meets
+one row per chunk: the distance filter and the sums run inside that row, so
+what leaves the join is one row per fingerprint and chunk, not per pair.  A
+pair that agrees on several blocks counts in the first of them.
+
 Edge cases: NULL text is empty; an empty text is the single term ''; texts of
 fewer words than a shingle are one term; repeated rows each keep their row;
 rows with a NULL id stand outside the document order (their next document is
@@ -34,6 +41,9 @@ from vaultline.llm.common import table, text_or_empty, written
 
 SHINGLE = 3
 BITS = 128
+RADIUS = 3  # bits between near fingerprints
+EVERY = 20  # ids divisible by this are searched
+CHUNK = 512  # entries of a block value that meet a fingerprint in one row
 BUCKET = 1024  # consecutive ids that are ordered in one window partition
 _MASK = 0x100000001
 
@@ -107,6 +117,56 @@ def within_radius(found: DataFrame, radius: int = 3, blocks: int | None = None)
     return pairs.filter(F.col("distance") <= radius).select("a", "b", "distance").distinct()
 
 
+def near_counts(docs: DataFrame, radius: int = RADIUS, every: int = EVERY) -> DataFrame:
+    """(fingerprint, n_equal, low_id, high_id, n_other, other) of the
+    fingerprints of ``docs`` (id, fingerprint) with an id divisible by
+    ``every``: the documents with that fingerprint and their outer ids, the
+    documents with another one at most ``radius`` bits apart, and (distance,
+    id) of the nearest of them, the smallest id first."""
+    one = docs.select("id", "fingerprint").distinct().groupBy("fingerprint").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("low_id"), F.max("id").alias("high_id"),
+        F.max(F.col("id") % every == 0).alias("wanted"))
+    one = written(one.select("*", _half(F.col("fingerprint"), 0).alias("hi"), _half(F.col("fingerprint"), 1).alias("lo")),
+                  "simhash-prints")
+    cuts = [BITS * i // (radius + 1) for i in range(radius + 2)]
+    masks = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        whole = (1 << BITS - a) - (1 << BITS - b)
+        masks.append([F.lit(x - (x >> 63 << 64)).cast("long") for x in (whole >> 64, whole & (1 << 64) - 1)])
+    blocks = F.array(*[F.struct(F.col("hi").bitwiseAND(h).alias("h"), F.col("lo").bitwiseAND(w).alias("w")) for h, w in masks])
+    entries = one.select("hi", "lo", "n", "low_id", "wanted", F.posexplode(blocks).alias("t", "b")).select(
+        "hi", "lo", "n", "low_id", "wanted", "t", "b.h", "b.w")
+    # Block values that a wanted fingerprint shares with another: few of all.
+    key = ["t", "h", "w"]
+    shared = written(entries.groupBy(*key).agg(F.count(F.lit(1)).alias("size"), F.max("wanted").alias("any")).filter(
+        "any AND size > 1").select(*key, F.ceil(F.col("size") / F.lit(CHUNK)).cast("int").alias("chunks")), "simhash-blocks")
+    met = entries.join(shared, key)
+    chunks = met.groupBy(*key, F.pmod(F.xxhash64("hi", "lo"), F.col("chunks")).cast("int").alias("chunk")).agg(
+        F.collect_list(F.struct("hi", "lo", "n", "low_id")).alias("those"))
+    asked = met.filter("wanted").select("hi", "lo", *key, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+
+    def apart(x: Column) -> Column:
+        return F.bit_count(F.col("q_hi").bitwiseXOR(x["hi"])) + F.bit_count(F.col("q_lo").bitwiseXOR(x["lo"]))
+
+    def first(x: Column) -> Column:
+        """No table before this one has the pair."""
+        high, low = F.col("q_hi").bitwiseXOR(x["hi"]), F.col("q_lo").bitwiseXOR(x["lo"])
+        out = F.lit(True)
+        for j, (h, w) in enumerate(masks[:-1]):
+            out = out & ((F.col("t") <= j) | (high.bitwiseAND(h).bitwiseOR(low.bitwiseAND(w)) != 0))
+        return out
+
+    pairs = asked.withColumnsRenamed({"hi": "q_hi", "lo": "q_lo"}).join(chunks, [*key, "chunk"])
+    near = pairs.select("q_hi", "q_lo", F.filter("those", lambda x: apart(x).between(1, radius) & first(x)).alias("near"))
+    found = near.filter(F.size("near") > 0).select(
+        "q_hi", "q_lo", F.aggregate("near", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n"),
+        F.array_min(F.transform("near", lambda x: F.struct(apart(x).alias("distance"), x["low_id"].alias("id")))).alias("other"))
+    found = found.groupBy(F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")).agg(
+        F.sum("n").alias("n_other"), F.min("other").alias("other"))
+    return one.filter("wanted").join(found, ["hi", "lo"], "left").select(
+        "fingerprint", F.col("n").alias("n_equal"), "low_id", "high_id", F.coalesce("n_other", F.lit(0)).alias("n_other"), "other")
+
+
 def _borders(ids: DataFrame) -> DataFrame:
     """(border_id, into): the first document of each id bucket, and the bucket
     that it follows in descending order (the lowest bucket is followed by the
@@ -150,7 +210,13 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every text and of its edited text."""
+    """Fingerprints of every text and of its edited text.
+
+    Ids divisible by ``EVERY`` are searched against all documents: ``n_near``
+    other documents at most ``RADIUS`` bits apart (rows without an id do not
+    count), ``nearest_id`` the smallest id among the nearest of them (for the
+    smallest id of equal fingerprints the largest); NULL for other ids.
+    """
     docs = with_next(table(spark, sf_dir, "documents"))
     n = F.length("text")
     edited = docs.select(
@@ -172,6 +238,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     following = prints.filter("which = 0").select(
         F.col("id").alias("nid"), F.col("x").alias("nx"), F.col("fingerprint").alias("next_fingerprint")).distinct()
     out = rows.join(following, ["nid", "nx"])
+    near = written(near_counts(prints.filter(F.col("which") == 0).filter(F.col("id") != F.lit(-(2**63)).cast("long"))), "simhash-near")
+    asked = F.when((F.col("id") % EVERY == 0), F.col("fingerprint"))
+    out = out.withColumn("_asked", asked).join(near.withColumnRenamed("fingerprint", "_asked"), "_asked", "left")
     out = out.withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
     fp = F.col("fingerprint")
     return out.select(
@@ -179,4 +248,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(fp, F.col("edited_fingerprint")).alias("near_edited"),
         likeness(fp, F.col("next_fingerprint")).alias("near_next"),
+        (F.col("n_equal") - 1 + F.col("n_other")).alias("n_near"),
+        F.when(F.col("n_equal") == 1, F.col("other.id")).when(F.col("low_id") == F.col("id"), F.col("high_id"))
+        .otherwise(F.col("low_id")).alias("nearest_id"),
     )
