@@ -145,6 +145,15 @@ def test_scores_match_a_plain_model(spark, docs):
         assert sum(p(w, h) for w in [*uni, "<unk>"]) == pytest.approx(1)
 
 
+def test_storage_without_a_mount_keeps_the_bigrams(spark, docs, monkeypatch):
+    rows = docs(list(enumerate(TRAIN)))
+    want = [r.score for r in K.scored(rows, K.train(rows)).orderBy("doc_id").collect()]
+    monkeypatch.setattr(K, "_local", lambda uri: None)  # the driver writes through pyarrow.fs
+    model = K.train(rows)
+    monkeypatch.undo()
+    assert [r.score for r in K.scored(rows, model).orderBy("doc_id").collect()] == pytest.approx(want)
+
+
 def test_model_of_nothing(spark, docs):
     model = K.train(docs([]))
     got = K.scored(docs([(1, "a b"), (2, None)]), model).collect()

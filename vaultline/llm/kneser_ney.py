@@ -288,7 +288,7 @@ def _store_stats(folder: str, offsets: tuple):
     def run(messages: pa.Table) -> pa.Table:
         shard = messages.column("shard")[0].as_py()
         if shard < 0:  # counts of counts: passed on
-            return pa.table({"kind": pa.array([9], pa.int32()),
+            return pa.table({"shard": pa.array([-1 - shard], pa.int32()), "kind": pa.array([9], pa.int32()),
                              "n": pa.array([np.frombuffer(messages.column("data")[0].as_py(), "<i8").tolist()],
                                            pa.list_(pa.int64()))})
         start = shard == len(offsets) - 1
@@ -302,7 +302,7 @@ def _store_stats(folder: str, offsets: tuple):
         save_array(folder, f"context-{shard:06d}", got[:4].astype(np.uint32))
         save_array(folder, f"left-{shard:06d}", got[4].astype(np.uint32))
         of = np.bincount(np.minimum(got[4][got[4] > 0], 5), minlength=6)
-        return pa.table({"kind": pa.array([8], pa.int32()),
+        return pa.table({"shard": pa.array([shard], pa.int32()), "kind": pa.array([8], pa.int32()),
                          "n": pa.array([of.tolist() + [int(got[4].sum())]], pa.list_(pa.int64()))})
 
     return run
@@ -356,18 +356,19 @@ def train(docs: DataFrame) -> KneserNey:
         raise ValueError("more than 2**32 - 2 distinct words: word numbers need more bits")
     pairs = texts.mapInArrow(_pair_counter(folder, tuple(sizes)), message).groupBy("shard").applyInArrow(
         _store_pairs(folder, offsets), "shard int, kind int, data binary")
-    stats = pairs.groupBy("shard").applyInArrow(_store_stats(folder, offsets), "kind int, n array<long>")
+    stats = pairs.groupBy("shard").applyInArrow(_store_stats(folder, offsets), "shard int, kind int, n array<long>")
     # One row per shard: counts of counts only.
     rows = stats.collect()
     pair_counts = np.sum([r["n"] for r in rows if r["kind"] == 9] or [[0] * 6], axis=0).tolist()
     left = np.sum([r["n"] for r in rows if r["kind"] == 8] or [[0] * 7], axis=0).tolist()
     model = KneserNey(folder, sizes, tokens, pair_counts, left[:6], left[6])
-    path = _local(folder)
-    for s in range(shards):  # shards that no bigram reached
-        for name, dtype, shape in ((f"pairs-{s:06d}", np.uint64, 0), (f"times-{s:06d}", np.uint32, 0),
-                                   (f"context-{s:06d}", np.uint32, 4 * sizes[s]), (f"left-{s:06d}", np.uint32, sizes[s])):
-            if path is not None and not os.path.exists(os.path.join(path, name)) or path is None and not sizes[s]:
-                save_array(folder, name, np.zeros(shape, dtype))
+    # Shards that no bigram reached, and word shards without any count.
+    for s in set(range(shards)) - {r["shard"] for r in rows if r["kind"] == 9}:
+        save_array(folder, f"pairs-{s:06d}", np.zeros(0, np.uint64))
+        save_array(folder, f"times-{s:06d}", np.zeros(0, np.uint32))
+    for s in set(range(shards)) - {r["shard"] for r in rows if r["kind"] == 8}:
+        save_array(folder, f"context-{s:06d}", np.zeros(4 * sizes[s], np.uint32))
+        save_array(folder, f"left-{s:06d}", np.zeros(sizes[s], np.uint32))
     if not tokens:
         save_array(folder, f"context-{shards:06d}", np.zeros(4, np.uint32))
     return model
