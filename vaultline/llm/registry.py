@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-#from vaultline.llm.chunk_bpe import op12_chunk_bpe
+from vaultline.llm.chunk_bpe import op12_chunk_bpe
 from vaultline.llm.decontaminate import op4_decontaminate
 from vaultline.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from vaultline.llm.kneser_ney import op3_kneser_ney
@@ -36,7 +36,7 @@ def queries() -> dict[str, Query]:
         "op9_mixing": op9_mixing,
         "op10_ngram_jaccard": op10_ngram_jaccard,
         "op11_whitening": op11_whitening,
-#        "op12_chunk_bpe": op12_chunk_bpe,
+        "op12_chunk_bpe": op12_chunk_bpe,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
