@@ -54,10 +54,12 @@ CUT_BITS = 9  # a cut every 512 bytes or so
 MIN_CORE = 64  # bytes below which a core isn't worth a reference
 SIEVE_BITS = 24
 SPREAD = 1024
-PIECE = 1 << 20  # bytes of text encoded at once
+PIECE = 1 << 20  # bytes of text handled at once
+WORDS = 1 << 19  # words whose ids a worker keeps (about 130 MB)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_WORD = re.compile(r"[^ \t-\r]+")
 _WORD_BEFORE, _WORD_AFTER = re.compile(r"[^ \t-\r]*\Z"), re.compile(r"[ \t-\r]*[^ \t-\r]*")
 
 #: Below U+0300 this normaliser only lower-cases and joins white space, which
@@ -97,6 +99,7 @@ class Coder:
         if [p for p, _ in inner.pre_tokenizer.pre_tokenize_str("a b\tc\n. d")] != ["a", "b", "c", ".", "d"]:
             raise ValueError("the tokenizer's pieces may hold white space")
         self.dtype = np.dtype("<u2") if whole.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.words: dict[str, bytes] = {}
 
     def segments(self, text: str):
         """(text, None) of ordinary passages and (None, id) of special tokens."""
@@ -109,12 +112,29 @@ class Coder:
             return text
         return text.lower() if self.lowers and not high else self.normalizer.normalize_str(text)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of normalised passages."""
-        return [e.ids for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def digest(self, ids: np.ndarray) -> tuple[int, str, str]:
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of normalised passages.  Pieces end at white space, so a
+        passage's ids are those of its words; a worker encodes a word once
+        while it keeps it."""
+        texts = [_WORD.findall(t) for t in texts]
+        new = {w for t in texts for w in t if w not in self.words}
+        if len(self.words) + len(new) > WORDS:
+            self.words.clear()
+            new = {w for t in texts for w in t}
+        new = list(new)
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            for w, e in zip(some, self.inner.encode_batch_fast(some, add_special_tokens=False)):
+                self.words[w] = self.packed(e.ids)
+        get = self.words.__getitem__
+        return [b"".join(map(get, t)) for t in texts]
+
+    def digest(self, packed: bytes) -> tuple[int, str, str]:
         """(number, hash of the ids, hash of the decoded text)."""
+        ids = np.frombuffer(packed, dtype=self.dtype)
         decoded = self.whole.decode(ids.tolist(), skip_special_tokens=False)
         return (len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                 hashlib.sha256(decoded.encode("utf-8")).hexdigest())
@@ -146,8 +166,7 @@ class Chunks:
         cuts = np.zeros(0, np.int64)
         if n > WINDOW:
             rolled = (sums[WINDOW:n] - sums[: n - WINDOW]) * down[: n - WINDOW]
-            rolled = (rolled * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - CUT_BITS)
-            cuts = np.flatnonzero(rolled == 0) + WINDOW
+            cuts = np.flatnonzero(rolled < np.uint64(1 << 64 - CUT_BITS)) + WINDOW
             # The window lies in one text, and no character is cut.
             cuts = cuts[(cuts - WINDOW >= offs[np.searchsorted(offs, cuts, side="right") - 1])
                         & (data[cuts] & 0xC0 != 0x80)]
@@ -169,12 +188,13 @@ def _batches(batches, spec: str):
     c = coder(spec)
     for b in batches:
         texts = b.column("text")
-        data, offs = text_bytes(texts)
-        marks = np.concatenate([[0], np.cumsum(data >= 0xCC)])  # lead bytes of U+0300 and above
-        high = marks[offs[1:]] > marks[offs[:-1]]
         for at, to in pieces(texts, PIECE):
+            part = texts.slice(at, to - at)
+            data, offs = text_bytes(part)
+            leads = np.flatnonzero(data >= 0xCC)  # lead bytes of U+0300 and above
+            high = np.searchsorted(leads, offs[1:]) > np.searchsorted(leads, offs[:-1])
             docs = []
-            for text, h in zip(texts.slice(at, to - at).to_pylist(), high[at:to]):
+            for text, h in zip(part.to_pylist(), high):
                 docs.append([(None if t is None else c.normal(t, h), s) for t, s in c.segments(text or "")])
             yield c, b.column("doc_id").slice(at, to - at).to_pylist(), docs
 
@@ -244,7 +264,7 @@ def _dealt(spec: str, bits):
                 steps = []
                 for t, special in d:
                     if t is None:
-                        steps.append(("ids", [special]))
+                        steps.append(("ids", c.packed([special])))
                         continue
                     if k in cores:
                         at = int(chunks.offs[k])
@@ -267,7 +287,7 @@ def _dealt(spec: str, bits):
                 row += 1
                 parts = [(kind, encoded[v] if kind == "text" else v) for kind, v in steps]
                 if all(kind != "core" for kind, _ in parts):
-                    n, a, b = c.digest(np.array([i for _, v in parts for i in v], dtype=c.dtype))
+                    n, a, b = c.digest(b"".join(v for _, v in parts))
                     out.append({"kind": "whole", "part": part, "row": row, "doc_id": doc_id, "n_tokens": n,
                                 "ids_sha256": a, "decoded_sha256": b})
                     continue
@@ -282,7 +302,7 @@ def _dealt(spec: str, bits):
                             sent.add(key)
                             out.append({"kind": "core", "key": key, "core": v.decode("utf-8")})
                     else:
-                        out.append({**line, "kind": "segment", "ids": np.array(v, dtype=c.dtype).tobytes()})
+                        out.append({**line, "kind": "segment", "ids": v})
             yield pa.RecordBatch.from_pylist(out, schema=_DEALT_ARROW)
 
     return run
@@ -303,7 +323,7 @@ def _encoded(spec: str):
                 ids = c.encode(cores.slice(at, to - at).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [b.column("key").slice(at, to - at),
-                     pa.array([np.array(i, dtype=c.dtype).tobytes() for i in ids], pa.binary())], names=["key", "ids"])
+                     pa.array(ids, pa.binary())], names=["key", "ids"])
 
     return run
 
@@ -312,7 +332,7 @@ def _assembled(spec: str):
     def run(batches):
         c = coder(spec)
         for b in batches:
-            out = [(d, *c.digest(np.frombuffer(b"".join(s["ids"] for s in segments), dtype=c.dtype)))
+            out = [(d, *c.digest(b"".join(s["ids"] for s in segments)))
                    for d, segments in zip(b.column("doc_id").to_pylist(), b.column("segments").to_pylist())]
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
