@@ -734,9 +734,12 @@ def scenario_oracles() -> dict[str, str]:
     q["sat_change_detect"] = sql(sat_sql("user_hk", "hd_event", ["event_id", "event_type"],
                                          "user_events", "ts", "event_id"))
     q["sat_event_time"] = sql("SELECT * FROM sat_appointment_status")
+    # Written targets end as the same batches chained in memory, or loaded at once.
+    q["hub_written"], q["link_written"] = q["hub_incremental"], q["link_incremental"]
+    q["sat_written"] = q["sat_change_detect"]
     pk, hdc, pl, _, _, _ = SAT_DEFS["sat_patient"]
     q["sat_multi_source"] = sql(sat_sql(pk, hdc, pl, "patients_two_loads"))
-    q["pit_status"] = sql("SELECT * FROM pit_events")
+    q["pit_status"] = q["pit_incremental"] = sql("SELECT * FROM pit_events")
     q["pit_daily_status_counts"] = sql("""
 SELECT snapshot_date, status_as_of, count(*) AS appointments
 FROM pit_appointment GROUP BY snapshot_date, status_as_of""")

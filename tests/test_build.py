@@ -9,6 +9,7 @@ from conftest import SF_SMALL
 from vaultline.constants import AS_OF, LOAD_DATE_1, LOAD_DATE_2
 from vaultline.operators.loaders import sat_rows
 from vaultline.plans.build import build_warehouse
+from vaultline.sources.sinks import read_table, stored_table
 from vaultline.plans.vault import SATS, status_rank
 from vaultline.plans.warehouse import Warehouse
 from vaultline.streaming.incremental import landing_stream, vault_stream
@@ -21,14 +22,19 @@ def test_build_twice_appends_nothing(spark, tmpdir_path, buckets):
     first = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, vault_buckets=buckets, vault_database=db)
     assert first["hub_patient"] > 0 and first["sat_appointment_status"] > 0
     if buckets:
-        # A new session would re-declare the tables over the stored files.
-        spark.sql(f"DROP TABLE {db}.hub_patient")
+        # A new application declares the stored parts again.
+        for t in spark.catalog.listTables(db):
+            spark.sql(f"DROP TABLE {db}.{t.name}")
     second = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_2, as_of=AS_OF,
                              vault_buckets=buckets, vault_database=db)
     assert set(second.values()) == {0}
-    report = spark.read.parquet(os.path.join(out, "tests", "dq_report"))
-    assert report.count() == 142
-    assert report.filter("failures > 0").count() == 0
+    report = read_table(spark, os.path.join(out, "tests", "dq_report"))
+    assert sorted(map(tuple, report.groupBy("run").count().collect())) == [(LOAD_DATE_1, 142), (LOAD_DATE_2, 142)]
+    assert report.filter("failures > 0 OR failures IS NULL").count() == 0
+    # The unchanged point-in-time table was not written again.
+    snapshots = stored_table(spark, out, "business_vault", "pit_appointment")
+    assert snapshots.versions() == [1]
+    assert snapshots.read().count() == Warehouse(spark, SF_SMALL).model("pit_appointment").count()
 
 
 def test_streamed_event_satellite_equals_batch_load(spark, tmpdir_path):
@@ -46,7 +52,7 @@ def test_streamed_event_satellite_equals_batch_load(spark, tmpdir_path):
                      pk=spec.pk, hashdiff=spec.hashdiff, payload=list(spec.payload),
                      ldts=spec.ldts, tie=lambda: status_rank("status"))
     q.awaitTermination(300)
-    got = spark.read.parquet(target)
+    got = read_table(spark, target)
     expect = wh.model("sat_appointment_status")
     assert got.count() == expect.count()
     assert got.exceptAll(expect.select(*got.columns)).count() == 0
@@ -108,5 +114,5 @@ def test_build_can_fail_on_data_test_failures(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "wh")
     with pytest.raises(DataTestFailure, match="stg_patients.patient_id unique"):
         build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, feed_source=feeds, fail_on_test_failures=True)
-    report = spark.read.parquet(os.path.join(out, "tests", "dq_report"))
+    report = read_table(spark, os.path.join(out, "tests", "dq_report"))
     assert report.filter("failures > 0").count() >= 1

@@ -4,10 +4,11 @@ import datetime as dt
 import os
 import random
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from vaultline.constants import SOURCE_CLINIC
-from vaultline.operators.checks import Check, run_checks
+from vaultline.operators.checks import Check, from_watched, run_checks, watched
 from vaultline.operators.sequence import next_value, previous_value
 from vaultline.operators.survive import source_rank, survive
 from vaultline.sources.feeds import scan_feed, scan_union_extracts
@@ -88,10 +89,24 @@ def test_checks_count_failures(spark):
     checks = [Check("t", "id", "unique"), Check("t", "id", "not_null"),
               Check("t", "v", "accepted_values", ("A", "B")),
               Check("t", "v", "relationships", to_model="p", to_field="v")]
-    got = {(r.column_name, r.test): r.failures for r in run_checks(
-        checks, {"t": df, "p": parent}.__getitem__).collect()}
-    assert got == {("id", "unique"): 1, ("id", "not_null"): 1,
-                   ("v", "accepted_values"): 1, ("v", "relationships"): 1}
+    tables = {"t": df, "p": parent}.__getitem__
+    want = {("id", "unique"): 1, ("id", "not_null"): 1, ("v", "accepted_values"): 1, ("v", "relationships"): 1}
+    got = {(r.column_name, r.test): r.failures for r in run_checks(spark, checks, tables).collect()}
+    assert got == want
+    # Counted while the rows are written, the row-wise tests need no second read.
+    seen = Observation()
+    df.observe(seen, *[c.alias(n) for n, c in watched(checks).items()]).write.format("noop").mode("overwrite").save()
+    rows, rest = from_watched(checks, seen.get)
+    assert [c.test for c in rest] == ["unique", "relationships"]
+    assert {r[1:3]: r[3] for r in rows} == {k: n for k, n in want.items() if k[1] in ("not_null", "accepted_values")}
+
+
+def test_a_table_that_fails_does_not_stop_the_others(spark):
+    df = spark.createDataFrame([(1,), (1,)], "id int")
+    broken = df.select(F.raise_error(F.lit("unreadable")).cast("int").alias("id"))
+    checks = [Check("broken", "id", "unique"), Check("missing", "id", "not_null"), Check("t", "id", "unique")]
+    got = [tuple(r) for r in run_checks(spark, checks, {"t": df, "broken": broken}.__getitem__).collect()]
+    assert got == [("broken", "id", "unique", None), ("missing", "id", "not_null", None), ("t", "id", "unique", 1)]
 
 
 def test_bucketed_neighbours_equal_plain(spark):
@@ -147,5 +162,14 @@ def test_malformed_extract_stops_the_load(spark, tmpdir_path):
 
     _write(os.path.join(tmpdir_path, "specialties", "specialties_2024-01-01.csv"),
            "specialty_id,name\n1,Fine\nnot-a-number,Broken\n")
-    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|cannot|parse"):
+    with pytest.raises(Exception, match="specialty_id is not an integer id: not-a-number"):
         scan_feed(spark, tmpdir_path, "specialties").collect()
+    head = "exam_type_id,name,category,self_pay_price,tuss_code\n"
+    _write(os.path.join(tmpdir_path, "exam_types", "exam_types_2024-01-01.csv"), head + "1,A,B,12.50,7\n2,A,B,cheap,7\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|cannot|parse"):
+        scan_feed(spark, tmpdir_path, "exam_types").collect()
+    head = "exam_id,status,status_at\n"
+    _write(os.path.join(tmpdir_path, "exam_status_history", "exam_status_history_2024-01-01.csv"),
+           head + "1,SCHEDULED,2024-01-01 10:00:00\n2,SCHEDULED,yesterday\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|cannot|parse"):
+        scan_feed(spark, tmpdir_path, "exam_status_history").collect()

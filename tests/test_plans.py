@@ -9,6 +9,7 @@ from vaultline.constants import AS_OF, LOAD_DATE_1
 from vaultline.functions.keys import hash_key
 from vaultline.operators.loaders import hub_rows, sat_rows
 from vaultline.plans.build import build_warehouse
+from vaultline.sources.sinks import stored_table
 from vaultline.sources.tables import Tables
 
 
@@ -44,13 +45,13 @@ def test_bucketed_vault_target_is_not_shuffled(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "wh")
     db = "vault_plan_" + os.path.basename(tmpdir_path).replace("-", "_")
     build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, vault_buckets=4, vault_database=db, run_tests=False)
-    stored = spark.table(f"{db}.hub_appointment")
+    stored, = stored_table(spark, out, "raw_vault", "hub_appointment", buckets=("appointment_hk", 4, db)).parts()
     batch = stored.select("appointment_hk", "appointment_id", "load_date", "record_source")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(hub_rows(batch.limit(100), "appointment_hk", "appointment_id",
-                                existing=stored))
+                                existing=[stored]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -59,9 +60,9 @@ def test_bucketed_vault_target_is_not_shuffled(spark, tmpdir_path):
     # The stored side of the anti-join is read bucketed and not shuffled.
     assert any(not any("Exchange" in a for a in ancestors(lines, i)[:3]) for i in scans)
     # The uniqueness test on the bucket key groups the buckets in place.
-    from vaultline.operators.checks import Check, run_checks
+    from vaultline.operators.checks import Check, table_report
 
-    report = run_checks([Check("h", "appointment_hk", "unique")], {"h": stored}.__getitem__)
+    report = table_report(stored, [Check("h", "appointment_hk", "unique")], {"h": stored}.__getitem__)
     assert "Exchange hashpartitioning" not in plan_of(report)
     assert report.first().failures == 0
 

@@ -25,7 +25,10 @@ def main(argv: list[str] | None = None) -> None:
                    help="read the 13 feeds from this bronze CSV root instead of the tables")
     p.add_argument("--vault-buckets", type=int, default=None,
                    help="declare vault targets bucketed by hash key into N buckets")
-    p.add_argument("--vault-database", default="raw_vault")
+    p.add_argument("--vault-database", default="raw_vault_parts")
+    p.add_argument("--catalog", action="store_true",
+                   help="publish the tables as views, one database per layer")
+    p.add_argument("--catalog-prefix", default="", help="prefix of the database names")
     p.add_argument("--fail-on-test-failures", action="store_true",
                    help="exit with an error when any data test fails")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
@@ -42,7 +45,8 @@ def main(argv: list[str] | None = None) -> None:
     appended = build_warehouse(
         spark, args.source, args.out, load_date=args.load_date, as_of=args.as_of,
         feed_source=feed_source, vault_buckets=args.vault_buckets,
-        vault_database=args.vault_database, fail_on_test_failures=args.fail_on_test_failures)
+        vault_database=args.vault_database, fail_on_test_failures=args.fail_on_test_failures,
+        catalog=args.catalog, catalog_prefix=args.catalog_prefix)
     print(json.dumps(appended, sort_keys=True))
 
 

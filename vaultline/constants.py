@@ -38,5 +38,11 @@ PIT_DAYS_BACK = 180
 # Event-stream point-in-time window (events span 2024-01-01 .. 2024-01-30).
 EVENTS_PIT_START = "2024-01-01"
 EVENTS_PIT_END = "2024-02-05"
+# The written satellite scenario loads the stream up to here first.
+EVENTS_SPLIT = "2024-01-15 12:00:00"
+# The incremental point-in-time scenario: as-of day of the first run, and the
+# day from which some of its events arrive only later.
+EVENTS_KNOWN_UNTIL = "2024-01-28"
+EVENTS_LATE_FROM = "2024-01-20"
 # Incremental batches of the order-based roles split at this day.
 BATCH_SPLIT_DAY = "1998-01-01"

@@ -73,11 +73,13 @@ def pit(
     value_names: Sequence[str] | None = None,
     ts_name: str | None = None,
     bucket: Column | None = None,
+    days: Sequence[_dt.date] | None = None,
 ) -> DataFrame:
     """Point-in-time table ``(key, snapshot_date, values..., ts)``.
 
     ``parents`` restricts the keys (semi join, like the spine's hub); history
-    rows of unknown keys are ignored.
+    rows of unknown keys are ignored.  ``days`` gives only these days of
+    ``[start, end]``.
     """
     keep = [key, ts, *values, *[t for t in tie if isinstance(t, str)]]
     h = history.select(*dict.fromkeys(keep))
@@ -86,19 +88,68 @@ def pit(
     lo = F.greatest(F.col("_first_day"), _lit_date(start))
     hi = F.least(F.col("_last_day"), _lit_date(end))
     names = list(value_names or values)
+    span = F.sequence(F.col("_lo"), F.col("_hi"))
+    if days is not None:
+        # Rows in effect on none of the days give nothing, before any explode.
+        wanted = F.array(*[_lit_date(d) for d in sorted(days)]).cast("array<date>")
+        span = F.filter(wanted, lambda d: (d >= F.col("_lo")) & (d <= F.col("_hi")))
     return (
         iv.withColumn("_lo", lo)
         .withColumn("_hi", hi)
         .filter(F.col("_lo") <= F.col("_hi"))
         .select(
             key,
-            F.explode(F.sequence(F.col("_lo"), F.col("_hi"))).alias("snapshot_date"),
+            F.explode(span).alias("snapshot_date"),
             *[F.col(v).alias(n) for v, n in zip(values, names)],
             F.col(ts).alias(ts_name or ts),
         )
     )
 
 
+def _day_sets(history: DataFrame, changed: DataFrame, key: str, ts: str, value: str, tie, start, end, bucket) -> DataFrame:
+    """Days of ``[start, end]`` on which the ``changed`` rows of ``history`` are in effect."""
+    touched = history.join(changed.select(key).distinct(), key, "left_semi")
+    iv = in_effect_intervals(touched, key, ts, tie=tie, end=end, bucket=bucket)
+    same = [iv[c].eqNullSafe(changed[c]) for c in (key, ts, value)]
+    days = F.sequence(F.greatest(F.col("_first_day"), _lit_date(start)), F.least(F.col("_last_day"), _lit_date(end)))
+    return (
+        iv.join(changed, same, "left_semi")
+        .filter((F.greatest(F.col("_first_day"), _lit_date(start)) <= F.least(F.col("_last_day"), _lit_date(end))))
+        .select(F.explode(days).alias("snapshot_date")).distinct()
+    )
+
+
+def changed_days(
+    before: tuple[DataFrame, DataFrame],
+    after: tuple[DataFrame, DataFrame],
+    key: str,
+    ts: str,
+    value: str,
+    start: str | _dt.date,
+    end: str | _dt.date,
+    tie: Sequence[str | Column] = (),
+    bucket: Column | None = None,
+) -> DataFrame:
+    """The days of ``[start, end]`` whose snapshot differs between two states
+    ``(parents, history)``: ``(snapshot_date)``, at most one row per day.
+
+    A snapshot row changes on a day only if the row in effect then was added
+    since, or the one that was in effect before was removed: a row present in
+    both states that is the latest in the new one was the latest in the old
+    one, or gave way to a removed row.  So the two histories are compared (one
+    shuffle, partial aggregation), and only the keys that differ are looked at.
+    """
+    states = [h.join(p.select(key), key, "left_semi") for p, h in (before, after)]
+    marked = [h.select(key, ts, value, F.lit(i == 0).alias("_old"), F.lit(i == 1).alias("_new")) for i, h in enumerate(states)]
+    differ = marked[0].unionByName(marked[1]).groupBy(key, ts, value).agg(
+        F.max("_old").alias("_old"), F.max("_new").alias("_new")).filter(F.col("_old") != F.col("_new"))
+    sides = [
+        _day_sets(h, differ.filter(F.col(flag)).select(key, ts, value), key, ts, value, tie, start, end, bucket)
+        for h, flag in zip(states, ("_old", "_new"))
+    ]
+    return sides[0].unionByName(sides[1]).distinct()
+
+
 def asof_day(
     parents: DataFrame,
     history: DataFrame,

@@ -14,15 +14,24 @@ counts; the remaining not_null / accepted_values tests of the table are
 conditional sums in one global aggregate -- at most two scans and one
 row-level shuffle per table, however many tests it has.
 
-Output schema: ``(model string, column_name string, test string, failures bigint)``.
+Every table is a job of its own (``run_checks`` runs several side by side): a table
+whose tests cannot run does not stop the others.  Tests that need no grouping
+can also be counted while a table is written (``watched`` gives the aggregates for
+``observe``, ``from_watched`` reads their values), which leaves only the unique
+and relationship tests to read it again.
+
+Output schema: ``(model string, column_name string, test string, failures bigint)``;
+``failures`` is NULL where a test could not run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import logging
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -133,24 +142,79 @@ def _relationship_tests(
     return out
 
 
+REPORT = "model string, column_name string, test string, failures bigint"
+Row = tuple[str, str, str, int | None]
+
+
+def table_report(df: DataFrame, checks: Sequence[Check], resolve: Callable[[str], DataFrame]) -> DataFrame:
+    """The report of one table's tests (lazy)."""
+    parts = [p for p in (_column_tests(df, checks),) if p is not None] + _relationship_tests(df, checks, resolve)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def watched(checks: Sequence[Check]) -> dict[str, Column]:
+    """Aggregates for ``observe`` that count the row-wise tests of a table."""
+    return {
+        f"{c.test}_{i}": F.sum(F.coalesce(_failure_term(c, F.col(c.column), F.lit(1)), F.lit(0))).cast("bigint")
+        for i, c in enumerate(checks) if c.test in ("not_null", "accepted_values")
+    }
+
+
+def from_watched(checks: Sequence[Check], values: Mapping[str, int]) -> tuple[list[Row], list[Check]]:
+    """(rows of the tests counted by ``watched``, tests still to run)."""
+    rows, rest = [], []
+    for i, c in enumerate(checks):
+        name = f"{c.test}_{i}"
+        if name in values:
+            rows.append((c.model, c.column, c.test, int(values[name] or 0)))
+        else:
+            rest.append(c)
+    return rows, rest
+
+
+def reports(
+    checks: Sequence[Check],
+    resolve: Callable[[str], DataFrame],
+    seen: Mapping[str, Mapping[str, int]] | None = None,
+    workers: int = 8,
+) -> Iterator[tuple[str, list[Row]]]:
+    """(model, report rows) per table, as its job ends.  ``seen`` holds the
+    observed values of tables written with ``watched``."""
+    by_model: dict[str, list[Check]] = {}
+    for c in checks:
+        by_model.setdefault(c.model, []).append(c)
+
+    def run(model: str, cs: list[Check]) -> list[Row]:
+        rows, rest = from_watched(cs, (seen or {}).get(model, {}))
+        if rest:
+            # One row per declared test.
+            rows += [tuple(r) for r in table_report(resolve(model), rest, resolve).collect()]
+        return rows
+
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(by_model)))) as pool:
+        jobs = {pool.submit(run, m, cs): m for m, cs in by_model.items()}
+        for job in as_completed(jobs):
+            model = jobs[job]
+            try:
+                yield model, job.result()
+            except Exception:
+                logging.getLogger(__name__).exception("tests of %s could not run", model)
+                yield model, [(c.model, c.column, c.test, None) for c in by_model[model]]
+
+
 def run_checks(
+    spark: SparkSession,
     checks: Sequence[Check],
     resolve: Callable[[str], DataFrame],
     tests: Sequence[str] | None = None,
+    workers: int = 8,
 ) -> DataFrame:
-    """Run ``checks`` (optionally only some test kinds) and union the reports."""
+    """Run ``checks`` (optionally only some test kinds), a job per table, and
+    return the report in the order of declaration."""
     wanted = [c for c in checks if tests is None or c.test in tests]
-    by_model: dict[str, list[Check]] = {}
-    for c in wanted:
-        by_model.setdefault(c.model, []).append(c)
-    parts: list[DataFrame] = []
-    for model, cs in by_model.items():
-        df = resolve(model)
-        part = _column_tests(df, cs)
-        if part is not None:
-            parts.append(part)
-        parts.extend(_relationship_tests(df, cs, resolve))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = [r for _, rows in reports(wanted, resolve, workers=workers) for r in rows]
+    place = {(c.model, c.column, c.test): i for i, c in enumerate(wanted)}
+    return spark.createDataFrame(sorted(found, key=lambda r: place[r[:3]]), REPORT)

@@ -16,12 +16,16 @@ Plans (one shuffle per step, all keyed on the hash key):
   Spark plans as a partial ``WindowGroupLimit`` before the shuffle, i.e. a
   map-side top-1 per key) -> ``left_anti`` against the target's key column.
 * satellite: take from the stored history only the rows a batch row can
-  follow (per key: the latest stored row before the batch's first timestamp,
-  and every stored row from that timestamp on), union with the batch, and
+  follow (per key: the latest stored rows before the batch's first timestamp,
+  found by a partial aggregate over the stored timestamps, and every stored row
+  from that timestamp on), union with the batch, and
   keep a row when its hashdiff differs from the previous row of the same
   ``(key, record_source)`` ordered by ``(ldts, tie, hashdiff, origin)``;
   stored rows sort before new rows with the same position, so re-running a
   batch appends nothing.
+
+``existing`` is the stored table or the list of frames it consists of (for
+bucketed targets one per stored part, so that each join keeps the bucketing).
 """
 
 from __future__ import annotations
@@ -34,10 +38,19 @@ from pyspark.sql import functions as F
 from vaultline.operators.sequence import previous_value
 
 
+Stored = DataFrame | Sequence[DataFrame] | None
+
+
 def _as_list(x):
     return list(x) if isinstance(x, (list, tuple)) else [x]
 
 
+def _not_stored(rows: DataFrame, existing: Stored, pk: str) -> DataFrame:
+    for part in _as_list(existing) if existing is not None else []:
+        rows = rows.join(part.select(pk), pk, "left_anti")
+    return rows
+
+
 def _first_per_key(
     frames: Sequence[DataFrame],
     pk: str,
@@ -65,7 +78,7 @@ def hub_rows(
     nk: str | Sequence[str],
     ldts: str = "load_date",
     source: str = "record_source",
-    existing: DataFrame | None = None,
+    existing: Stored = None,
     keys_checked: bool = False,
 ) -> DataFrame:
     """Rows to append to a hub: one per business key not yet in ``existing``.
@@ -79,10 +92,7 @@ def hub_rows(
     cols = [pk, *nks, ldts, source]
     if not keys_checked:
         frames = [f.select(*cols).filter(F.col(pk).isNotNull()) for f in frames]
-    first = _first_per_key(frames, pk, cols, ldts, tie=nks)
-    if existing is not None:
-        first = first.join(existing.select(pk), pk, "left_anti")
-    return first
+    return _not_stored(_first_per_key(frames, pk, cols, ldts, tie=nks), existing, pk)
 
 
 def link_rows(
@@ -91,7 +101,7 @@ def link_rows(
     fks: Sequence[str],
     ldts: str = "load_date",
     source: str = "record_source",
-    existing: DataFrame | None = None,
+    existing: Stored = None,
     keys_checked: bool = False,
 ) -> DataFrame:
     """Rows to append to a link: one per link key not yet in ``existing``.
@@ -106,10 +116,46 @@ def link_rows(
         not_null = not_null & F.col(fk).isNotNull()
     if not keys_checked:
         frames = [f.select(*cols).filter(not_null) for f in frames]
-    first = _first_per_key(frames, pk, cols, ldts, tie=list(fks))
-    if existing is not None:
-        first = first.join(existing.select(pk), pk, "left_anti")
-    return first
+    return _not_stored(_first_per_key(frames, pk, cols, ldts, tie=list(fks)), existing, pk)
+
+
+def _followed(batch: DataFrame, existing: Stored, cols: Sequence[str], pk: str, ldts: str, source: str) -> DataFrame:
+    """The stored rows that a batch row can follow.
+
+    These are, per key, the stored rows at or after the batch's earliest
+    timestamp, and per source those of the latest timestamp before it (the
+    anchor).  A daily load against years of history keeps about one stored row
+    per key and source; late and out-of-order rows keep the sequence they
+    need.  A batch row without a timestamp sorts first, so it keeps the
+    whole stored sequence of its key.
+
+    The anchors are a hash aggregate over (key, source) with map-side partial
+    sums, so a key's long history is reduced where it is read and never sorted.
+    Both reads of the stored side join on the key alone, which is how a
+    bucketed target is stored: neither shuffles it.
+    """
+    first_new = batch.groupBy(pk).agg(
+        F.min(ldts).alias("_first_new"), F.max(F.col(ldts).isNull()).alias("_all"))
+    before = F.col(ldts).isNull() | (F.col(ldts) < F.col("_first_new"))
+
+    def stored(columns: Sequence[str], bounds: DataFrame) -> DataFrame:
+        out = None
+        for part in _as_list(existing):
+            rows = part.select(*columns).join(bounds, pk, "inner")
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    anchors = (
+        stored([pk, source, ldts], first_new).filter(before)
+        .groupBy(pk, source).agg(F.max(ldts).alias("t"))
+        .groupBy(pk).agg(F.collect_list(F.struct(F.col(source).alias("s"), "t")).alias("_anchors"))
+    )
+    bounds = first_new.join(anchors, pk, "left")
+    last = F.exists("_anchors", lambda a: a["s"].eqNullSafe(F.col(source)) & a["t"].eqNullSafe(F.col(ldts)))
+    return (
+        stored(cols, bounds).filter(F.col("_all") | ~before | F.coalesce(last, F.lit(False)))
+        .drop("_first_new", "_all", "_anchors")
+    )
 
 
 def sat_rows(
@@ -119,9 +165,10 @@ def sat_rows(
     payload: Sequence[str],
     ldts: str = "load_date",
     source: str = "record_source",
-    existing: DataFrame | None = None,
+    existing: Stored = None,
     tie: Callable[[], Column] | None = None,
     bucket: Callable[[Column], Column] | None = None,
+    limit: int | None = None,
     keys_checked: bool = False,
 ) -> DataFrame:
     """Rows to append to a satellite (one row per change of the hashdiff).
@@ -132,6 +179,8 @@ def sat_rows(
     ``bucket`` optional function of the ``ldts`` column that splits one key's
                history into several window partitions (see
                ``vaultline.operators.sequence``); results are identical.
+    ``limit``  with ``bucket``: rows of one key and bucket above which the bucket
+               is split again, at sampled positions.
     """
     cols = [pk, hashdiff, *payload, ldts, source]
     tie_col = tie() if tie is not None else F.lit(0)
@@ -145,32 +194,8 @@ def sat_rows(
     )
     rows = batch
     if existing is not None:
-        # Only two kinds of stored rows can precede a batch row: the stored
-        # rows at or after the batch's earliest timestamp for that key, and
-        # per source the latest stored row before it (the anchor).  A daily
-        # load against years of history therefore keeps about one stored row
-        # per key and source; late and out-of-order rows keep the full
-        # sequence they need.  The stored side is read once and joined on the
-        # key alone, which is how a bucketed target is stored; the window
-        # below it is clustered by the same key.  A batch row without a
-        # timestamp sorts first, so it keeps the whole stored sequence.
-        first_new = batch.groupBy(pk).agg(
-            F.min(ldts).alias("_first_new"), F.max(F.col(ldts).isNull()).alias("_all"))
-        stored = (
-            existing.select(*cols)
-            .join(first_new, pk, "inner")
-            .withColumn("_tie", tie_col)
-            .withColumn("_origin", F.lit(0))
-        )
-        position = F.struct(F.col(ldts), F.col("_tie"), F.col(hashdiff))
-        before = F.col(ldts).isNull() | (F.col(ldts) < F.col("_first_new"))
-        anchor = F.max(F.when(before, position)).over(Window.partitionBy(pk, source))
-        kept = (
-            stored.withColumn("_anchor", anchor)
-            .filter(F.col("_all") | ~before | position.eqNullSafe(F.col("_anchor")))
-            .drop("_first_new", "_all", "_anchor")
-        )
-        rows = kept.unionByName(batch)
+        rows = _followed(batch, existing, cols, pk, ldts, source).withColumn("_tie", tie_col).withColumn(
+            "_origin", F.lit(0)).unionByName(batch)
     order = [F.col(ldts), F.col("_tie"), F.col(hashdiff), F.col("_origin")]
     with_prev = previous_value(
         rows,
@@ -179,6 +204,7 @@ def sat_rows(
         hashdiff,
         "_prev_hd",
         bucket=bucket(F.col(ldts)) if bucket is not None else None,
+        limit=limit,
     )
     return (
         with_prev.filter(

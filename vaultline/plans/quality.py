@@ -101,7 +101,7 @@ def dq(spark, root, tests=None) -> DataFrame:
     wh = Warehouse(spark, root)
     checks = [c for c in all_checks() if tests is None or c.test in tests]
     wh.prepare(*{c.model for c in checks}, *{c.to_model for c in checks if c.to_model})
-    return run_checks(checks, wh.model)
+    return run_checks(spark, checks, wh.model)
 
 
 def dq_report(spark, root):

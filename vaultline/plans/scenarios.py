@@ -12,14 +12,19 @@ result to a table would leave behind.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.constants import (
     BATCH_SPLIT_DAY,
+    EVENTS_KNOWN_UNTIL,
+    EVENTS_LATE_FROM,
     EVENTS_PIT_END,
     EVENTS_PIT_START,
+    EVENTS_SPLIT,
     LOAD_DATE_1,
     LOAD_DATE_2,
     PIT_DAYS_BACK,
@@ -28,8 +33,11 @@ from vaultline.functions.dates import midnight, ntz
 from vaultline.functions.keys import hash_key, hashdiff, link_key
 from vaultline.operators.asof import daily_counts, pit
 from vaultline.operators.loaders import hub_rows, link_rows, load_all, sat_rows
+from vaultline.plans.snapshots import refresh_pit
 from vaultline.plans.vault import SATS, status_rank
 from vaultline.plans.warehouse import Warehouse
+from vaultline.session import scratch_path
+from vaultline.sources.stored import StoredTable
 from vaultline.sources.tables import Tables
 
 
@@ -204,9 +212,71 @@ def sat_multi_source(spark, root) -> DataFrame:
                     payload=list(spec.payload))
 
 
+# -------------------------------------------------------- written targets
+
+
+def _target(spark, name: str) -> StoredTable:
+    return StoredTable(spark, scratch_path(spark, "stored", uuid.uuid4().hex, name))
+
+
+def load_written(table: StoredTable, rows_fn: Callable[..., DataFrame], batches: Sequence, **kwargs) -> DataFrame:
+    """Load ``batches`` into a stored table, each against what was read back, and
+    retry the last one; the table as read back at the end."""
+    for i, batch in enumerate([*batches, batches[-1]]):
+        table.append(rows_fn(batch, existing=table.parts(), **kwargs), f"batch-{min(i, len(batches) - 1)}")
+    return table.read()
+
+
+def hub_written(spark, root) -> DataFrame:
+    t = Tables(spark, root)
+    return load_written(_target(spark, "hub"), hub_rows,
+                        [order_customers(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY), order_customers(t, LOAD_DATE_2)],
+                        pk="customer_hk", nk="customer_id", keys_checked=True)
+
+
+def link_written(spark, root) -> DataFrame:
+    t = Tables(spark, root)
+    return load_written(_target(spark, "link"), link_rows,
+                        [order_lines_link_feed(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY),
+                         order_lines_link_feed(t, LOAD_DATE_2)],
+                        pk="lnk_order_line_hk", fks=LINE_FKS, keys_checked=True)
+
+
+#: Rows of one user and day above which that day is split again.
+DAY_LIMIT = 200_000
+
+
+def sat_written(spark, root, limit: int = DAY_LIMIT) -> DataFrame:
+    """Event satellite loaded in two batches against its stored history: the
+    events up to noon of a day, then the whole stream again.  Equals one load."""
+    t = Tables(spark, root)
+    feed = user_event_feed(t)
+    return load_written(_target(spark, "sat"), sat_rows, [feed.filter(F.col("ts") < ntz(EVENTS_SPLIT)), feed],
+                        pk="user_hk", hashdiff="hd_event", payload=["event_id", "event_type"], ldts="ts",
+                        tie=lambda: F.col("event_id"), bucket=F.to_date, limit=limit, keys_checked=True)
+
+
 # ---------------------------------------------------------- point in time
 
 
+def pit_incremental(spark, root) -> DataFrame:
+    """The event stream's point-in-time table kept up to date: first as of an
+    earlier day, from the events known then (some arrive later), then as of the
+    last day from all events.  Only days whose snapshots differ are rewritten."""
+    t = Tables(spark, root)
+    users = t("customer").select(F.col("c_custkey").alias("user_id"))
+    events = t("events").select("user_id", "ts", "event_type", "event_id")
+    known = events.filter((F.col("ts") < midnight(EVENTS_KNOWN_UNTIL)) & (
+        (F.col("event_id") % 500 != 0) | (F.col("ts") < midnight(EVENTS_LATE_FROM))))
+    table = _target(spark, "pit")
+    args = dict(key="user_id", ts="ts", value="event_type", tie=["event_id"], value_name="status_as_of",
+                ts_name="status_at", bucket=lambda: F.to_date("ts"))
+    start, end = _dt.date.fromisoformat(EVENTS_PIT_START), _dt.date.fromisoformat(EVENTS_PIT_END)
+    refresh_pit(table, users, known, start=start, end=_dt.date.fromisoformat(EVENTS_KNOWN_UNTIL), before=None, **args)
+    refresh_pit(table, users, events, start=start, end=end, before=(users, known), **args)
+    return table.read()
+
+
 def pit_status(spark, root, bucket="day") -> DataFrame:
     """Status (event type) in effect per customer and day over the event stream."""
     t = Tables(spark, root)
@@ -247,6 +317,10 @@ SCENARIOS = {
     "sat_idempotent_rerun": sat_idempotent_rerun,
     "sat_multi_source": sat_multi_source,
     "sat_event_time": sat_event_time,
+    "hub_written": hub_written,
+    "link_written": link_written,
+    "sat_written": sat_written,
     "pit_status": pit_status,
+    "pit_incremental": pit_incremental,
     "pit_daily_status_counts": pit_daily_status_counts,
 }

@@ -131,7 +131,7 @@ class Warehouse:
         load_date: str = LOAD_DATE_1,
         as_of: str = AS_OF,
         feed_source=None,
-        targets: dict[str, DataFrame] | None = None,
+        targets: dict[str, DataFrame | list[DataFrame]] | None = None,
         materialize: bool = True,
     ):
         self.spark = spark
@@ -295,7 +295,11 @@ class Warehouse:
         else:
             new = self.sat_new_rows(name)
         stored = self.targets.get(name)
-        return new if stored is None else stored.unionByName(new)
+        if stored is None:
+            return new
+        for part in stored if isinstance(stored, list) else [stored]:
+            new = part.unionByName(new)
+        return new
 
     # -------------------------------------------------- business vault
 

@@ -1,10 +1,7 @@
-"""Table sinks: full-refresh tables and insert-only (append) targets.
+"""Where tables live: ``<root>/<layer>/<model>``, each a stored table.
 
-Paths live under the warehouse output root, one folder per layer (schema)
-and model: ``<root>/<layer>/<model>``.  An incremental target is never
-overwritten -- reading a path and overwriting it in the same job would
-delete the input -- it only ever receives appends of rows that the loaders
-proved new.
+Full-refresh tables are replaced as a whole, insert-only (vault) targets get
+batches appended, see ``vaultline.sources.stored``.
 """
 
 from __future__ import annotations
@@ -13,64 +10,23 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vaultline.sources.stored import StoredTable
+
 
 def table_path(root: str, layer: str, name: str) -> str:
     return os.path.join(root, layer, name)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def stored_table(spark: SparkSession, root: str, layer: str, name: str, **options) -> StoredTable:
+    return StoredTable(spark, table_path(root, layer, name), **options)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None when it does not exist yet."""
-    if not exists(spark, path):
-        return None
-    return spark.read.parquet(path)
-
-
-def bucketed_target(
-    spark: SparkSession, database: str, name: str, path: str, schema, key: str, buckets: int
-) -> str:
-    """Declare (or re-declare over existing files) an insert-only target
-    bucketed by its hash key, stored at ``path``; returns the table name.
-
-    Joins of a new batch against the stored table on ``key`` (the hub/link
-    anti-join, the satellite semi-join) then shuffle only the batch: the
-    stored side is already clustered into ``buckets`` by the same hash.
-    """
-    table = f"{database}.{name}"
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
-        f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{path}'"
-    )
-    return table
-
-
-def append_table(df: DataFrame, table: str) -> None:
-    """Append to a declared table (columns matched by name)."""
-    spark = df.sparkSession
-    df.select(*spark.table(table).columns).write.insertInto(table)
+    """The stored table at ``path``, or None when it does not exist yet."""
+    return StoredTable(spark, path).read()
 
 
 def delete(spark: SparkSession, path: str) -> None:
     """Recursively delete ``path`` on its file system (no-op if absent)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

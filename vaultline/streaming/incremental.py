@@ -3,11 +3,11 @@
 A landing folder of staged batches (or any streaming DataFrame) is consumed
 with ``foreachBatch``; each micro-batch goes through the same pure loader as a
 batch run (``hub_rows`` / ``link_rows`` / ``sat_rows``) against the stored
-target, and the proven-new rows are appended.  Because the loaders are
-idempotent (re-loading rows already stored appends nothing), a micro-batch
-replayed after a failure leaves the target unchanged: appends are
-effectively exactly-once without a transactional sink.  The checkpoint
-location must be on shared storage (``spark.checkpoint.dir``).
+target, and the proven-new rows are appended under the id of the micro-batch.
+A micro-batch replayed after a failure is found in the target's commit log and
+skipped, one that died while writing is invisible: appends are exactly-once.
+Small parts are merged as they pile up.  The checkpoint location must be on shared
+storage (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vaultline.session import scratch_path
-from vaultline.sources.sinks import append, read_table
+from vaultline.sources.stored import StoredTable
 
 
 def vault_stream(
@@ -42,10 +42,12 @@ def vault_stream(
         name = f"{target_path.rstrip('/').split('/')[-1]}-{sha256(whole.encode()).hexdigest()[:16]}"
         checkpoint_location = scratch_path(stream.sparkSession, "streams", name)
 
+    stream_id = sha256(checkpoint_location.encode()).hexdigest()[:16]
+
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        stored = read_table(spark, target_path)
-        append(rows_fn(batch, existing=stored, **loader_kwargs), target_path)
+        target = StoredTable(batch.sparkSession, target_path)
+        target.append(rows_fn(batch, existing=target.read(), **loader_kwargs), f"{stream_id}-{batch_id}")
+        target.compact()
 
     writer = stream.writeStream.foreachBatch(load_batch).option(
         "checkpointLocation", checkpoint_location)
