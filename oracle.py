@@ -863,4 +863,9 @@ SELECT *, DATE '2024-02-01' AS extract_date FROM f_appointment_status_history
 WHERE status_at < {_SPLIT}
 UNION ALL
 SELECT *, DATE '2024-02-02' AS extract_date FROM f_appointment_status_history"""),
+        "scan_new_extracts": sql(f"""
+SELECT 1 AS run, *, DATE '2024-02-01' AS extract_date FROM f_appointment_status_history
+WHERE status_at < {_SPLIT}
+UNION ALL
+SELECT 2 AS run, *, DATE '2024-02-02' AS extract_date FROM f_appointment_status_history"""),
     }

@@ -17,7 +17,8 @@ from vaultline.functions.dates import midnight, ntz
 from vaultline.plans import staging as S
 from vaultline.plans.warehouse import Warehouse
 from vaultline.session import scratch_path
-from vaultline.sources.feeds import scan_feed, scan_union_extracts, write_extract
+from vaultline.sources.feeds import NewExtracts, scan_feed, scan_union_extracts, write_extract
+from vaultline.sources.stored import StoredTable
 
 EXTRACT_1 = "2024-02-01"
 EXTRACT_2 = "2024-02-02"
@@ -45,7 +46,31 @@ def scan_union_extracts_query(spark: SparkSession, root: str) -> DataFrame:
     return scan_union_extracts(spark, landing, "appointment_status_history")
 
 
+def scan_new_extracts_query(spark: SparkSession, root: str) -> DataFrame:
+    """Runs over a growing landing folder, each reading only the extracts that
+    are new to it: (run, rows of the status history).  The second extract has
+    its columns in another order and one more; nothing is new to the third run."""
+    landing = _landing(spark)
+    entity = "appointment_status_history"
+    manifest = StoredTable(spark, scratch_path(spark, "manifest", uuid.uuid4().hex))
+    loaded = StoredTable(spark, scratch_path(spark, "stored", uuid.uuid4().hex, entity))
+    hist = Warehouse(spark, root).feed(entity)
+    arrivals = [
+        (EXTRACT_1, hist.filter(F.col("status_at") < midnight(BATCH_SPLIT_DAY))),
+        (EXTRACT_2, hist.select(F.lit("x").alias("note"), "status_at", "appointment_id", "status")),
+        (None, None),
+    ]
+    for run, (day, rows) in enumerate(arrivals, 1):
+        if day:
+            write_extract(rows, landing, entity, day)
+        new = NewExtracts(spark, landing, entity, manifest)
+        loaded.append(new.rows().select(F.lit(run).alias("run"), "*"), f"run-{run}")
+        new.done()
+    return loaded.read()
+
+
 INGEST = {
+    "scan_new_extracts": scan_new_extracts_query,
     "scan_feed": scan_feed_query,
     "scan_union_extracts": scan_union_extracts_query,
 }
