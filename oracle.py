@@ -465,24 +465,29 @@ SELECT appointment_hk, status AS status_as_of, status_at AS sat_appointment_stat
     ON s.appointment_hk = h.appointment_hk AND s.status_at <= TIMESTAMP '{AS_OF} 00:00:00') x
 WHERE rn = 1"""
 
-# One linked thing per row, tagged by what it is; the bridge is the product of
-# each appointment's things, a missing kind counting as one NULL.
-CTES["linked_exam"] = """
-SELECT source_appointment_hk AS hk, exam_hk, exam_type_hk, paid.payment_hk AS exam_payment_hk
-FROM lnk_exam LEFT JOIN lnk_payment_exam paid ON paid.reference_hk = lnk_exam.exam_hk"""
-CTES["bridge_encounter"] = """
-SELECT visit.appointment_hk, visit.patient_hk, visit.practitioner_hk, visit.facility_hk, visit.specialty_hk,
-       cover.insurance_provider_hk AS appointment_insurance_provider_hk,
-       done.exam_hk, done.exam_type_hk, bill.payment_hk AS appointment_payment_hk,
-       done.exam_payment_hk, opinion.feedback_hk
-FROM lnk_feedback opinion
-RIGHT JOIN (lnk_payment_appointment bill
-  RIGHT JOIN (linked_exam done
-    RIGHT JOIN (lnk_appointment_insurance cover
-      RIGHT JOIN lnk_appointment visit USING (appointment_hk))
-    ON done.hk = visit.appointment_hk)
-  ON bill.reference_hk = visit.appointment_hk)
-ON opinion.appointment_hk = visit.appointment_hk"""
+# Everything linked to an appointment as one tagged list, turned into one column
+# per kind.
+CTES["encounter_list"] = """
+SELECT 'insurer' AS kind, appointment_hk AS visit, insurance_provider_hk AS item FROM lnk_appointment_insurance
+UNION ALL SELECT 'payment', reference_hk, payment_hk FROM lnk_payment_appointment
+UNION ALL SELECT 'feedback', appointment_hk, feedback_hk FROM lnk_feedback
+UNION ALL SELECT 'exam', source_appointment_hk, exam_hk FROM lnk_exam
+UNION ALL SELECT 'exam type', source_appointment_hk, exam_type_hk FROM lnk_exam
+UNION ALL SELECT 'exam payment', source_appointment_hk, payment_hk
+          FROM lnk_exam, lnk_payment_exam WHERE exam_hk = reference_hk"""
+
+
+def _of_kind(kind: str, column: str) -> str:
+    return f"max(item) FILTER (kind = '{kind}') AS {column}"
+
+
+CTES["bridge_encounter"] = f"""
+SELECT appointment_hk, patient_hk, practitioner_hk, facility_hk, specialty_hk,
+       {_of_kind('insurer', 'appointment_insurance_provider_hk')}, {_of_kind('exam', 'exam_hk')},
+       {_of_kind('exam type', 'exam_type_hk')}, {_of_kind('payment', 'appointment_payment_hk')},
+       {_of_kind('exam payment', 'exam_payment_hk')}, {_of_kind('feedback', 'feedback_hk')}
+FROM lnk_appointment LEFT JOIN encounter_list ON visit = appointment_hk
+GROUP BY ALL"""
 
 # ------------------------------------------------------------------ gold
 CTES["dim_patient"] = """
@@ -527,32 +532,36 @@ SELECT CAST(strftime(date_day, '%Y%m%d') AS INTEGER) AS date_key, date_day,
        dayofweek(date_day) IN (0, 6) AS is_weekend
 FROM (SELECT CAST(max(scheduled_at) AS DATE) + unnest(range(-730, 366))::INTEGER AS date_day
       FROM stg_appointments) days"""
+# Facts straight from staging: what refers to an appointment is stacked, one
+# row per thing, and folded to one row per appointment.
+CTES["appointment_details"] = """
+SELECT appointment_hk, max(exam_hk) AS exam_hk, max(exam_type_hk) AS exam_type_hk, max(feedback_hk) AS feedback_hk,
+       max(rating) AS feedback_rating, max(amount) AS amount_paid, max(payment_method) AS payment_method,
+       max(payment_status) AS payment_status, max(status_as_of) AS status_as_of
+FROM (SELECT source_appointment_hk AS appointment_hk, exam_hk, exam_type_hk FROM stg_exams
+      UNION ALL BY NAME
+      SELECT appointment_hk, feedback_hk, rating FROM stg_patient_feedback
+      UNION ALL BY NAME
+      SELECT reference_hk AS appointment_hk, amount, payment_method, payment_status
+      FROM stg_payments WHERE reference_type = 'APPOINTMENT'
+      UNION ALL BY NAME
+      SELECT appointment_hk, status_as_of FROM pit_today) things
+GROUP BY appointment_hk"""
 CTES["fact_appointment"] = """
-WITH paid AS (
-  SELECT payment_hk AS key, amount, payment_method, payment_status FROM stg_payments
-), linked AS (
-  SELECT appointment_hk, exam_hk, exam_type_hk, feedback_hk, amount, payment_method, payment_status,
-         (SELECT max(rating) FROM stg_patient_feedback r WHERE r.feedback_hk = l.feedback_hk) AS rating
-  FROM bridge_encounter l LEFT JOIN paid ON key = appointment_payment_hk
-), now AS (SELECT appointment_hk, status_as_of FROM pit_today)
-SELECT appointment_id, s.appointment_hk, patient_hk, practitioner_hk, facility_hk, specialty_hk,
+SELECT appointment_id, appointment_hk, patient_hk, practitioner_hk, facility_hk, specialty_hk,
        insurance_provider_hk, exam_hk, exam_type_hk, feedback_hk,
-       (year(scheduled_at) * 10000 + month(scheduled_at) * 100 + day(scheduled_at))::INTEGER AS scheduled_date_key,
-       visit_type, CASE WHEN status_as_of IS NULL THEN current_status ELSE status_as_of END AS current_status,
-       amount AS amount_paid, payment_method, payment_status, rating AS feedback_rating,
-       (exam_hk IS NOT NULL) AS has_exam, (feedback_hk IS NOT NULL) AS has_feedback, 1 AS appointment_count
-FROM stg_appointments s LEFT JOIN now USING (appointment_hk) LEFT JOIN linked USING (appointment_hk)"""
+       CAST(strftime(scheduled_at, '%Y%m%d') AS INTEGER) AS scheduled_date_key, visit_type,
+       coalesce(status_as_of, current_status) AS current_status, amount_paid, payment_method, payment_status,
+       feedback_rating, exam_hk IS NOT NULL AS has_exam, feedback_hk IS NOT NULL AS has_feedback,
+       1 AS appointment_count
+FROM stg_appointments LEFT JOIN appointment_details USING (appointment_hk)"""
 CTES["fact_exam"] = """
-WITH settled AS (
-  SELECT l.reference_hk, any_value(m.amount) AS amount, any_value(m.payment_method) AS payment_method,
-         any_value(m.payment_status) AS payment_status
-  FROM stg_payments m RIGHT JOIN lnk_payment_exam l USING (payment_hk) GROUP BY l.payment_hk, l.reference_hk
-)
-SELECT exam_id, x.exam_hk, source_appointment_hk AS appointment_hk, patient_hk, facility_hk, exam_type_hk,
-       insurance_provider_hk,
-       (year(scheduled_at) * 10000 + month(scheduled_at) * 100 + day(scheduled_at))::INTEGER AS scheduled_date_key,
+SELECT exam_id, exam_hk, source_appointment_hk AS appointment_hk, patient_hk, facility_hk, exam_type_hk,
+       insurance_provider_hk, CAST(strftime(scheduled_at, '%Y%m%d') AS INTEGER) AS scheduled_date_key,
        visit_type, current_status, amount AS amount_paid, payment_method, payment_status, 1 AS exam_count
-FROM stg_exams x LEFT JOIN settled ON settled.reference_hk = x.exam_hk"""
+FROM stg_exams LEFT JOIN (
+  SELECT reference_hk AS exam_hk, amount, payment_method, payment_status
+  FROM stg_payments WHERE reference_type = 'EXAM') USING (exam_hk)"""
 CTES["fact_payment"] = """
 SELECT payment_id, payment_hk, reference_type, reference_hk, amount, payment_method,
        payment_status, CAST(strftime(paid_at, '%Y%m%d') AS INTEGER) AS paid_date_key
