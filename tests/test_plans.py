@@ -82,3 +82,21 @@ def test_hot_user_is_split_by_day(spark):
     sizes = feed.groupBy("user_hk", F.to_date("ts")).count()
     total_hot = hot.filter("user_id = -1").count()
     assert sizes.agg(F.max("count")).first()[0] < total_hot / 10
+
+
+def test_nothing_is_dealt_out_by_segment(spark):
+    """Customers carry their insurer's id without a join or an exchange on the
+    few segment values; only the distinct names are gathered."""
+    from vaultline.sources.driver_feeds import order_facts
+
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        lines = plan_of(order_facts(Tables(spark, SF_SMALL))).splitlines()
+    finally:
+        for k in off:
+            spark.conf.unset(k)
+    assert not any("Join" in line and "c_mktsegment" in line for line in lines)
+    dealt = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(c_mktsegment" in line]
+    assert all("HashAggregate(keys=[c_mktsegment" in lines[i + 1] for i in dealt)
