@@ -2,8 +2,10 @@ import hashlib
 
 import numpy as np
 from llm_fixtures import docs, small  # noqa: F401
+from pyspark.sql import functions as F
 from vaultline.llm import cuckoo
-from vaultline.llm.line_dedup import LineIndex, build
+from vaultline.llm import line_dedup as L
+from vaultline.llm.line_dedup import LineIndex, build, keyed_lines
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -55,15 +57,64 @@ def test_deletion_undoes_insertion(docs):
     d = docs(ROWS)
     index = LineIndex(d.sparkSession)
     index.insert(d.filter("doc_id <> 1"))
-    before = {(bytes(r.key), r.n_docs, r.owner) for r in index.shared().collect()}
+    before = {(bytes(r.key), r.n_refs, r.owner) for r in index.shared().collect()}
     index.insert(d.filter("doc_id = 1"))
-    assert {(bytes(r.key), r.n_docs, r.owner) for r in index.shared().collect()} != before
+    assert {(bytes(r.key), r.n_refs, r.owner) for r in index.shared().collect()} != before
     index.delete(d.filter("doc_id = 1"))
-    assert {(bytes(r.key), r.n_docs, r.owner) for r in index.shared().collect()} == before
+    assert {(bytes(r.key), r.n_refs, r.owner) for r in index.shared().collect()} == before
     rest = [r for r in ROWS if r[0] != 1]
     assert results(index.dedup(d.filter("doc_id IS NULL OR doc_id <> 1"))) == brute(rest)
 
 
+def test_texts_that_share_an_id(docs):
+    """Rows of one id are one document; each of its texts loses its own lines."""
+    rows = [(1, "a line of the first document\nanother line of it"), (2, "A line of the first document\nsecond line of two"),
+            (2, "third unique line of two\nanother line of it\nsecond line of two"), (2, None),
+            (3, "exactly the same text twice"), (3, "exactly the same text twice")]
+    out = build(docs(rows)).dedup(docs(rows))
+    assert sorted((r.doc_id, r.text, r.n_dropped) for r in out.collect()) == [
+        (1, rows[0][1], 0), (2, "", 0), (2, "second line of two", 1), (2, "third unique line of two\nsecond line of two", 1),
+        (3, rows[4][1], 0), (3, rows[4][1], 0)]
+
+
+def test_any_column_names(docs):
+    names = ["n_lines", "n_dropped", "key", "pos", "owner", "positions", "row", "at", "_drop", "batch", "hot_owner", "n", "text_id"]
+    d = docs(ROWS)
+    for n in names:
+        d = d.withColumn(n, F.lit(n))
+    out = build(d).dedup(d)
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in out.collect()} == brute(ROWS)
+    assert {tuple(r[n] for n in names[2:]) for r in out.collect()} == {tuple(names[2:])}
+
+
+def test_documents_that_are_not_indexed(docs):
+    d = docs(ROWS)
+    other = docs([(50, "shared line number one\nnew line of a stranger"), (0, "shared line number one")])
+    got = results(build(d).dedup(other, indexed=False))
+    assert got == {50: (2, 1, "new line of a stranger"), 0: (1, 1, "")}
+
+
+def test_shards_grow_with_the_keys(docs, monkeypatch):
+    monkeypatch.setattr(L, "SHARD_KEYS", 8)
+    monkeypatch.setattr(L, "LEAST_SHARDS", 2)
+    rows = [(i, f"a line that only {i} has\na line of group {i % 7}") for i in range(120)]
+    d = docs(rows)
+    index = LineIndex(d.sparkSession)
+    for b in range(3):
+        index.insert(d.filter(f"doc_id % 10 {'< 1' if b == 0 else '= 1' if b == 1 else '> 1'}"))
+    assert index.shards > 8 and index.filters().count() <= index.shards
+    assert index.filters().agg(F.sum("n_keys")).first()[0] == 127
+    assert results(index.dedup(d)) == brute(rows)
+    index.delete(d.filter("doc_id < 100"))
+    rest = [r for r in rows if r[0] >= 100]
+    assert results(index.dedup(docs(rest))) == brute(rest)
+
+
+def test_a_line_is_hashed_once(docs):
+    plan = keyed_lines(docs(ROWS)).join(docs([]).select(F.lit(b"x").alias("key")), "key")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("md5") == 1
+
+
 def test_empty_table(docs):
     d = docs([])
     assert build(d).dedup(d).collect() == []

@@ -95,14 +95,19 @@ def contains(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 def remove(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """The filter with one stored fingerprint per key cleared."""
     table = table.copy()
+    cells = table.reshape(-1)
     fp, at = _places(keys, len(table))
-    second = _other(fp, at, len(table))
-    for f, a, b in zip(fp.tolist(), at.tolist(), second.tolist(), strict=True):
-        for bucket in (a, b):
-            slot = np.flatnonzero(table[bucket] == f)
-            if len(slot):
-                table[bucket, slot[0]] = 0
+    left = np.arange(len(fp))
+    for where in (at, _other(fp, at, len(table))):
+        while len(left):
+            same = table[where[left]] == fp[left][:, None]
+            cell = where[left] * SLOTS + same.argmax(axis=1)
+            found = np.flatnonzero(same.any(axis=1))
+            _, first = np.unique(cell[found], return_index=True)
+            if not len(first):
                 break
+            cells[cell[found[first]]] = 0  # each slot clears one key
+            left = np.delete(left, found[first])
     return table
 
 
