@@ -244,6 +244,25 @@ def test_groups_match_brute_force(docs, monkeypatch):
     assert kept == sorted([-1, *{c for c, _, _ in got.values()}])
 
 
+def test_texts_that_share_an_id_and_any_column_names(docs):
+    """A text goes only if it is itself a copy, whatever its id's other texts are."""
+    a, b, c = prose(60), prose(60), prose(60)
+    rows = [(3, a), (7, a), (7, b), (8, c), (8, c + " and more of it"), (9, b + " with an end"), (10, c), (10, c), (None, a), (11, None), (11, "")]
+    d = docs(rows)
+    for n in ["_extra", "extra", "item", "row", "many", "class_id", "want", "n"]:
+        d = d.withColumn(n, F.lit(n))
+    out = J.keep_one(d)
+    assert out.columns == d.columns
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    texts = [t for _, t in kept]
+    assert (3, a) in kept and (7, a) not in kept and (None, a) in kept and kept.count((11, None)) == kept.count((11, "")) == 1
+    near = lambda *ts: sum(texts.count(t) for t in ts)
+    assert near(b, b + " with an end") == 1 and near(c, c + " and more of it") in (1, 2)  # one id's equal rows may stay together
+    found = {(r.doc_id, r.class_id) for r in J.near_duplicates(d).collect()}
+    assert {(3, 3), (7, 3), (7, 7), (9, 7), (8, 8), (10, 8)} <= found
+    assert {r._extra for r in out.collect()} == {"_extra"}
+
+
 def test_tiles_lose_no_pair(docs, monkeypatch):
     monkeypatch.setattr(J, "TILE", 4)
     rows = near_rows()[:80]

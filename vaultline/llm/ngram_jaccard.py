@@ -30,8 +30,11 @@ five words is one shingle of all its words.
 
 Edge cases: NULL, empty and blank texts have no shingles and are linked to
 nothing; rows with a NULL id are left out of the join (and kept by
-``keep_one``); repeated rows of an id count once (the smallest class of its
-texts); an empty table gives an empty result; documents of any length are used whole.
+``keep_one``); repeated rows of an id with one text count once; an id with
+several texts has a row per text, each of which is a document of its own to
+``keep_one``; an empty table gives an empty result; documents of any length are used
+whole.  Ids must be whole numbers (others are an error).  Columns of the input
+other than id and text are carried by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -352,6 +355,31 @@ def sifted(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return met.filter("shiftrightunsigned(_bits, _bit) & 1L = 1").select(*rows.columns)
 
 
+def _items(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` (doc_id, text, ...) with ``item``, a number of its own for every id and
+    text: the id, or, where one id has several texts, a hashed number above all
+    ids.  Also whether there are such ids."""
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    plain = docs.withColumn("item", F.col("doc_id"))
+    text = F.xxhash64(text_or_empty())
+    many = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(text).alias("a"), F.max(text).alias("b")).filter(
+        "a <> b").select(F.col("doc_id").alias("many"))
+    if not many.limit(1).count():
+        return plain, False
+    many = written(many, "jaccard-repeated")
+    marked = docs.join(many, F.col("doc_id") == F.col("many"), "left")
+    # Above every id, so that a group's smallest number is an id where it has one.
+    top = docs.agg(F.max("doc_id")).first()[0]
+    if top >= 2**62:
+        raise ArithmeticError("no numbers are left above the ids for repeated ones")
+    for salt in range(64):
+        number = F.lit(top + 1) + F.pmod(F.xxhash64("doc_id", text, F.lit(salt)), F.lit(2**62 - 1 - max(top, 0)))
+        met = marked.filter("many IS NOT NULL").select("doc_id", text.alias("t"), number.alias("n")).distinct()
+        if not met.groupBy("n").count().filter("count > 1").limit(1).count():
+            return marked.withColumn("item", F.when(F.col("many").isNull(), F.col("doc_id")).otherwise(number)).drop("many"), True
+    raise ArithmeticError("no free numbers for repeated ids")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, n_links, copy_of) of every document with an id.
 
@@ -359,6 +387,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``n_links``: other distinct texts at similarity >= THRESHOLD to this one;
     ``copy_of``: smallest id with the same shingle set.
     """
+    items, repeated = _items(docs.select("doc_id", "text"))
+    found = _near(items.select(F.col("item").alias("doc_id"), "text"))
+    if not repeated:
+        return found
+    ids = items.filter("doc_id IS NOT NULL").select("item", "doc_id").distinct()
+    named = found.withColumnRenamed("doc_id", "item").join(ids, "item")
+    low = {c: named.groupBy(c).agg(F.min("doc_id").alias(f"of_{c}")) for c in ("class_id", "copy_of")}
+    return named.join(low["class_id"], "class_id").join(low["copy_of"], "copy_of").select(
+        "doc_id", F.col("of_class_id").alias("class_id"), "n_links", F.col("of_copy_of").alias("copy_of"))
+
+
+def _near(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` of rows whose id tells their text."""
     signed = written(signatures(docs), "jaccard-signatures")
     # Copies: one representative per shingle set, found by an aggregate.
     reps = signed.groupBy("d0", "d1", "n").agg(F.min("doc_id").alias("rep"))
@@ -390,8 +431,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document (the smallest id) of each group."""
-    extra = near_duplicates(docs).filter("doc_id <> class_id").select(F.col("doc_id").alias("_extra"))
-    return docs.join(extra, F.col("doc_id").cast("long") == F.col("_extra"), "left_anti")
+    packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    items, _ = _items(packed)
+    extra = _near(items.select(F.col("item").alias("doc_id"), "text")).filter("doc_id <> class_id").select(
+        F.col("doc_id").alias("extra"))
+    kept = items.select("item", "row").join(extra, F.col("item") == F.col("extra"), "left_anti")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

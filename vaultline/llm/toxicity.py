@@ -12,8 +12,9 @@ documents are the number of selected-word occurrences in them, cut at
 ``GRADE_CUTS``: 1 = a few, 2 = several, 3 = many; clean documents are grade 0.
 
 Training uses a sample of at most ``SAMPLE`` labelled documents, the smallest
-by hashed id; only their word hashes reach the driver.  Scoring covers every
-document, map-side, without a shuffle.
+by hashed id.  Their words are counted per class in Spark; the driver gets the
+selected words (at most ``MAX_FEATURES``) and how often each sampled document
+holds those.  Scoring covers every document, map-side, without a shuffle.
 
 Edge cases: NULL and empty texts have no words and get the model's lowest
 severity; labels without a document, with NULL values, or repeated rows of an
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import ALNUM, pieces, table, tokenize
+from vaultline.llm.common import ALNUM, pieces, table, tokenize, written
 
 SAMPLE = 6000  # labelled documents to fit on (documented bound)
 FALSE_WORDS = 5  # words expected to reach the bound by chance
@@ -68,34 +69,51 @@ def _bag_rows(batches):
             names=["toxic", "words", "counts"])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
-    """At most ``sample`` rows (toxic, words, counts)."""
+def sampled_bags(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(toxic, words, counts) of the documents of at most ``sample`` labels."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").alias("_id"), "text")
     # At most ``sample`` rows, so this side is broadcast.
     joined = texts.join(F.broadcast(picked), F.col("_id") == F.col("doc_id")).select(
         F.col("toxic").cast("int").alias("toxic"), "text")
-    return joined.mapInArrow(_bag_rows, "toxic int, words array<long>, counts array<long>").collect()
+    return written(joined.mapInArrow(_bag_rows, "toxic int, words array<long>, counts array<long>"), "toxicity-bags")
 
 
-def _select(rows: list) -> np.ndarray:
+def selected_words(bags: DataFrame) -> np.ndarray:
     """Hashes of the words that toxic documents hold clearly more often."""
-    toxic = np.array([r["toxic"] > 0 for r in rows])
-    hashes = np.concatenate([np.asarray(r["words"], np.int64) for r in rows] or [np.zeros(0, np.int64)]).view(np.uint64)
-    owner = np.repeat(toxic, [len(r["words"]) for r in rows])
-    words, index = np.unique(hashes, return_inverse=True)
-    in_toxic = np.bincount(index, owner, len(words))
-    in_all = np.bincount(index, minlength=len(words))
+    n = bags.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("toxic") > 0).alias("toxic")).first()
+    if not n.toxic or n.toxic == n["all"]:
+        return np.zeros(0, np.uint64)
+    held = written(bags.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("toxic") > 0).alias("in_toxic")), "toxicity-words")
     # Chernoff bound on seeing the word in that many toxic documents by
     # chance, with at most FALSE_WORDS words expected to pass by chance.
-    p = np.clip(in_toxic / in_all, 1e-9, 1 - 1e-9)
-    toxic_share = toxic.mean()
-    bound = in_all * (p * np.log(p / toxic_share) + (1 - p) * np.log((1 - p) / (1 - toxic_share)))
-    often = in_toxic >= max(MIN_DOCS, MIN_SHARE * toxic.sum())
-    good = np.flatnonzero(often & (p > max(toxic_share, MIN_PRECISION)) & (bound >= np.log(len(words) / FALSE_WORDS)))
-    good = good[np.argsort(-bound[good], kind="stable")][:MAX_FEATURES]
-    return np.sort(words[good])
+    share = n.toxic / n["all"]
+    p = F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), F.col("in_toxic") / F.col("n")))
+    bound = F.col("n") * (p * F.log(p / share) + (1 - p) * F.log((1 - p) / (1 - share)))
+    good = held.withColumn("bound", bound).filter(
+        (F.col("in_toxic") >= max(MIN_DOCS, MIN_SHARE * n.toxic)) & (p > max(share, MIN_PRECISION))
+        & (F.col("bound") >= float(np.log(held.count() / FALSE_WORDS))))
+    words = good.orderBy(F.col("bound").desc(), "word").limit(MAX_FEATURES).select("word").toArrow()
+    return np.sort(words.column("word").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _feature_rows(words: np.ndarray):
+    """Bags cut down to the selected words: their places and counts."""
+    def run(batches):
+        for b in batches:
+            lists = b.column("words")
+            doc = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            hashes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            counts = b.column("counts").flatten().to_numpy(zero_copy_only=False)
+            d, f, c = _counts(words, hashes, counts, doc)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(d, minlength=b.num_rows))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("toxic"), *[pa.ListArray.from_arrays(pa.array(ends), pa.array(v.astype(np.int64))) for v in (f, c)]],
+                names=["toxic", "features", "counts"])
+
+    return run
 
 
 def _counts(words: np.ndarray, hashes: np.ndarray, counts: np.ndarray, doc: np.ndarray) -> tuple:
@@ -105,25 +123,17 @@ def _counts(words: np.ndarray, hashes: np.ndarray, counts: np.ndarray, doc: np.n
     return doc[hit], at[hit], counts[hit]
 
 
-def fit(rows: list) -> Model:
-    """Fits by gradient descent with adaptive steps on the small sample."""
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([np.inf]))
-    toxic = np.array([r["toxic"] > 0 for r in rows], dtype=bool)
-    if not len(rows) or toxic.all() or not toxic.any():
-        return empty
-    words = _select(rows)
-    if not len(words):
-        return empty
-    hashes = np.concatenate([np.asarray(r["words"], np.int64) for r in rows]).view(np.uint64)
-    counts = np.concatenate([np.asarray(r["counts"], np.int64) for r in rows])
-    doc = np.repeat(np.arange(len(rows)), [len(r["words"]) for r in rows])
-    d, f, c = _counts(words, hashes, counts, doc)
-    held = np.bincount(d, c, len(rows))
+def fit(words: np.ndarray, toxic: np.ndarray, d: np.ndarray, f: np.ndarray, c: np.ndarray) -> Model:
+    """Fits by gradient descent with adaptive steps on the small sample: document
+    ``d[i]`` holds word ``f[i]`` ``c[i]`` times."""
+    if not len(words) or toxic.all() or not toxic.any():
+        return Model(np.zeros(0, np.uint64), np.zeros(0), np.array([np.inf]))
+    n = len(toxic)
+    held = np.bincount(d, c, n)
     grade = np.where(toxic, 1 + sum((held >= cut).astype(int) for cut in GRADE_CUTS), 0)
     top = int(grade.max())
     above = (grade[:, None] > np.arange(top)).astype(float)
     x = 1 + np.log(c)
-    n = len(rows)
     # Thresholds stay ordered: c_0 free, then positive gaps exp(g).
     w, base, gaps = np.zeros(len(words)), 1.0, np.zeros(top - 1)
     params = np.concatenate([w, [base], gaps])
@@ -143,7 +153,17 @@ def fit(rows: list) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    return fit(training_rows(docs, labels, sample))
+    bags = sampled_bags(docs, labels, sample)
+    words = selected_words(bags)
+    if not len(words):
+        return fit(words, np.zeros(0, bool), *[np.zeros(0, np.int64)] * 3)
+    # At most ``sample`` documents with their selected words.
+    rows = bags.mapInArrow(_feature_rows(words), "toxic int, features array<long>, counts array<long>").toArrow()
+    lists = rows.column("features").combine_chunks()
+    return fit(words, rows.column("toxic").to_numpy() > 0,
+               np.repeat(np.arange(len(rows)), lists.value_lengths().to_numpy(zero_copy_only=False)),
+               lists.flatten().to_numpy(zero_copy_only=False),
+               rows.column("counts").combine_chunks().flatten().to_numpy(zero_copy_only=False))
 
 
 def severity(model: Model, text: str = "text") -> Column:
