@@ -32,10 +32,6 @@ def ntz(ts: str) -> Column:
     return F.lit(ts).cast("timestamp_ntz")
 
 
-def day_of(c: str | Column) -> Column:
-    return F.to_date(_col(c))
-
-
 def is_midnight(c: str | Column) -> Column:
     """True at 00:00:00 exactly (zone-free: date -> timestamp_ntz is wall clock)."""
     return _col(c) == F.to_date(_col(c)).cast("timestamp_ntz")

@@ -94,10 +94,3 @@ def hashdiff(attributes: Iterable[str | Column | None]) -> Column:
         for a in attributes
     ]
     return F.sha2(F.concat_ws(HASHDIFF_SEPARATOR, *parts), 256)
-
-
-def nullable(c: str | Column, when_null_of: str | Column) -> Column:
-    """``c`` unless ``when_null_of`` is NULL, then a typed NULL string."""
-    return F.when(_col(when_null_of).isNull(), F.lit(None).cast("string")).otherwise(
-        _col(c)
-    )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +45,3 @@ def calendar_window(
         F.date_add(F.col(day_col).cast("date"), days_ahead).alias("end"),
     )
     return calendar(b)
-
-
-def fixed_day(d: str | _dt.date) -> Column:
-    return F.lit(str(d)).cast("date")

@@ -24,6 +24,10 @@ Plans (one shuffle per step, all keyed on the hash key):
   stored rows sort before new rows with the same position, so re-running a
   batch appends nothing.
 
+``distinct_keys=True`` tells the hub and link loaders that their single feed has
+one row per key already (it is distinct on the raw ids that the key hashes one
+to one), so no row has to be dealt out by the hash for a first-per-key.
+
 ``existing`` is the stored table or the list of frames it consists of (for
 bucketed targets one per stored part, so that each join keeps the bucketing).
 """
@@ -80,6 +84,7 @@ def hub_rows(
     source: str = "record_source",
     existing: Stored = None,
     keys_checked: bool = False,
+    distinct_keys: bool = False,
 ) -> DataFrame:
     """Rows to append to a hub: one per business key not yet in ``existing``.
 
@@ -92,6 +97,8 @@ def hub_rows(
     cols = [pk, *nks, ldts, source]
     if not keys_checked:
         frames = [f.select(*cols).filter(F.col(pk).isNotNull()) for f in frames]
+    if distinct_keys and len(frames) == 1:
+        return _not_stored(frames[0].select(*cols), existing, pk)
     return _not_stored(_first_per_key(frames, pk, cols, ldts, tie=nks), existing, pk)
 
 
@@ -103,6 +110,7 @@ def link_rows(
     source: str = "record_source",
     existing: Stored = None,
     keys_checked: bool = False,
+    distinct_keys: bool = False,
 ) -> DataFrame:
     """Rows to append to a link: one per link key not yet in ``existing``.
 
@@ -116,6 +124,8 @@ def link_rows(
         not_null = not_null & F.col(fk).isNotNull()
     if not keys_checked:
         frames = [f.select(*cols).filter(not_null) for f in frames]
+    if distinct_keys and len(frames) == 1:
+        return _not_stored(frames[0].select(*cols), existing, pk)
     return _not_stored(_first_per_key(frames, pk, cols, ldts, tie=list(fks)), existing, pk)
 
 

@@ -16,7 +16,7 @@ from vaultline.constants import BATCH_SPLIT_DAY, LOAD_DATE_1
 from vaultline.functions.dates import midnight, ntz
 from vaultline.plans import staging as S
 from vaultline.plans.warehouse import Warehouse
-from vaultline.session import scratch_path
+from vaultline.session import scratch_folder
 from vaultline.sources.feeds import NewExtracts, scan_feed, scan_union_extracts, write_extract
 from vaultline.sources.stored import StoredTable
 
@@ -25,7 +25,7 @@ EXTRACT_2 = "2024-02-02"
 
 
 def _landing(spark: SparkSession) -> str:
-    return scratch_path(spark, "landing", uuid.uuid4().hex)
+    return scratch_folder(spark, "landing", uuid.uuid4().hex)
 
 
 def scan_feed_query(spark: SparkSession, root: str) -> DataFrame:
@@ -52,8 +52,8 @@ def scan_new_extracts_query(spark: SparkSession, root: str) -> DataFrame:
     its columns in another order and one more; nothing is new to the third run."""
     landing = _landing(spark)
     entity = "appointment_status_history"
-    manifest = StoredTable(spark, scratch_path(spark, "manifest", uuid.uuid4().hex))
-    loaded = StoredTable(spark, scratch_path(spark, "stored", uuid.uuid4().hex, entity))
+    manifest = StoredTable(spark, scratch_folder(spark, "manifest", uuid.uuid4().hex))
+    loaded = StoredTable(spark, scratch_folder(spark, "stored", uuid.uuid4().hex, entity))
     hist = Warehouse(spark, root).feed(entity)
     arrivals = [
         (EXTRACT_1, hist.filter(F.col("status_at") < midnight(BATCH_SPLIT_DAY))),

@@ -36,7 +36,7 @@ from vaultline.operators.loaders import hub_rows, link_rows, load_all, sat_rows
 from vaultline.plans.snapshots import refresh_pit
 from vaultline.plans.vault import SATS, status_rank
 from vaultline.plans.warehouse import Warehouse
-from vaultline.session import scratch_path
+from vaultline.session import scratch_folder
 from vaultline.sources.stored import StoredTable
 from vaultline.sources.tables import Tables
 
@@ -71,7 +71,7 @@ def event_users(t: Tables, load: str = LOAD_DATE_1) -> DataFrame:
 
 def hub_load(spark, root) -> DataFrame:
     t = Tables(spark, root)
-    return hub_rows(order_customers(t), "customer_hk", "customer_id", keys_checked=True)
+    return hub_rows(order_customers(t), "customer_hk", "customer_id", keys_checked=True, distinct_keys=True)
 
 
 def hub_multi_source(spark, root) -> DataFrame:
@@ -84,7 +84,7 @@ def hub_incremental(spark, root) -> DataFrame:
     t = Tables(spark, root)
     batches = [order_customers(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY),
                order_customers(t, LOAD_DATE_2)]
-    return load_all(hub_rows, batches, pk="customer_hk", nk="customer_id", keys_checked=True)
+    return load_all(hub_rows, batches, pk="customer_hk", nk="customer_id", keys_checked=True, distinct_keys=True)
 
 
 # ----------------------------------------------------------------- links
@@ -110,14 +110,14 @@ LINE_FKS = ["order_hk", "part_hk", "supplier_hk"]
 
 def link_load(spark, root) -> DataFrame:
     t = Tables(spark, root)
-    return link_rows(order_lines_link_feed(t), "lnk_order_line_hk", LINE_FKS, keys_checked=True)
+    return link_rows(order_lines_link_feed(t), "lnk_order_line_hk", LINE_FKS, keys_checked=True, distinct_keys=True)
 
 
 def link_incremental(spark, root) -> DataFrame:
     t = Tables(spark, root)
     batches = [order_lines_link_feed(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY),
                order_lines_link_feed(t, LOAD_DATE_2)]
-    return load_all(link_rows, batches, pk="lnk_order_line_hk", fks=LINE_FKS, keys_checked=True)
+    return load_all(link_rows, batches, pk="lnk_order_line_hk", fks=LINE_FKS, keys_checked=True, distinct_keys=True)
 
 
 # ------------------------------------------------------------ satellites
@@ -216,7 +216,7 @@ def sat_multi_source(spark, root) -> DataFrame:
 
 
 def _target(spark, name: str) -> StoredTable:
-    return StoredTable(spark, scratch_path(spark, "stored", uuid.uuid4().hex, name))
+    return StoredTable(spark, scratch_folder(spark, "stored", uuid.uuid4().hex, name))
 
 
 def load_written(table: StoredTable, rows_fn: Callable[..., DataFrame], batches: Sequence, **kwargs) -> DataFrame:
@@ -231,7 +231,7 @@ def hub_written(spark, root) -> DataFrame:
     t = Tables(spark, root)
     return load_written(_target(spark, "hub"), hub_rows,
                         [order_customers(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY), order_customers(t, LOAD_DATE_2)],
-                        pk="customer_hk", nk="customer_id", keys_checked=True)
+                        pk="customer_hk", nk="customer_id", keys_checked=True, distinct_keys=True)
 
 
 def link_written(spark, root) -> DataFrame:
@@ -239,7 +239,7 @@ def link_written(spark, root) -> DataFrame:
     return load_written(_target(spark, "link"), link_rows,
                         [order_lines_link_feed(t, LOAD_DATE_1, before=BATCH_SPLIT_DAY),
                          order_lines_link_feed(t, LOAD_DATE_2)],
-                        pk="lnk_order_line_hk", fks=LINE_FKS, keys_checked=True)
+                        pk="lnk_order_line_hk", fks=LINE_FKS, keys_checked=True, distinct_keys=True)
 
 
 #: Rows of one user and day above which that day is split again.

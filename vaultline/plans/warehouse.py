@@ -32,7 +32,7 @@ from vaultline.operators.loaders import hub_rows, link_rows, sat_rows
 from vaultline.operators.survive import source_rank, survive
 from vaultline.plans import staging as S
 from vaultline.plans.vault import HUBS, LINKS, SATS, status_rank
-from vaultline.session import checkpoint_root, scratch_path
+from vaultline.session import checkpoint_root, scratch_folder, scratch_path
 from vaultline.sources import driver_feeds as feeds
 from vaultline.sources.sinks import delete
 from vaultline.sources.tables import Tables
@@ -103,20 +103,6 @@ def staging_needs(name: str) -> set[str]:
     return out
 
 
-# Warehouses that wrote staging tables and have not been cleaned up yet.
-_OPEN_RUNS: list["Warehouse"] = []
-
-
-def release_scratch() -> None:
-    """Delete the staging tables of every open run.
-
-    Call only when no DataFrame of those runs is needed any more (a harness
-    after it has consumed each query's result).
-    """
-    while _OPEN_RUNS:
-        _OPEN_RUNS.pop().cleanup()
-
-
 class Warehouse:
     """All models over one set of feeds.
 
@@ -144,7 +130,7 @@ class Warehouse:
         self.run_id = uuid.uuid4().hex
         if materialize:
             checkpoint_root(spark)
-            _OPEN_RUNS.append(self)
+            scratch_folder(spark, "tables", self.run_id)
         self.root = root
         self.tables = Tables(spark, root)
         self.load_date_text = load_date

@@ -72,7 +72,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             root = None
-    if not root and not sc.master.startswith("local"):
+    # local-cluster has executors of its own: it counts as a cluster.
+    if not root and not sc.master.split("[")[0] == "local":
         raise RuntimeError(
             "spark.checkpoint.dir is not set: on a cluster, written tables must go "
             "to shared storage; set it to a folder every executor can reach"
@@ -94,3 +95,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+# Scratch folders that queries wrote and nobody has released yet.
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, *parts: str) -> str:
+    """A path under the shared checkpoint folder that ``release_scratch`` deletes."""
+    path = scratch_path(spark, *parts)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def release_scratch() -> None:
+    """Delete every scratch folder handed out so far.
+
+    Call only when no DataFrame that reads them is needed any more (a harness
+    after it has consumed each query's result)."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
