@@ -112,24 +112,26 @@ def test_repeated_rows_and_null_ids(spark, tmp_path):
     assert Z.op8_simhash(spark, f"{tmp_path}/e").collect() == []
 
 
-@pytest.mark.parametrize("radius", [0, 2, 5])
-def test_radius_search_is_complete(spark, radius):
-    base = [int.from_bytes(RNG.bytes(16), "big") for _ in range(6)]
-    prints = set()
-    for b in base:
-        for _ in range(6):
-            x = b
-            for bit in RNG.choice(128, int(RNG.integers(0, 5)), replace=False):
-                x ^= 1 << int(bit)
-            prints.add(f"{x:032x}")
-    df = spark.createDataFrame([(p,) for p in prints] * 2 + [(None,)], "fingerprint string")
-    got = {(r.a, r.b, r.distance) for r in Z.within_radius(df, radius).collect()}
-    want = set()
-    for a, b in combinations(sorted(prints), 2):
-        d = (int(a, 16) ^ int(b, 16)).bit_count()
-        if d <= radius:
-            want.add((a, b, d))
-    assert got == want
+def test_next_document_of_ids_spread_over_64_bits(spark, monkeypatch):
+    """Hashed ids: every bucket holds one, and they are ordered by many tasks."""
+    ids = sorted({int(i) for i in RNG.integers(-(2**63), 2**63 - 1, 3000)} | {-(2**63), 2**63 - 1, 0, 1, 2, 1024}, reverse=True)
+    d = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
+    got = {r.doc_id: (r.next_id, r.next_text) for r in Z.with_next(d).collect()}
+    assert got == {i: (n, str(n)) for i, n in zip(ids, [*ids[1:], ids[0]])}
+    for wide in (1, 4):  # levels of a few members each
+        monkeypatch.setattr(Z, "WIDE", wide)
+        small = d.filter("doc_id BETWEEN -4000000000000000000 AND 4000000000000000000")
+        kept = [i for i in ids if abs(i) <= 4 * 10**18]
+        got = {r.doc_id: r.next_id for r in Z.with_next(small).collect()}
+        assert got == dict(zip(kept, [*kept[1:], kept[0]]))
+
+
+def test_the_smallest_id_is_an_id(spark, tmp_path):
+    rows = [(-(2**63), "a b c"), (None, "d e f"), (0, "g h i"), (20, "a b c")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in Z.op8_simhash(spark, str(tmp_path)).collect()}
+    assert set(got) == {-(2**63), None, 0, 20} and got[20].n_near == 1 and got[0].n_near == 0
+    assert got[20].near_next < 1 and got[None].near_next == 1
 
 
 @pytest.mark.parametrize("radius, chunk", [(0, 512), (3, 4), (3, 512), (5, 7)])
@@ -184,6 +186,47 @@ def test_counts_follow_the_distribution(spark):
         assert got.count(k) / 20000 == pytest.approx(exp(-1.7) * 1.7**k / factorial(k), abs=0.012)
 
 
+def test_distribution_of_any_rate(spark):
+    """Cumulative probabilities against exact sums, from tiny to very large rates."""
+    from math import exp, lgamma, log
+    wanted = [0.01, 0.7, 5.0, 31.5, 400.0, 1e6]
+    rated = spark.createDataFrame([(None if i == 0 else f"s{i}", r) for i, r in enumerate(wanted)], "mix_source string, mix_rate double")
+    got = {r.mix_rate: r for r in M.distributions(rated).collect()}
+    for rate in wanted:
+        row = got[rate]
+        assert len(row.mix_cums) < 24 * rate**0.5 + 80 and all(a <= b < 1 for a, b in zip(row.mix_cums, row.mix_cums[1:]))
+        exact, at = 0.0, []
+        for k in range(row.mix_least, row.mix_least + len(row.mix_cums)):
+            exact += exp(-rate + k * log(rate) - lgamma(k + 1))
+            at.append(exact)
+        assert max(abs(a - b) for a, b in zip(row.mix_cums, at)) < (1e-13 if rate < 1e5 else 1e-7)  # lgamma loses digits there
+    mean = sum(1 - c for c in got[1e6].mix_cums) + got[1e6].mix_least
+    assert abs(mean - 1e6) < 1e-3
+
+
+def test_a_rare_source_repeated_many_times(spark):
+    """Copies of one row are dealt out in blocks, whole and in order."""
+    rows = [(i, "big", "b") for i in range(60000)] + [(10**6, "rare", "r"), (10**6 + 1, "rare", "q")]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for n in ("mix_rate", "mix_cums", "block", "row", "k", "rate"):
+        d = d.withColumn(n, F.lit(n))
+    out = M.replicate(d)
+    assert set(out.columns) == {*d.columns, *M.ADDED}
+    rare = out.filter("source = 'rare'").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.countDistinct("copy").alias("k"), F.max("copy").alias("top"), F.max("n_copies").alias("c"), F.max("mix_rate").alias("m")).collect()
+    assert len(rare) == 2 and all(r.n == r.k == r.top == r.c and abs(r.n - 15000.5) < 1000 and r.m == "mix_rate" for r in rare)
+    big = out.filter("source = 'rare'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert big > 1
+    keys = [(r.p, r.shuffle_key) for r in out.select(F.spark_partition_id().alias("p"), "shuffle_key").collect()]
+    assert keys == sorted(keys) and [k for _, k in keys] == sorted(k for _, k in keys)
+
+
+def test_texts_are_shuffled_once(spark):
+    d = spark.createDataFrame([(1, "a", "t"), (2, "b", "u")], "doc_id long, source string, text string")
+    plan = M.replicate(d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") - plan.count("ReusedExchange") == 1 and "rangepartitioning" not in plan
+
+
 # --- n-gram Jaccard join ---
 
 def lower(s):

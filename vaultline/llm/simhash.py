@@ -11,14 +11,10 @@ half overflows only beyond 4e9 characters of terms in one text.  A text's
 terms are exploded and summed within one map task, so the shuffle carries one
 row per text.
 
-``within_radius`` finds all pairs of different fingerprints at most ``radius``
-bits apart: the bits are cut into blocks, and for every choice of
-``blocks - radius`` blocks a table keyed by those blocks is joined with
-itself (by the pigeonhole principle a pair agrees on at least one choice).
-Equal fingerprints are one entry, so groups of copies do not multiply.
-
-``near_counts`` searches some fingerprints against all of them through the same
-kind of tables (``radius + 1`` blocks, a table for each).  The entries of a
+``near_counts`` searches some fingerprints against all of them: the bits are cut
+into ``radius + 1`` blocks with a table for each, and by the pigeonhole principle
+a pair at most ``radius`` bits apart agrees on at least one block.  Equal
+fingerprints are one entry, so groups of copies do not multiply.  The entries of a
 block value are dealt into chunks of about ``CHUNK``, and a fingerprint meets
 one row per chunk: the distance filter and the sums run inside that row, so
 what leaves the join is one row per fingerprint and chunk, not per pair.  A
@@ -32,8 +28,6 @@ themselves); an empty table gives an empty result.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +38,8 @@ BITS = 128
 RADIUS = 3  # bits between near fingerprints
 EVERY = 20  # ids divisible by this are searched
 CHUNK = 512  # entries of a block value that meet a fingerprint in one row
-BUCKET = 1024  # consecutive ids that are ordered in one window partition
+BUCKET = 10  # 2**10 consecutive ids are ordered in one window partition
+WIDE = 20  # 2**20 buckets, and blocks of them, at most in another one
 _MASK = 0x100000001
 
 
@@ -99,24 +94,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.lit(1.0) - distance(a, b) / F.lit(float(BITS))
 
 
-def within_radius(found: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
-    """All (a, b, distance), a < b, of different fingerprints of ``found``
-    at most ``radius`` bits apart."""
-    blocks = blocks or max(4, radius + 1)
-    digits = BITS // 4
-    cuts = [digits * i // blocks for i in range(blocks + 1)]
-    fps = found.select("fingerprint").filter("fingerprint IS NOT NULL").distinct()
-    keys = [
-        F.concat(F.lit(f"{t}:"), *[F.substring("fingerprint", cuts[b] + 1, cuts[b + 1] - cuts[b]) for b in chosen])
-        for t, chosen in enumerate(combinations(range(blocks), blocks - radius))
-    ]
-    entries = fps.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
-    a = entries.select(F.col("fingerprint").alias("a"), "key")
-    b = entries.select(F.col("fingerprint").alias("b"), "key")
-    pairs = a.join(b, "key").filter("a < b").withColumn("distance", distance(F.col("a"), F.col("b")))
-    return pairs.filter(F.col("distance") <= radius).select("a", "b", "distance").distinct()
-
-
 def near_counts(docs: DataFrame, radius: int = RADIUS, every: int = EVERY) -> DataFrame:
     """(fingerprint, n_equal, low_id, high_id, n_other, other) of the
     fingerprints of ``docs`` (id, fingerprint) with an id divisible by
@@ -170,16 +147,19 @@ def near_counts(docs: DataFrame, radius: int = RADIUS, every: int = EVERY) -> Da
 def _borders(ids: DataFrame) -> DataFrame:
     """(border_id, into): the first document of each id bucket, and the bucket
     that it follows in descending order (the lowest bucket is followed by the
-    highest).  Two levels of windows: buckets within blocks of 1024 buckets,
-    then the blocks, of which there is one per million ids."""
-    tops = ids.groupBy("bucket").agg(F.max("doc_id").alias("border_id"))
-    tops = tops.withColumn("block", F.floor(F.col("bucket") / F.lit(BUCKET)))
+    highest).  Three levels of windows: buckets within blocks of 2**WIDE bucket
+    numbers, blocks within regions of 2**WIDE block numbers, and the regions, of
+    which 64-bit ids have at most 2**14, however they are spread."""
+    tops = ids.groupBy("bucket").agg(F.max("doc_id").alias("border_id")).withColumn("block", F.shiftright("bucket", WIDE))
     inner = tops.withColumn("into", F.lag("bucket").over(Window.partitionBy("block").orderBy(F.desc("bucket"))))
-    ends = tops.groupBy("block").agg(F.min("bucket").alias("low")).withColumn("_one", F.lit(1))
-    w = Window.partitionBy("_one").orderBy(F.desc("block"))
+    blocks = tops.groupBy("block").agg(F.min("bucket").alias("low")).withColumn("region", F.shiftright("block", WIDE))
+    above = F.lag("low").over(Window.partitionBy("region").orderBy(F.desc("block")))
+    regions = blocks.groupBy("region").agg(F.min("low").alias("low")).withColumn("_one", F.lit(1))
+    w = Window.partitionBy("_one").orderBy(F.desc("region"))
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select("block", F.coalesce(F.lag("low").over(w), F.last("low").over(whole)).alias("above"))
-    return inner.join(ends, "block").select("border_id", F.coalesce("into", "above").alias("into"))
+    regions = regions.select("region", F.coalesce(F.lag("low").over(w), F.last("low").over(whole)).alias("beyond"))
+    blocks = blocks.withColumn("above", above).join(regions, "region").select("block", F.coalesce("above", "beyond").alias("above"))
+    return inner.join(blocks, "block").select("border_id", F.coalesce("into", "above").alias("into"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -191,7 +171,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     of the texts is enough and no task holds more than a bucket.
     """
     base = docs.select("doc_id", text_or_empty().alias("text"))
-    known = base.filter("doc_id IS NOT NULL").withColumn("bucket", F.floor(F.col("doc_id") / F.lit(BUCKET)))
+    known = base.filter("doc_id IS NOT NULL").withColumn("bucket", F.shiftright("doc_id", BUCKET))
     # Written first: its real size then decides whether it is broadcast.
     borders = written(_borders(known.select("doc_id", "bucket")), "simhash-borders")
     marked = known.join(borders, F.col("doc_id") == F.col("border_id"), "left")
@@ -220,12 +200,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_next(table(spark, sf_dir, "documents"))
     n = F.length("text")
     edited = docs.select(
-        F.coalesce("doc_id", F.lit(-(2**63)).cast("long")).alias("id"), F.xxhash64("text").alias("x"),
-        F.coalesce("next_id", F.lit(-(2**63)).cast("long")).alias("nid"), F.xxhash64("next_text").alias("nx"),
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.col("doc_id").isNotNull().alias("has"),
+        F.xxhash64("text").alias("x"),
+        F.coalesce("next_id", F.lit(0).cast("long")).alias("nid"), F.col("next_id").isNotNull().alias("nhas"),
+        F.xxhash64("next_text").alias("nx"),
         n.cast("long").alias("n_chars"), "text",
         F.expr("concat(substring(text, 1, length(text) - length(text) DIV 3), substring(next_text, 1, CAST(length(text) DIV 3 AS int)))").alias("edited"),
     ).withColumn("sha", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
-    keys = ["id", "x", "nid", "nx", "n_chars", "sha", "which"]
+    keys = ["id", "has", "x", "nid", "nhas", "nx", "n_chars", "sha", "which"]
     both = edited.select(
         *keys[:-1], F.posexplode(F.array("text", "edited")).alias("which", "text"))
     prints = written(fingerprints(both, keys), "simhash")
@@ -236,15 +218,18 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(F.col("which") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
     )
     following = prints.filter("which = 0").select(
-        F.col("id").alias("nid"), F.col("x").alias("nx"), F.col("fingerprint").alias("next_fingerprint")).distinct()
-    out = rows.join(following, ["nid", "nx"])
-    near = written(near_counts(prints.filter(F.col("which") == 0).filter(F.col("id") != F.lit(-(2**63)).cast("long"))), "simhash-near")
-    asked = F.when((F.col("id") % EVERY == 0), F.col("fingerprint"))
+        F.col("id").alias("nid"), F.col("has").alias("nhas"), F.col("x").alias("nx"),
+        F.col("fingerprint").alias("next_fingerprint")).distinct()
+    out = rows.join(following, ["nid", "nhas", "nx"])
+    near = written(near_counts(prints.filter((F.col("which") == 0) & F.col("has"))), "simhash-near")
+    # Rows that ask nothing get a key of their own: as NULL they would be one hot key.
+    asked = F.when(F.col("has") & (F.col("id") % EVERY == 0), F.col("fingerprint")).otherwise(
+        F.concat(F.lit("-"), F.hex("id")))
     out = out.withColumn("_asked", asked).join(near.withColumnRenamed("fingerprint", "_asked"), "_asked", "left")
     out = out.withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
     fp = F.col("fingerprint")
     return out.select(
-        F.when(F.col("id") != F.lit(-(2**63)).cast("long"), F.col("id")).alias("doc_id"), "n_chars",
+        F.when(F.col("has"), F.col("id")).alias("doc_id"), "n_chars",
         F.lower(F.hex("sha")).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         likeness(fp, F.col("edited_fingerprint")).alias("near_edited"),
         likeness(fp, F.col("next_fingerprint")).alias("near_next"),
