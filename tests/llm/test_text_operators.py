@@ -189,7 +189,9 @@ def brute_hits(docs, items, window=10):
     return out
 
 
-def test_hits_match_brute_force(spark, docs):
+@pytest.mark.parametrize("block", [1_000_000, 30])
+def test_hits_match_brute_force(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(D, "BLOCK_WORDS", block)  # small: several passes
     rng = np.random.default_rng(3)
     words = [f"w{k}" for k in range(12)]
     long = " ".join(rng.choice(words, 40))
@@ -202,7 +204,14 @@ def test_hits_match_brute_force(spark, docs):
     want = brute_hits(rows, items)
     assert len(got) == len(rows)
     for r in got:
-        assert (r.n_words, r.n_hit, sorted(r["items"])) == want[r.doc_id]
+        assert (r.n_words, r.n_hit, r["items"]) == want[r.doc_id]
+    # The spans, and the texts without them, are the same in one pass or several.
+    monkeypatch.setattr(D, "BLOCK_WORDS", 1_000_000)
+    once = {(r.doc_id, tuple(r.starts), tuple(r.ends)) for r in D.search(docs(rows), bench).collect()}
+    assert {(r.doc_id, tuple(r.starts), tuple(r.ends)) for r in got} == once
+    cut = sorted(map(str, D.remove_spans(docs(rows), bench).collect()))
+    monkeypatch.setattr(D, "BLOCK_WORDS", block)
+    assert sorted(map(str, D.remove_spans(docs(rows), bench).collect())) == cut
 
 
 def test_removed_spans(spark, docs):

@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import _BASE, _BASE_INV, _powers, mix64, new_folder, pieces, table, text_bytes
+from vaultline.llm.common import _BASE, _BASE_INV, _powers, mix64, new_folder, pieces, small_batches, table, text_bytes
 
 WINDOW = 16
 CUT_BITS = 9  # a cut every 512 bytes or so
@@ -347,6 +347,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     row of ``docs`` (doc_id, text); ``tokenizer`` is a file of the
     ``tokenizers`` library, read on the driver only."""
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, encoding="utf-8") as f:
         spec = f.read()
     coder(spec)  # refuses tokenizers that the method doesn't hold for

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.session import scratch_path
+from vaultline.session import scratch_folder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session."""
-    return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    return scratch_folder(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -38,6 +38,19 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on the bytes of an Arrow batch (64 MB by
+    default) to BATCH_BYTES: several thousand long texts in one batch are held
+    by the JVM and the worker at once.  A smaller bound is left as it is."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES or int(now) <= 0:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z only; other letters stay as they are."""
     return F.translate(c, UPPER, UPPER.lower())
@@ -176,7 +189,7 @@ def hash_word(word: str) -> int:
     return int(t.hash[0])
 
 
-PIECE_BYTES = 4 << 20  # text handled at once inside a column function
+PIECE_BYTES = 1 << 20  # text handled at once inside a column function
 
 
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES):

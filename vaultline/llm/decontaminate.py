@@ -16,8 +16,9 @@ about ``SHARD_BYTES`` of text, and each shard
 4. yields the spans covered, merged per document.
 
 The phrases are broadcast in blocks of at most ``BLOCK_WORDS`` words in
-expectation, so the size shipped to a worker is bounded; a larger benchmark
-takes more blocks, each searched in every shard.
+expectation, one block at a time: a larger benchmark takes a pass over the
+documents per block, whose spans are written and united with those of the next
+pass.  Driver and workers hold one block (the driver the next one besides).
 
 Words are runs of ASCII letters and digits and all non-ASCII characters,
 A-Z lower-cased.  Word identity is a 64-bit hash.
@@ -38,10 +39,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import ALNUM, gathered, table, tokenize
+from vaultline.llm.common import ALNUM, Tokens, gathered, small_batches, table, tokenize, written
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 SAMPLE = 8
 BLOCK_WORDS = 1_000_000
 
@@ -226,20 +227,16 @@ def _reduced(ids: np.ndarray, first: np.ndarray, shortest: int) -> tuple[np.ndar
     return symbols, words
 
 
-def search_shard(texts: pa.Array, blocks: list[Phrases]) -> tuple:
-    """(tokens, hit words, (document, item) pairs) of one shard."""
-    t = tokenize(texts, ALNUM)
+def search_shard(t: Tokens, block: Phrases) -> tuple:
+    """(hit words, (document, item) pairs) of one shard."""
     hit = np.zeros(len(t) + 1, np.int64)
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    names: list[str] = []
-    for block in blocks:
+    if len(t):
         at = np.minimum(np.searchsorted(block.words, t.hash), len(block.words) - 1)
         ids = np.where(block.words[at] == t.hash, at + 1, 0)
         symbols, words = _reduced(ids, t.first, block.shortest)
-        if not len(symbols):
-            continue
-        index = FMIndex(symbols, len(block.words))
-        for patterns, _, owners in block.groups:
+        index = FMIndex(symbols, len(block.words)) if len(symbols) else None
+        for patterns, _, owners in block.groups if index else []:
             low, high = index.search(patterns + 1)
             found = high - low
             which = np.repeat(np.arange(len(patterns)), found)
@@ -253,11 +250,9 @@ def search_shard(texts: pa.Array, blocks: list[Phrases]) -> tuple:
             # Distinct (document, phrase) first: a phrase may have many items.
             both = np.unique(np.column_stack([doc, which]), axis=0)
             sizes = np.array([len(owners[w]) for w in both[:, 1]])
-            item = np.concatenate([owners[w] for w in both[:, 1]]) + len(names)
+            item = np.concatenate([owners[w] for w in both[:, 1]])
             pairs.append((np.repeat(both[:, 0], sizes), item))
-        names += block.items
-    covered = np.cumsum(hit[:-1]) > 0
-    return t, covered, pairs, names
+    return np.cumsum(hit[:-1]) > 0, pairs
 
 
 def _lists(doc: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa.Array:
@@ -269,30 +264,55 @@ def _lists(doc: np.ndarray, values: np.ndarray, n: int, kind: pa.DataType) -> pa
 SCHEMA = "n_words long, n_hit long, items array<string>, starts array<int>, ends array<int>"
 
 
-def _searcher(blocks, shard_bytes: int, columns: list[str]):
+def _held(t: Tokens, shard: pa.Table) -> np.ndarray:
+    """Words inside the spans that earlier blocks have found."""
+    starts, ends = (shard.column(c).combine_chunks() for c in ("starts", "ends"))
+    doc = np.repeat(np.arange(shard.num_rows), starts.value_lengths().to_numpy(zero_copy_only=False))
+    base = t.offsets[:-1][doc]
+    first = np.searchsorted(t.start, base + starts.flatten().to_numpy(zero_copy_only=False), side="left")
+    last = np.searchsorted(t.end, base + ends.flatten().to_numpy(zero_copy_only=False), side="right")
+    hit = np.zeros(len(t) + 1, np.int64)
+    np.add.at(hit, first, 1)
+    np.add.at(hit, last, -1)
+    return np.cumsum(hit[:-1]) > 0
+
+
+def _without(texts: pa.Array, doc: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The texts without the byte spans (sorted by document and place)."""
+    out = texts.to_pylist()
+    cut = np.searchsorted(doc, np.unique(doc), side="left").tolist() + [len(doc)]
+    for a, b in zip(cut, cut[1:]):
+        raw, at, kept = out[doc[a]].encode(), 0, []
+        for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist()):
+            kept.append(raw[at:s])
+            at = e
+        kept.append(raw[at:])
+        out[doc[a]] = b"".join(kept).decode()
+    return pa.array(out, pa.string())
+
+
+def _searcher(block, shard_bytes: int, columns: list[str], more: bool, cut: bool):
     """mapInArrow function: input columns pass through, result columns follow.
 
-    ``starts``/``ends`` are byte ranges of the whole UTF-8 text."""
+    ``starts``/``ends`` are byte ranges of the whole UTF-8 text.  ``more``: the
+    input has the result columns of earlier blocks, which are added to.  ``cut``:
+    the spans are taken out of ``text`` instead, without result columns."""
 
     def run(batches):
         for shard in gathered(batches, shard_bytes):
             texts = shard.column("text").combine_chunks()
-            t, covered, pairs, names = search_shard(texts, [b.value for b in blocks])
+            t = tokenize(texts, ALNUM)
+            phrases = block.value if block is not None else None
+            covered, pairs = search_shard(t, phrases) if phrases else (np.zeros(len(t), dtype=bool), [])
             n = shard.num_rows
-            words = np.diff(t.first)
-            total = np.concatenate([[0], np.cumsum(covered, dtype=np.int64)])
-            n_hit = total[t.first[1:]] - total[t.first[:-1]]
-            if pairs:
-                doc = np.concatenate([p[0] for p in pairs])
-                item = np.concatenate([p[1] for p in pairs])
-                text_names = np.array(names, dtype=object)[item].astype(str)
-                # Items are ordered as strings by their bytes.
-                order = np.lexsort((text_names, doc))
-                doc, text_names = doc[order], text_names[order]
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (text_names[1:] != text_names[:-1])]
-                items = _lists(doc[new], text_names[new], n, pa.string())
-            else:
-                items = _lists(np.zeros(0, np.int64), np.zeros(0, str), n, pa.string())
+            doc = np.concatenate([np.zeros(0, np.int64), *[p[0] for p in pairs]])
+            item = np.concatenate([np.zeros(0, np.int64), *[p[1] for p in pairs]])
+            found = np.array(phrases.items if phrases else [], dtype=object)[item].astype(str)
+            if more:
+                covered |= _held(t, shard)
+                known = shard.column("items").combine_chunks()
+                doc = np.concatenate([doc, np.repeat(np.arange(n), known.value_lengths().to_numpy(zero_copy_only=False))])
+                found = np.concatenate([found, np.array(known.flatten().to_pylist(), dtype=str)])
             # Merged spans: maximal runs of covered words of one document.
             doc_of = t.doc
             border = np.zeros(len(t), dtype=bool)
@@ -303,23 +323,36 @@ def _searcher(blocks, shard_bytes: int, columns: list[str]):
             after = np.zeros(len(t), dtype=bool)
             after[:-1] = covered[1:] & ~border[1:]
             last = np.flatnonzero(covered & ~after)
-            base = t.offsets[:-1][doc_of[first]] if len(first) else np.zeros(0, np.int64)
-            spans_doc = doc_of[first] if len(first) else np.zeros(0, np.int64)
-            out = [shard.column(c).combine_chunks() for c in columns] + [
-                pa.array(words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), items,
-                _lists(spans_doc, (t.start[first] - base).astype(np.int32), n, pa.int32()),
-                _lists(spans_doc, (t.end[last] - base).astype(np.int32), n, pa.int32()),
+            spans_doc = doc_of[first]
+            base = t.offsets[:-1][spans_doc]
+            starts, ends = (t.start[first] - base).astype(np.int32), (t.end[last] - base).astype(np.int32)
+            out = [shard.column(c).combine_chunks() for c in columns]
+            if cut:
+                out[columns.index("text")] = _without(texts, spans_doc, starts, ends)
+                yield from pa.table(out, names=columns).to_batches(max_chunksize=2000)
+                continue
+            total = np.concatenate([[0], np.cumsum(covered, dtype=np.int64)])
+            # Items are ordered as strings by their bytes.
+            order = np.lexsort((found, doc))
+            doc, found = doc[order], found[order]
+            new = np.ones(len(doc), dtype=bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (found[1:] != found[:-1])
+            out += [
+                pa.array(np.diff(t.first).astype(np.int64)), pa.array(total[t.first[1:]] - total[t.first[:-1]]),
+                _lists(doc[new], found[new], n, pa.string()),
+                _lists(spans_doc, starts, n, pa.int32()), _lists(spans_doc, ends, n, pa.int32()),
             ]
-            names_out = [*columns, "n_words", "n_hit", "items", "starts", "ends"]
-            yield from pa.table(out, names=names_out).to_batches(max_chunksize=2000)
+            yield from pa.table(out, names=[*columns, "n_words", "n_hit", "items", "starts", "ends"]).to_batches(
+                max_chunksize=2000)
 
     return run
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
-           columns: list[str] | None = None) -> DataFrame:
+           columns: list[str] | None = None, cut: bool = False) -> DataFrame:
     """``columns`` of ``docs`` with n_words, n_hit, items (found item ids,
-    sorted), and the merged hit spans as byte offsets ``starts``/``ends``.
+    sorted), and the merged hit spans as byte offsets ``starts``/``ends``; with
+    ``cut`` only the columns, the spans taken out of ``text``.
 
     ``docs`` must have a ``text`` column; the result columns must not be among
     ``columns``.
@@ -327,30 +360,22 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_by
     from pyspark.sql.types import StructType
 
     spark = docs.sparkSession
+    small_batches(spark)
     columns = docs.columns if columns is None else columns
-    needed = docs.select(*dict.fromkeys([*columns, "text"]))
-    blocks = [spark.sparkContext.broadcast(b) for b in phrase_blocks(benchmark, window)]
-    schema = StructType([docs.schema[c] for c in columns] + StructType.fromDDL(SCHEMA).fields)
-    return needed.mapInArrow(_searcher(blocks, shard_bytes, columns), schema)
-
-
-def _cut(batches):
-    """Removes byte spans from the texts."""
-    for b in batches:
-        text = b.column(b.schema.get_field_index("text")).to_pylist()
-        starts = b.column(b.schema.get_field_index("starts")).to_pylist()
-        ends = b.column(b.schema.get_field_index("ends")).to_pylist()
-        for i, (x, ss, es) in enumerate(zip(text, starts, ends, strict=True)):
-            if ss:
-                raw, at, kept = x.encode(), 0, []
-                for s, e in zip(ss, es, strict=True):
-                    kept.append(raw[at:s])
-                    at = e
-                kept.append(raw[at:])
-                text[i] = b"".join(kept).decode()
-        cols = [pa.array(text, pa.string()) if f.name == "text" else b.column(i)
-                for i, f in enumerate(b.schema) if f.name not in ("starts", "ends")]
-        yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in b.schema if f.name not in ("starts", "ends")])
+    carried = list(dict.fromkeys([*columns, "text"]))
+    rows = docs.select(*carried)
+    given = rows.schema
+    results = StructType.fromDDL(SCHEMA).fields
+    last, more = None, False
+    for block in phrase_blocks(benchmark, window):
+        if last is not None:  # another block follows: its pass starts from this one's spans
+            rows = written(rows.mapInArrow(_searcher(last, shard_bytes, carried, more, False),
+                                           StructType(given.fields + results)), "decontaminate")
+            last.destroy()
+            more = True
+        last = spark.sparkContext.broadcast(block)
+    schema = StructType([given[c] for c in columns] + ([] if cut else results))
+    return rows.mapInArrow(_searcher(last, shard_bytes, list(columns), more, cut), schema)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -359,8 +384,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     # Input columns get neutral names meanwhile, so any name may clash.
     names = docs.columns
     inner = docs.select(*[docs[c].alias("text" if c == "text" else f"c{i}") for i, c in enumerate(names)])
-    found = search(inner, benchmark, window).drop("n_words", "n_hit", "items")
-    clean = found.mapInArrow(_cut, inner.schema)
+    clean = search(inner, benchmark, window, cut=True)
     return clean.select(*[F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(names)])
 
 

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import SPACED, mix64, pieces, table, text_or_empty, tokenize, written
+from vaultline.llm.common import SPACED, mix64, pieces, small_batches, table, text_or_empty, tokenize, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -270,6 +270,7 @@ def _verify(members: pa.Table) -> pa.Table:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, d0, d1, n, sig) of every document with shingles."""
+    small_batches(docs.sparkSession)
     rows = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(_sign, "doc_id long, d0 long, d1 long, n long, sig binary")

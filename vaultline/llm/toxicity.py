@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import ALNUM, pieces, table, tokenize, written
+from vaultline.llm.common import ALNUM, pieces, small_batches, table, tokenize, written
 
 SAMPLE = 6000  # labelled documents to fit on (documented bound)
 FALSE_WORDS = 5  # words expected to reach the bound by chance
@@ -153,6 +153,7 @@ def fit(words: np.ndarray, toxic: np.ndarray, d: np.ndarray, f: np.ndarray, c: n
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    small_batches(docs.sparkSession)
     bags = sampled_bags(docs, labels, sample)
     words = selected_words(bags)
     if not len(words):
