@@ -58,9 +58,14 @@ _ORDER_BITS = 32  # word numbers fit in 32 bits (checked)
 
 def _local(uri: str) -> str | None:
     """The path of a folder that workers mount, or None for an object store."""
-    if uri.startswith("file:"):
-        return "/" + uri[5:].lstrip("/")
-    return uri if "://" not in uri else None
+    return "/" + uri[5:].lstrip("/") if uri.startswith("file:") else None
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme of its file system: a path without one belongs
+    to the cluster's default, which need not be mounted."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def save_array(folder: str, name: str, array: np.ndarray) -> None:
@@ -336,7 +341,7 @@ class KneserNey:
 def train(docs: DataFrame) -> KneserNey:
     """Count a model from all texts of ``docs`` (column ``text``)."""
     spark = docs.sparkSession
-    folder = new_folder(spark, "kneser-ney")
+    folder = qualified(spark, new_folder(spark, "kneser-ney"))
     texts = docs.select(text_or_empty().alias("text"))
     message = "shard int, data binary"
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -28,7 +28,8 @@ menu or an advert that differs on every page is as varied as an article, so the
 tree alone (``names=False``) keeps it; the README has figures.
 
 Nothing is gathered per host: all sums are grouped by (host, node, feature)
-with partial aggregation, so a host with a third of all pages is spread out.
+with partial aggregation, and each page asks only for the nodes above its own
+blocks, so a host with a third of all pages, or with very many nodes, is spread out.
 
 Edge cases: NULL html or url is empty; a url without a host is the host '';
 pages without an article fall back to the body; unclosed and crossed tags are
@@ -345,7 +346,7 @@ def importance(read: DataFrame) -> DataFrame:
 
 
 def low_nodes(read: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(host, low): the nodes to remove on each host.  A node goes only if
+    """(host, node): the nodes to remove on each host.  A node goes only if
     nothing in its subtree is important, so a wrapper of the article stays.
 
     What stays is passed up the low nodes by pointer doubling: ``up`` is the
@@ -364,7 +365,7 @@ def low_nodes(read: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         above = state.select("host", F.col("node").alias("up"), F.col("up").alias("next"))
         state = written(state.join(fed, ["host", "node"], "left").join(above, ["host", "up"], "left").select(
             "host", "node", F.col("next").alias("up"), F.coalesce("fed", "stays").alias("stays")), "site-style-tree")
-    return state.filter("NOT stays").groupBy("host").agg(F.collect_set("node").alias("low"))
+    return state.filter("NOT stays").select("host", "node")
 
 
 def extract(pages: DataFrame, columns: list[str] | None = None, names: bool = True) -> DataFrame:
@@ -377,14 +378,18 @@ def extract(pages: DataFrame, columns: list[str] | None = None, names: bool = Tr
     inner = [f"c{i}" for i in range(len(columns))]
     rows = with_host(pages.select(*[F.col(c).alias(n) for n, c in zip(inner, columns, strict=True)],
                                   F.col("html").alias("_html"), "url"))
-    kept = [*inner, "host"]
+    # The row number is fixed by the write below.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    kept = [*inner, "host", "row"]
     schema = StructType([rows.schema[c] for c in kept] + StructType.fromDDL(_PAGE).fields)
     read = written(rows.select(*kept, "_html").mapInArrow(_reader(kept, names), schema), "site-pages", compression="zstd")
     low = written(low_nodes(read), "site-style-low")
-    # One row per host, joined by its size: a broadcast where it is small,
-    # else a join that splits a host with many pages like any skewed key.
-    joined = read.select(*kept, "texts", "chains").join(
-        low.select(F.col("host").alias("_host"), "low"), F.col("host") == F.col("_host"), "left")
+    # The nodes above a page's own blocks that go: bounded by the page.  Both
+    # tables are written, so that the joins are planned by their sizes.
+    above = read.select("row", "host", F.explode(F.array_distinct(F.flatten("chains"))).alias("node"))
+    gone = written(above.join(low, ["host", "node"]).groupBy(F.col("row").alias("_row")).agg(
+        F.collect_set("node").alias("low")), "site-style-gone")
+    joined = read.select(*kept, "texts", "chains").join(gone, F.col("row") == F.col("_row"), "left")
     stays = F.filter(F.arrays_zip("texts", "chains"), lambda b: ~F.coalesce(F.arrays_overlap(b["chains"], F.col("low")), F.lit(False)))
     text = F.array_join(F.when(F.col("low").isNull(), F.col("texts")).otherwise(F.transform(stays, lambda b: b["texts"])), "\n")
     return joined.select(*[F.col(n).alias(c) for n, c in zip(inner, columns, strict=True)], text.alias("text"))
