@@ -1,3 +1,8 @@
+import hashlib
+import math
+import re
+from collections import Counter
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +17,7 @@ from test_text_operators import brute_hits
 
 def test_registered(spark):
     keys = E.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in keys} and "pipeline" in keys
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in keys} and "pipeline" in keys
 
 
 def stage(spark, name, docs, sf_dir):
@@ -64,10 +69,82 @@ def test_toxicity_stage(spark, small):
     assert len(toxic & kept) <= 0.1 * len(toxic)
 
 
-def test_run_applies_every_stage(spark, small):
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_cut(text, items, window=10):
+    """The text without the runs of words that lie in an item's windows."""
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    grams = set()
+    for t in items:
+        w = WORD.findall(lower(t))
+        k = min(window, len(w))
+        grams |= {tuple(w[a : a + k]) for a in range(len(w) - k + 1 if w else 0)}
+    found = list(WORD.finditer(lower(text)))
+    words, hit = [m[0] for m in found], set()
+    for k in {len(g) for g in grams}:
+        for a in range(len(words) - k + 1):
+            if tuple(words[a : a + k]) in grams:
+                hit.update(range(a, a + k))
+    out, at = [], 0
+    for i in sorted(hit):
+        if i - 1 not in hit:
+            out.append(text[at : found[i].start()])
+        at = found[i].end()
+    return "".join(out) + text[at:]
+
+
+def brute_copies(rate, doc_id):
+    u = int(hashlib.md5(f"{doc_id}|mix-1".encode()).hexdigest()[:13], 16) / 2**52
+    k, p, cum = 0, math.exp(-rate), math.exp(-rate)
+    while cum <= u:
+        k += 1
+        p *= rate / k
+        cum += p
+    return k
+
+
+def test_run_matches_brute_force(spark, small):
+    """All stages in plain Python, from the documents that the classifier keeps."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = {r.doc_id: (r.text, r.source) for r in stage(spark, "toxicity", docs, small).collect()}
+    lines = brute_lines([(i, t) for i, (t, _) in rows.items()])
+    texts = {i: lines[i][2] if rows[i][0] is not None else None for i in rows}
+    kept = {c for c, _, _ in brute_groups(list(texts.items())).values()}
+    items = [r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    cut = {i: texts[i] and brute_cut(texts[i], items) for i in kept}
+    size = Counter(rows[i][1] for i in kept)
+    want = {}
+    for i in kept:
+        n = brute_copies(len(kept) / len(size) / size[rows[i][1]], i)
+        want |= {(i, c): (cut[i], rows[i][1], n) for c in range(1, n + 1)}
     out = C.run(spark, small)
-    assert {"doc_id", "text", "copy", "n_copies", "shuffle_key"} <= set(out.columns)
-    assert 0 < out.count() < 2 * spark.read.parquet(f"{small}/documents.parquet").count()
+    assert set(docs.columns) | {"copy", "n_copies", "rate", "shuffle_key"} == set(out.columns)
+    got = out.collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert (r.text, r.source, r.n_copies) == want[r.doc_id, r.copy]
+        assert r.n_chars == (None if r.text is None else len(r.text))
+
+
+def test_stages_keep_columns_of_any_name(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(40)
+    for n in ["severity", "_severity", "positions", "row", "item", "extra", "_extra", "starts", "items", "rate_", "mix_rate",
+              "mix_source", "block", "key", "n", "text_id", "tile", "hits"]:
+        docs = docs.withColumn(n, F.lit(n))
+    for name, _ in C.STAGES:
+        out = stage(spark, name, docs, small)
+        assert set(docs.columns) <= set(out.columns)
+        assert {r.mix_rate + r._extra + r.items for r in out.select("mix_rate", "_extra", "items").collect()} <= {"mix_rate_extraitems"}
+        if name != "mixing":
+            assert out.columns == docs.columns
+            docs = out
+
+
+def test_stages_of_an_empty_table(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
+    for name, _ in C.STAGES:
+        assert stage(spark, name, docs, small).collect() == []
 
 
 @pytest.mark.parametrize("key", ["op1_line_dedup", "op9_mixing"])
