@@ -89,6 +89,54 @@ def test_many_matches_in_one_text(spark, docs):
     assert (len(r.assign), len(r.access), len(r.hex)) == (2500, 2500, brute_base(text).count("hex"))
 
 
+def test_normal_tail(spark):
+    z = [-8.0, -1.0, 0.0, 0.3, 1.0, 2.49, 2.51, 4.0, 7.0, 12.0, 30.0, 36.0]
+    got = spark.createDataFrame([(v,) for v in z], "z double").selectExpr(f"{secrets._tail('z')} AS p").collect()
+    for v, r in zip(z, got):
+        assert r.p == pytest.approx(math.erfc(v / math.sqrt(2)) / 2, rel=1e-5)
+
+
+LETTERS = "etaoinshrdlucmfwypvbgkjqxz"
+SHARES = np.array([12.7, 9.1, 8.2, 7.5, 7.0, 6.7, 6.3, 6.1, 6.0, 4.3, 4.0, 2.8, 2.8, 2.4, 2.2, 2.4, 2.0, 1.9, 1.0, 1.5, 2.0, 0.8, 0.15, 0.1, 0.15, 0.07])
+
+
+def random_token(k, n):
+    return "".join(RNG.choice(list(secrets._ALPHABETS[k]), n))
+
+
+def plain_token(n):
+    """Letters of ordinary frequencies in words of path-like tokens."""
+    out = "".join(RNG.choice(list(LETTERS), n, p=SHARES / SHARES.sum()))
+    return out[: n // 2] + "/" + out[n // 2 + 1 :] if n % 3 == 0 else out
+
+
+def test_battery_of_random_tokens_keeps_its_level(spark):
+    """P-values of random tokens of any encoding and length are not too small."""
+    rows = [(k, n, random_token(k, n)) for k in ("hex", "b32", "aln", "b64") for n in (24, 40, 64, 128) for _ in range(250)]
+    got = secrets.with_battery(spark.createDataFrame(rows, "k string, n int, token string")).collect()
+    for level in (0.1, 0.01):
+        share = np.mean([r.p_random < level for r in got])
+        assert share < 1.5 * level
+    by = {n: np.mean([r.p_random < 0.05 for r in got if r.n == n]) for n in (24, 40, 64, 128)}
+    assert max(by.values()) < 0.08
+    text = secrets.with_battery(spark.createDataFrame([(plain_token(n),) for n in (64, 128) for _ in range(200)], "token string")).collect()
+    assert np.mean([r.p_random < 0.01 for r in text]) > 0.9
+
+
+def test_realised_false_discoveries_by_length(spark):
+    """Random tokens planted among plain ones: few false discoveries in every stratum."""
+    rows = []
+    for n in (22, 28, 40, 64, 120):
+        rows += [(n, True, random_token(("aln", "b64")[i % 2], n)) for i in range(60)]
+        rows += [(n, False, plain_token(n)) for _ in range(600)]
+    tested = secrets.with_battery(spark.createDataFrame(rows, "n int, planted boolean, token string"))
+    got = secrets.decided(tested).collect()
+    for n in (22, 28, 40, 64, 120):
+        found = [r.planted for r in got if r.n == n and r.random]
+        assert found and 1 - np.mean(found) <= 0.05
+        assert sum(found) >= (50 if n >= 28 else 30)
+
+
 # --- site style ---
 
 def test_a_very_long_page(spark):

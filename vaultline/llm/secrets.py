@@ -6,17 +6,23 @@ battery over every long token:
 
 1. the encoding is inferred from the token's characters (decimal, hex,
    base32, letters, alphanumeric, base64), which gives the alphabet size K;
-2. three statistics are computed under "uniform over K symbols": chi-squared
-   uniformity (with the exact multinomial mean and variance, so short tokens
-   count fairly), a runs test about the middle of the alphabet, and the lag-1
-   serial correlation of the symbol numbers; a token whose combined statistic
-   is too large for a random string is not random;
-3. a p-value under "ordinary text" comes from symbol coincidences (text
-   repeats symbols more often than chance) and character-class changes (text
-   rarely mixes classes); both have length-dependent mean and variance;
-4. Benjamini-Hochberg control at ``FDR`` runs within length strata over all
-   tokens of the corpus.  It needs only counts per (stratum, p-value bin), an
-   aggregate of bounded size, not a global sort.
+2. three tests ask whether the token could be random over its K symbols:
+   chi-squared uniformity (with the exact multinomial mean and variance, so short
+   tokens count fairly; its tail by the gamma approximation of Wilson and
+   Hilferty), a runs test about the middle of the alphabet, and the lag-1 serial
+   correlation of the symbol numbers.  Runs and serial correlation depend on each
+   other, so the p-values are joined by the smallest one times three, which holds
+   under any dependence;
+3. Benjamini-Hochberg control at ``FDR`` on these p-values, within length strata
+   over all tokens of the corpus, says which tokens are structured;
+4. a token that is not must also be unlike ordinary text: a p-value from symbol
+   coincidences (text repeats symbols more often than chance) and
+   character-class changes (text rarely mixes classes), both with
+   length-dependent mean and variance, under the same control.  Spans are the
+   tokens that pass both.
+
+The control needs only counts per (stratum, p-value bin), an aggregate of
+bounded size, not a global sort.
 
 Everything is DataFrame expressions.  Match positions come from cutting the
 text at the matches: the start of match i is the length of everything before.
@@ -47,7 +53,6 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE = 6  # characters of an assigned value
 
 FDR = 0.01  # share of false discoveries allowed in each length stratum
-MIN_RANDOM_P = 0.001  # a token less likely than this under "random" is text
 TEXT_COINCIDENCE = 0.065  # chance that two letters of ordinary text are equal
 TEXT_SWITCH = 0.08  # chance that neighbours in a text token differ in class
 STRATA = (24, 32, 48, 96)  # upper length bounds; the last stratum is open
@@ -90,9 +95,19 @@ _ALPHABETS = {
 }
 
 
-def _phi(z: str) -> str:
-    """Standard normal distribution (logistic approximation, error < 2e-4)."""
-    return f"(1.0 / (1.0 + exp(-greatest(-300.0, least(300.0, 1.5976 * ({z}) + 0.07056 * pow({z}, 3))))))"
+def _tail(z: str) -> str:
+    """P(Z > z) of a standard normal, to a relative error below 1e-6: a
+    polynomial near 0, a continued fraction in the tail (no cancellation)."""
+    x = f"abs({z})"
+    t = f"(1D / (1D + 0.2316419D * {x}))"
+    poly = (f"({t} * (0.319381530D + {t} * (-0.356563782D + {t} * (1.781477937D + {t} * (-1.821255978D + "
+            f"{t} * 1.330274429D)))))")
+    fraction = f"({x} + 14D / {x})"
+    for k in range(13, 0, -1):
+        fraction = f"({x} + {k}D / {fraction})"
+    density = f"(exp(-least({x}, 37D) * least({x}, 37D) / 2) / sqrt(2 * pi()))"
+    upper = f"({density} * IF({x} < 2.5D, {poly}, 1D / {fraction}))"
+    return f"IF({z} < 0, 1D - {upper}, {upper})"
 
 
 def with_battery(tokens: DataFrame) -> DataFrame:
@@ -113,7 +128,10 @@ def with_battery(tokens: DataFrame) -> DataFrame:
     t = t.withColumn("sq", F.expr(
         "aggregate(array_distinct(v), 0D, (a, s) -> a + pow(size(filter(v, x -> x = s)), 2))"))
     t = t.withColumn("mean", F.expr("aggregate(v, 0D, (a, x) -> a + x) / l"))
-    t = t.withColumn("z_chi", F.expr("(k / l * sq - l - (k - 1)) / sqrt(2 * (k - 1) * (l - 1) / l)"))
+    # Chi-squared over its mean, as a gamma variable with the exact variance.
+    t = t.withColumn("df", F.expr("(k - 1) * l / greatest(l - 1, 1D)"))
+    t = t.withColumn("z_chi", F.expr(
+        "(pow(greatest((k / greatest(l, 1D) * sq - l) / (k - 1), 0D), 1D / 3) - (1 - 2 / (9 * df))) / sqrt(2 / (9 * df))"))
     # Runs above and below the middle of the alphabet.
     t = t.withColumn("n1", F.expr("CAST(size(filter(v, x -> x > k / 2)) AS double)"))
     t = t.withColumn("runs", F.expr(
@@ -124,9 +142,11 @@ def with_battery(tokens: DataFrame) -> DataFrame:
     t = t.withColumn("dev", F.expr("aggregate(v, 0D, (a, x) -> a + pow(x - mean, 2))"))
     t = t.withColumn("z_ser", F.expr(
         "IF(dev = 0, sqrt(l), (aggregate(sequence(1, size(v) - 1), 0D, (a, i) -> a + (v[i] - mean) * (v[i - 1] - mean)) / dev + 1 / l) * sqrt(l))"))
-    # Combined statistic, about chi-squared with 3 degrees; Wilson-Hilferty.
-    t = t.withColumn("q", F.expr("pow(greatest(0D, z_chi), 2) + pow(z_runs, 2) + pow(z_ser, 2)"))
-    t = t.withColumn("p_random", F.expr(f"1 - {_phi('(pow(q / 3, 1D / 3) - (1 - 2D / 27)) / sqrt(2D / 27)')}"))
+    # Written out as columns, so that each tail is evaluated once.
+    t = t.withColumn("p_chi", F.expr(_tail("z_chi")))
+    t = t.withColumn("p_runs", F.expr(f"2 * {_tail('abs(z_runs)')}"))
+    t = t.withColumn("p_ser", F.expr(f"2 * {_tail('abs(z_ser)')}"))
+    t = t.withColumn("p_random", F.expr("least(1D, 3 * least(p_chi, p_runs, p_ser))"))
     # Ordinary text: coincidences and class changes.
     t = t.withColumn("z_same", F.expr(
         f"(l * (l - 1) * {TEXT_COINCIDENCE} - (sq - l)) / sqrt(2 * l * (l - 1) * {TEXT_COINCIDENCE} * (1 - {TEXT_COINCIDENCE}))"))
@@ -136,9 +156,10 @@ def with_battery(tokens: DataFrame) -> DataFrame:
         "aggregate(sequence(1, greatest(1, length(kinds) - 1)), 0D, (a, i) -> a + IF(substring(kinds, i, 1) <> substring(kinds, i + 1, 1), 1D, 0D))"))
     t = t.withColumn("z_mix", F.expr(
         f"(switches - (l - 1) * {TEXT_SWITCH}) / sqrt((l - 1) * {TEXT_SWITCH} * (1 - {TEXT_SWITCH}))"))
-    t = t.withColumn("p_text", F.expr(f"greatest(1e-300, 1 - {_phi('(z_same + z_mix) / sqrt(2D)')})"))
+    t = t.withColumn("z_text", F.expr("(z_same + z_mix) / sqrt(2D)"))
+    t = t.withColumn("p_text", F.expr(_tail("z_text")))
     # A core of under 20 characters (all padding) is never random.
-    t = t.withColumn("p_random", F.when(F.col("l") < 20, 0.0).otherwise(F.col("p_random")))
+    t = t.withColumn("p_random", F.when(F.col("l") < 20, 1e-300).otherwise(F.col("p_random")))
     t = t.withColumn("p_text", F.when(F.col("l") < 20, 1.0).otherwise(F.col("p_text")))
     return t.select(*tokens.columns, "p_random", "p_text", F.col("l").alias("token_length"))
 
@@ -147,11 +168,16 @@ def _stratum(length: Column) -> Column:
     return sum(((length >= b).cast("int") for b in STRATA), F.lit(0))
 
 
-def fdr_bins(tested: DataFrame) -> dict[int, int]:
+def _bin(p: str) -> Column:
+    """-log10(p) in steps; the smallest p-values share the last bin."""
+    return F.least(F.lit(TOP_BIN), F.floor(-F.log10(F.greatest(F.col(p), F.lit(1e-300))) * BINS_PER_DECADE)).cast("int")
+
+
+def fdr_bins(tested: DataFrame, bin_: str = "bin") -> dict[int, int]:
     """Per length stratum, the least p-value bin that Benjamini-Hochberg
     accepts.  The driver gets one row per (stratum, bin): at most
     ``(len(STRATA) + 1) * (TOP_BIN + 1)`` rows whatever the corpus."""
-    counts = tested.groupBy("stratum", "bin").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = tested.groupBy("stratum", F.col(bin_).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
     found = {}
     for s in {r["stratum"] for r in counts}:
         rows = sorted(((r["bin"], r["n"]) for r in counts if r["stratum"] == s), reverse=True)
@@ -163,6 +189,22 @@ def fdr_bins(tested: DataFrame) -> dict[int, int]:
     return found
 
 
+def _rejected(tested: DataFrame, bin_: str) -> Column:
+    """Whether a token's hypothesis is rejected in its stratum."""
+    out = F.lit(False)
+    for s, b in sorted(fdr_bins(tested, bin_).items()):
+        out = out | ((F.col("stratum") == s) & (F.col(bin_) >= b))
+    return out
+
+
+def decided(tested: DataFrame) -> DataFrame:
+    """Rows (.., p_random, p_text, token_length) of all tokens with ``random``: not
+    shown to be structured, and shown to be no ordinary text."""
+    binned = written(tested.withColumn("stratum", _stratum(F.col("token_length"))).withColumn(
+        "structure", _bin("p_random")).withColumn("unlike", _bin("p_text")).drop("p_random", "p_text"), "secret-tokens")
+    return binned.withColumn("random", _rejected(binned, "unlike") & ~_rejected(binned, "structure"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """Per input row (doc_id): the spans of each kind as arrays.
 
@@ -182,16 +224,8 @@ def scan(docs: DataFrame) -> DataFrame:
     # span can be decided.  The row number inside the file keeps rows apart.
     first = written(first.withColumn("row", F.monotonically_increasing_id()), "secrets")
     one = first.select("row", F.posexplode("tokens").alias("pos", "t")).select("row", "pos", F.col("t.m").alias("token"))
-    tested = with_battery(one).select(
-        "row", "pos", "p_random", _stratum(F.col("token_length")).alias("stratum"),
-        F.least(F.lit(TOP_BIN), F.floor(-F.log10("p_text") * BINS_PER_DECADE)).cast("int").alias("bin"),
-    )
-    tested = written(tested, "secret-tokens")
-    bins = fdr_bins(tested)
-    accept = F.lit(False)
-    for s, b in sorted(bins.items()):
-        accept = accept | ((F.col("stratum") == s) & (F.col("bin") >= b))
-    hits = tested.filter(accept & (F.col("p_random") >= MIN_RANDOM_P)).groupBy("row").agg(F.collect_set("pos").alias("hit"))
+    tested = decided(with_battery(one).select("row", "pos", "p_random", "p_text", "token_length"))
+    hits = tested.filter("random").groupBy("row").agg(F.collect_set("pos").alias("hit"))
     return (
         first.join(hits, "row", "left")
         .withColumn("random", F.expr(
