@@ -38,6 +38,19 @@ def test_build_twice_appends_nothing(spark, tmpdir_path, buckets):
     assert snapshots.read().count() == Warehouse(spark, SF_SMALL).model("pit_appointment").count()
 
 
+def test_a_run_repeated_with_more_rows_appends_them(spark, tmpdir_path):
+    """The same load date again, after the sources got rows that were missing."""
+    base = Warehouse(spark, SF_SMALL, materialize=False)
+    out = os.path.join(tmpdir_path, "wh")
+    late = lambda n: base.feed(n).filter("exam_id % 3 <> 0") if n in ("exams", "exam_status_history") else base.feed(n)
+    first = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, feed_source=late, run_tests=False)
+    again = build_warehouse(spark, SF_SMALL, out, load_date=LOAD_DATE_1, as_of=AS_OF, feed_source=base.feed, run_tests=False)
+    exams = base.feed("exams").count()
+    assert 0 < again["hub_exam"] == exams - first["hub_exam"] and again["hub_patient"] == 0
+    assert read_table(spark, os.path.join(out, "raw_vault", "hub_exam")).count() == exams
+    assert read_table(spark, os.path.join(out, "gold", "fact_exam")).count() == exams
+
+
 def test_streamed_event_satellite_equals_batch_load(spark, tmpdir_path):
     wh = Warehouse(spark, SF_SMALL)
     spec = SATS["sat_appointment_status"]

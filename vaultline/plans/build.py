@@ -24,6 +24,7 @@ layer, and downstream plans start from pruned, pushed-down parquet scans.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -75,8 +76,8 @@ def build_warehouse(
     hash key (the parts are declared in ``vault_database``), so loads against a
     large stored vault shuffle only the incoming batch.
     ``load_date`` and ``as_of`` default to the time and day of the batch start.
-    The load date names the batch: a vault table that has it already is not
-    loaded again.
+    A run that is repeated, with whatever load date, appends to a vault table what
+    that does not have yet (the loaders compare with what is stored).
     ``fail_on_test_failures`` raises ``DataTestFailure`` (listing the failing
     tests) when any data test fails or cannot run; the report is written either
     way, and the catalog stays as it was.
@@ -90,6 +91,7 @@ def build_warehouse(
     as_of = as_of or now.strftime("%Y-%m-%d")
     wh = Warehouse(spark, source_root, load_date=load_date, as_of=as_of, feed_source=feed_source,
                    materialize=False)
+    run = uuid.uuid4().hex
     checks = all_checks()
     by_model: dict[str, list] = {}
     for c in checks:
@@ -138,7 +140,7 @@ def build_warehouse(
         stored = table.parts()
         if stored is not None:
             wh.targets[name] = stored
-        added = table.append(new_rows(name), batch=load_date)
+        added = table.append(new_rows(name), batch=f"{load_date}/{run}")
         table.compact()
         wh.overrides[name] = table.read()
         return name, added
