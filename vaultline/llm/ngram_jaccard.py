@@ -55,6 +55,7 @@ HASHES = BANDS * ROWS
 TOLERANCE = 1e-4
 STEP = 16
 TILE = 512  # members per side of a tile
+SPREAD = 1024
 SIEVE_WORDS = 1 << 18  # longs of the bit table over surviving ids (bounds its broadcast)
 
 _SEEDS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -403,10 +404,9 @@ def _near(docs: DataFrame) -> DataFrame:
     """``near_duplicates`` of rows whose id tells their text."""
     signed = written(signatures(docs), "jaccard-signatures")
     # Copies: one representative per shingle set, found by an aggregate.
-    reps = signed.groupBy("d0", "d1", "n").agg(F.min("doc_id").alias("rep"))
-    of = written(signed.select("doc_id", "d0", "d1", "n").join(reps, ["d0", "d1", "n"]).groupBy("doc_id").agg(
-        F.min("rep").alias("rep")), "jaccard-members")
-    own = signed.join(of.filter("doc_id = rep").select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
+    classes = written(signed.groupBy("d0", "d1", "n").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "jaccard-classes")
+    own = signed.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
     own = own.groupBy(F.col("doc_id").alias("rep")).agg(F.min_by("sig", "d0").alias("sig"))
     own = written(own, "jaccard-representatives")
     tiles = _tiles(own).join(own, "rep").select("tile", "band", "same", "side", "rep", "sig")
@@ -421,15 +421,30 @@ def _near(docs: DataFrame) -> DataFrame:
     links = written(full.groupBy("tile").applyInArrow(_verify, "rep long, n_links long, root long"), "jaccard-links")
     degree = links.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
     group = connected(links.select(F.col("rep").alias("a"), F.col("root").alias("b")), "jaccard-groups")
-    named = of.join(degree, "rep", "left").join(group, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", F.coalesce("root", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.col("rep").alias("copy_of"))
+    # Joined per class first, then once to the members.
+    found = written(classes.join(degree, "rep", "left").join(group, F.col("rep") == F.col("node"), "left").select(
+        "d0", "d1", "n", "size", F.coalesce("root", "rep").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("rep").alias("copy_of")), "jaccard-found")
+    named = _members_of(signed.select("doc_id", "d0", "d1", "n").distinct(), found)
     ids = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct()
     return ids.join(named, F.col("id") == F.col("doc_id"), "left").select(
         F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("copy_of", "id").alias("copy_of"))
 
 
+def _members_of(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, class_id, n_links, copy_of) of the members of each shingle set.
+    Sets that hold more than one in SPREAD documents (fewer than SPREAD sets) meet
+    their members by broadcast, the others by a join of parts of even size."""
+    key, values = ["d0", "d1", "n"], ["class_id", "n_links", "copy_of"]
+    total = found.agg(F.sum("size")).first()[0] or 0
+    large = F.broadcast(found.filter(F.col("size") * SPREAD > total).select(*key, F.struct(*values).alias("of")))
+    marked = members.join(large, key, "left")
+    rest = found.filter(F.col("size") * SPREAD <= total).select(*key, *values)
+    return marked.filter("of IS NOT NULL").select("doc_id", "of.*").unionByName(
+        marked.filter("of IS NULL").drop("of").join(rest, key).select("doc_id", *values))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document (the smallest id) of each group."""
     packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
