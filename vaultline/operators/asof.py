@@ -163,7 +163,7 @@ def asof_day(
 ) -> DataFrame:
     """The row in effect on one day, per key: ``(key, values..., ts)``.
 
-    One hash aggregate (``max_by`` with partial aggregation) instead of the
+    One aggregate (``max_by``, partial map-side) instead of the
     whole point-in-time table: a hot key is reduced map-side.
     """
     order = F.struct(F.col(ts), *[F.col(t) if isinstance(t, str) else t for t in tie])

@@ -7,7 +7,7 @@ key's history into independent window partitions:
 
 1. within ``(key, bucket)`` take ``lag``/``lead`` as usual;
 2. per ``(key, bucket)`` aggregate the boundary row (last row for ``lag``,
-   first row for ``lead``) with ``max_by``/``min_by`` -- a hash aggregate with
+   first row for ``lead``) with ``max_by``/``min_by`` -- an aggregate with
    map-side partial aggregation, so a hot key is pre-reduced before the
    shuffle;
 3. over that small per-bucket summary (one row per key and bucket) take the
