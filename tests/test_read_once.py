@@ -63,3 +63,9 @@ def test_lookups_carry_business_keys(spark):
     for model in ("stg_appointments", "stg_exams"):
         kept = scratch_path(spark, "tables", wh.run_id, model)
         assert not [c for c in spark.read.parquet(kept).columns if c.endswith("_hk")]
+
+
+@pytest.mark.parametrize("query", ["lnk_appointment", "lnk_exam"])
+def test_link_keys_are_derived_after_the_shuffle(spark, query):
+    plan = registry()[query](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hashpartitioning(lnk_" in line for line in plan.splitlines())
