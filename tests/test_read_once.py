@@ -4,9 +4,10 @@ windows and keys that nobody reads are not computed."""
 import pytest
 
 from conftest import SF_SMALL
+from vaultline.operators.checks import Check, table_report
 from vaultline.plans import quality
 from vaultline.plans.registry import MODEL_KEYS, registry
-from vaultline.plans.warehouse import Warehouse, read_once, reads_rescheduled
+from vaultline.plans.warehouse import MODEL_DEPS, Warehouse, read_once, reads_rescheduled
 from vaultline.session import scratch_path
 
 
@@ -69,3 +70,29 @@ def test_lookups_carry_business_keys(spark):
 def test_link_keys_are_derived_after_the_shuffle(spark, query):
     plan = registry()[query](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any("Exchange hashpartitioning(lnk_" in line for line in plan.splitlines())
+
+
+def test_encounters_are_joined_by_id(spark):
+    """Over derived links; over given ones, which have hash keys only, the result is the same."""
+    wh, given = Warehouse(spark, SF_SMALL), Warehouse(spark, SF_SMALL)
+    for name in MODEL_DEPS["bridge_encounter"]:
+        given.overrides[name] = wh.model(name)
+    for name in ("bridge_encounter", "fact_appointment"):
+        assert same(wh.model(name), given.model(name))
+    plan = wh.model("bridge_encounter")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 5 and not any("unhex" in line for line in joins)
+    keys = wh.model("stg_appointments").schema["appointment_id"].dataType.simpleString()
+    assert keys == "bigint" and dict(wh._encounters(False).dtypes)["appointment_hk"] == "bigint"
+
+
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_relationships_of_keys_and_other_values(spark, kind):
+    keys = ["ab" * 32, "AB" * 32, "", " x", None] if kind == "string" else [1, 2, 3, 4, None]
+    child = spark.createDataFrame([(k,) for k in keys * 2], f"k {kind}")
+    parent = spark.createDataFrame([(keys[0],), (keys[0],), (keys[3],), (None,)], f"p {kind}")
+    check = Check("c", "k", "relationships", to_model="d", to_field="p")
+    report = table_report(child, [check], {"d": parent}.__getitem__)
+    assert [r.failures for r in report.collect()] == [4]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert ("unhex" in plan) == (kind == "string")
